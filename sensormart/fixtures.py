@@ -16,7 +16,7 @@ from sensormart.operators import (
     parameter_dim,
     time_dim,
 )
-from sensormart.schemas import LOCATION_TABLE, PARAMETER_TABLE, TIME_TABLE
+from sensormart.schemas import ID_COLUMNS, LOCATION_TABLE, NATURAL_KEYS, PARAMETER_TABLE
 
 # Parameter and unit of an event, by event number modulo 28. The pairs touch
 # every conversion and relabel rule, the gaps between them, and mixed case.
@@ -129,16 +129,15 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_measurements(single_documents(flat_readings(spark, sf_dir)))
 
 
-def preloaded_dimensions(readings: DataFrame) -> dict[str, DataFrame]:
-    """Dimension tables that already hold part of the keys, numbered from 1."""
-    location = location_dim(readings).filter("(latitude + 18.5) * 2 % 2 = 0")
-    parameter = parameter_dim(readings).filter(F.col("parameter_name").isin(*STORED_PARAMETERS))
-    time = time_dim(readings).filter("hour < 12")
-    return {
-        LOCATION_TABLE: number_rows(location, ["latitude", "longitude"], "location_id"),
-        PARAMETER_TABLE: number_rows(parameter, ["parameter_name"], "parameter_id"),
-        TIME_TABLE: number_rows(time, ["timestamp"], "time_id"),
-    }
+def preloaded_dimension(readings: DataFrame, table: str) -> DataFrame:
+    """A dimension table that already holds part of the keys, numbered from 1."""
+    if table == LOCATION_TABLE:
+        stored = location_dim(readings).filter("(latitude + 18.5) * 2 % 2 = 0")
+    elif table == PARAMETER_TABLE:
+        stored = parameter_dim(readings).filter(F.col("parameter_name").isin(*STORED_PARAMETERS))
+    else:
+        stored = time_dim(readings).filter("hour < 12")
+    return number_rows(stored, NATURAL_KEYS[table], ID_COLUMNS[table])
 
 
 def history_and_redelivery(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

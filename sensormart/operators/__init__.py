@@ -9,9 +9,11 @@ from sensormart.operators.clean import (
     flatten_measurements,
     harmonise_units,
     mark_processed,
+    max_pressure,
     processed,
     split_unusable,
     unprocessed,
+    unusable_reason,
 )
 from sensormart.operators.containment import (
     content_columns,
@@ -51,6 +53,7 @@ __all__ = [
     "latest_per_key",
     "location_dim",
     "mark_processed",
+    "max_pressure",
     "new_dimension_rows",
     "next_id",
     "normalise_measurements",
@@ -61,5 +64,6 @@ __all__ = [
     "split_unusable",
     "time_dim",
     "unprocessed",
+    "unusable_reason",
     "upsert_facts",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sensormart.functions import (
@@ -120,13 +120,40 @@ def clamp_pressure_by_join(
     )
 
 
-def clean_measurements(docs: DataFrame, zone: str = LOCAL_ZONE, strict: bool = False) -> DataFrame:
-    """Flatten, convert the time, harmonise, clamp."""
-    return clamp_pressure(harmonise_units(add_local_time(flatten_measurements(docs), zone), strict))
+def clean_measurements(
+    docs: DataFrame,
+    zone: str = LOCAL_ZONE,
+    strict: bool = False,
+    watch: Observation | None = None,
+) -> DataFrame:
+    """Flatten, convert the time, harmonise, clamp.
+
+    ``watch`` receives ``readings`` and ``max_pressure`` (as delivered, before any
+    conversion) from whichever action runs first, without a pass of its own.
+    """
+    flat = flatten_measurements(docs)
+    if watch is not None:
+        pressure = F.when(F.col("parameter_name") == "pressure", F.col("value"))
+        flat = flat.observe(
+            watch, F.count(F.lit(1)).alias("readings"), F.max(pressure).alias("max_pressure")
+        )
+    return clamp_pressure(harmonise_units(add_local_time(flat, zone), strict))
+
+
+def max_pressure(readings: DataFrame) -> DataFrame:
+    """The greatest pressure reading, one row."""
+    pressure = readings.filter(F.col("parameter_name") == "pressure")
+    return pressure.agg(F.max("value").alias("max_value"))
+
+
+def unusable_reason():
+    """Why a clean reading cannot be stored, NULL when it can: it needs a key and a time."""
+    return F.when(F.col("measurement_id").isNull(), "no key").when(
+        F.col("timestamp").isNull(), "malformed time"
+    )
 
 
 def split_unusable(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(usable, rejected): a reading needs a key and a time to be stored."""
-    unusable = F.col("measurement_id").isNull() | F.col("timestamp").isNull()
-    reason = F.when(F.col("measurement_id").isNull(), "no key").otherwise("malformed time")
-    return clean.filter(~unusable), clean.filter(unusable).withColumn("reject_reason", reason)
+    """(usable, rejected with ``reject_reason``)."""
+    rejected = clean.withColumn("reject_reason", unusable_reason())
+    return clean.filter(unusable_reason().isNull()), rejected.filter("reject_reason IS NOT NULL")

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from sensormart.operators.dimensions import number_rows
 from sensormart.session import materialise
 
-CONTENT_COLUMNS = ["content", "content_size", "first_updated", "last_updated"]
-
 
 def normalise_measurements(docs: DataFrame) -> DataFrame:
     """Sort the readings inside each document, by parameter first."""
@@ -108,7 +106,7 @@ def drop_contained(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     sets = new.filter("content_size > 0").select(*columns, _elements().alias("measurements"))
 
     # 1. equal documents
-    addresses = sets.select("content")
+    addresses = sets.select("content").distinct()
     equal = materialise(
         history.select("content").join(addresses, "content", "left_semi").distinct(), "equal"
     )
@@ -118,7 +116,7 @@ def drop_contained(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     wanted = materialise(_keyed_elements(open_sets, "content", "content_size"), "wanted")
     held = materialise(
         _keyed_elements(history, F.col("content").alias("holder"))
-        .join(wanted.select("key"), "key", "left_semi")
+        .join(wanted.select("key").distinct(), "key", "left_semi")
         .distinct(),
         "held",
     )
@@ -131,11 +129,16 @@ def drop_contained(incoming: DataFrame, stored: DataFrame) -> DataFrame:
         .select("content", "content_size", F.col("rarest.key").alias("pivot")),
         "pivots",
     )
-    single = pivots.filter("content_size = 1").select("content")
-
-    # 3. common holders of all readings
+    contained = equal.unionByName(pivots.filter("content_size = 1").select("content"))
     several = pivots.filter("content_size > 1")
-    candidates = held.join(several.select(F.col("pivot").alias("key")), "key", "left_semi")
+    if not several.isEmpty():
+        contained = contained.unionByName(_commonly_held(several, wanted, held))
+    return new.join(contained, "content", "left_anti").select(*incoming.columns)
+
+
+def _commonly_held(several: DataFrame, wanted: DataFrame, held: DataFrame) -> DataFrame:
+    """Addresses of the sets in ``several`` of which one holder has all readings (step 3)."""
+    candidates = held.join(several.select(F.col("pivot").alias("key")).distinct(), "key", "left_semi")
     slots = number_rows(
         candidates.select(F.col("key.location").alias("station"), "holder").distinct(),
         ["station", "holder"],
@@ -151,15 +154,13 @@ def drop_contained(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     at_pivot = several.join(
         words.select(F.col("key").alias("pivot"), "word", F.col("bits").alias("pivot_bits")), "pivot"
     )
-    others = wanted.select("content", "key")
-    common = (
-        at_pivot.join(others, "content")
+    return (
+        at_pivot.join(wanted.select("content", "key"), "content")
         .filter(F.col("key") != F.col("pivot"))
         .join(words, ["key", "word"])
         .groupBy("content", "content_size", "word", "pivot_bits")
         .agg(F.count(F.lit(1)).alias("found"), F.bit_and("bits").alias("bits"))
         .filter("found = content_size - 1 AND (bits & pivot_bits) <> 0")
         .select("content")
+        .distinct()
     )
-    contained = equal.unionByName(single).unionByName(common).distinct()
-    return new.join(contained, "content", "left_anti").select(*incoming.columns)

@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", app: str = "sensormart", **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
     )
     for key, value in conf.items():
@@ -42,14 +43,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/sensormart/{app}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and continue from the copy.
 
     Used where a result feeds several later steps, or where recomputing it could
     give other values (row slots after range sampling). Losing an executor then
-    costs a re-read, not a recomputation.
+    costs a re-read, not a recomputation. ``spark`` reads the copy in another
+    session than the one of ``df``.
     """
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
