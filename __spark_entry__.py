@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracles  # noqa: E402
 from sensormart import fixtures, functions, operators
-from sensormart.plans import trend_by_hour
+from sensormart.plans import DIMENSIONS, fresh_star, trend_by_hour
 from sensormart.schemas import (
     FACT_TABLE,
     ID_COLUMNS,
@@ -34,12 +34,6 @@ from sensormart.sources import (
 )
 from sensormart.streaming import start_stream
 
-EXTRACT = {
-    LOCATION_TABLE: operators.location_dim,
-    PARAMETER_TABLE: operators.parameter_dim,
-    TIME_TABLE: operators.time_dim,
-}
-
 
 # -- sources -----------------------------------------------------------------
 def raw_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,22 +127,17 @@ def _counted(views: dict[str, DataFrame]) -> DataFrame:
 
 
 # -- cleaning ----------------------------------------------------------------
-def _flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = fixtures.flat_readings(spark, sf_dir)
-    return operators.flatten_measurements(fixtures.single_documents(flat))
-
-
 def measurement_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     flattened = operators.flatten_measurements(fixtures.documents(spark, sf_dir))
     return flattened.select("measurement_id", "parameter_name", "last_updated")
 
 
 def unit_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _units(_flattened(spark, sf_dir), strict=False)
+    return _units(fixtures.flattened(spark, sf_dir), strict=False)
 
 
 def unit_conversion_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _units(_flattened(spark, sf_dir), strict=True)
+    return _units(fixtures.flattened(spark, sf_dir), strict=True)
 
 
 def _units(readings: DataFrame, strict: bool) -> DataFrame:
@@ -159,7 +148,7 @@ def _units(readings: DataFrame, strict: bool) -> DataFrame:
 def paris_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = functions.epoch_seconds(F.col("last_updated"))
     local = functions.local_wall_clock(seconds)
-    return _flattened(spark, sf_dir).select(
+    return fixtures.flattened(spark, sf_dir).select(
         "measurement_id",
         "last_updated",
         local.alias("local_time"),
@@ -168,21 +157,21 @@ def paris_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pressure_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    converted = operators.harmonise_units(_flattened(spark, sf_dir))
+    converted = operators.harmonise_units(fixtures.flattened(spark, sf_dir))
     clamped = operators.clamp_pressure(converted)
     return clamped.select("measurement_id", "last_updated", "parameter_name", "value")
 
 
 def pressure_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The correction as a self-join, on one reading per key."""
-    converted = operators.harmonise_units(_flattened(spark, sf_dir))
+    converted = operators.harmonise_units(fixtures.flattened(spark, sf_dir))
     latest = operators.latest_per_key(converted, order=["last_updated", "value", "unit"])
     joined = operators.clamp_pressure_by_join(latest)
     return joined.select("measurement_id", "parameter_name", "value", "unit")
 
 
 def pressure_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return operators.max_pressure(_flattened(spark, sf_dir))
+    return operators.max_pressure(fixtures.flattened(spark, sf_dir))
 
 
 def clean_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +181,7 @@ def clean_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- dimensions --------------------------------------------------------------
 def _fresh(table: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = EXTRACT[table](fixtures.clean(spark, sf_dir))
+        rows = DIMENSIONS[table](fixtures.clean(spark, sf_dir))
         return operators.number_rows(rows, NATURAL_KEYS[table], ID_COLUMNS[table])
 
     return query
@@ -203,7 +192,7 @@ def _resolved(table: str) -> Callable[[SparkSession, str], DataFrame]:
         clean = fixtures.clean(spark, sf_dir)
         existing = fixtures.preloaded_dimension(clean, table)
         keys = NATURAL_KEYS[table]
-        return operators.resolve_ids(EXTRACT[table](clean), existing, keys, ID_COLUMNS[table])
+        return operators.resolve_ids(DIMENSIONS[table](clean), existing, keys, ID_COLUMNS[table])
 
     return query
 
@@ -213,32 +202,17 @@ def _new_rows(table: str) -> Callable[[SparkSession, str], DataFrame]:
         clean = fixtures.clean(spark, sf_dir)
         existing = fixtures.preloaded_dimension(clean, table)
         keys = NATURAL_KEYS[table]
-        resolved = operators.resolve_ids(EXTRACT[table](clean), existing, keys, ID_COLUMNS[table])
+        resolved = operators.resolve_ids(DIMENSIONS[table](clean), existing, keys, ID_COLUMNS[table])
         return operators.new_dimension_rows(resolved, existing, keys)
 
     return query
 
 
 # -- facts -------------------------------------------------------------------
-def _star(clean: DataFrame) -> dict[str, DataFrame]:
-    """Fresh dimensions and one fact per key."""
-    star = {
-        table: operators.number_rows(extract(clean), NATURAL_KEYS[table], ID_COLUMNS[table])
-        for table, extract in EXTRACT.items()
-    }
-    star[FACT_TABLE] = operators.build_facts(
-        operators.latest_per_key(clean),
-        star[LOCATION_TABLE],
-        star[PARAMETER_TABLE],
-        star[TIME_TABLE],
-    )
-    return star
-
-
 def fact_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reading, repeated keys included, with ids resolved against stored dimensions."""
     clean = fixtures.clean(spark, sf_dir)
-    resolved = [_resolved(table)(spark, sf_dir) for table in EXTRACT]
+    resolved = [_resolved(table)(spark, sf_dir) for table in DIMENSIONS]
     return operators.build_facts(clean, *resolved)
 
 
@@ -252,7 +226,7 @@ def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     reading and brings humidity.
     """
-    facts = _star(fixtures.clean(spark, sf_dir))[FACT_TABLE]
+    facts = fresh_star(fixtures.clean(spark, sf_dir))[FACT_TABLE]
     lower = F.lower(F.element_at(F.split("measurement_id", "_"), -1))
     target = facts.filter(lower != "relativehumidity")
     source = facts.filter(lower.isin("relativehumidity", "pressure")).withColumn(
@@ -263,7 +237,7 @@ def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def integrity_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules on a star with faults: a station twice, midnight hours missing from time."""
-    star = _star(fixtures.clean(spark, sf_dir))
+    star = fresh_star(fixtures.clean(spark, sf_dir))
     location = star[LOCATION_TABLE]
     star[LOCATION_TABLE] = location.unionByName(location.filter("country = 'ASIA'"))
     star[TIME_TABLE] = star[TIME_TABLE].filter("hour <> 0")
@@ -271,7 +245,7 @@ def integrity_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trend_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trend_by_hour(_star(fixtures.clean(spark, sf_dir)))
+    return trend_by_hour(fresh_star(fixtures.clean(spark, sf_dir)))
 
 
 # -- ingest ------------------------------------------------------------------

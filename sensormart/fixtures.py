@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensormart.operators import (
-    clean_measurements,
+    clean_readings,
     location_dim,
     number_rows,
     parameter_dim,
@@ -34,8 +34,15 @@ STORED_PARAMETERS = ["co", "no2", "pm25", "pressure"]
 ID_DIGITS = 12
 
 
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, value double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pad(number: Column) -> Column:
@@ -44,13 +51,8 @@ def _pad(number: Column) -> Column:
 
 def flat_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event: a reading with its document's fields. No shuffle."""
-    pairs = F.array(*[F.struct(F.lit(p).alias("parameter"), F.lit(u).alias("unit")) for p, u in PAIRS])
-    pair = F.element_at(pairs, (F.col("event_id") % len(PAIRS) + 1).cast("int"))
-    places = (
-        _table(spark, sf_dir, "nation")
-        .join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("country"))
-    )
+    pairs = ", ".join(f"('{parameter}', '{unit}')" for parameter, unit in PAIRS)
+    pair = F.expr(f"element_at(array({pairs}), CAST(event_id % {len(PAIRS)} + 1 AS INT))")
     block = F.expr("event_id div 1000")
     half = F.expr("user_id div 2")
     rows = F.expr("(user_id div 2) div 75")
@@ -63,16 +65,17 @@ def flat_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _table(spark, sf_dir, "events")
         .withColumn("pair", pair)
-        .withColumn("parameter", F.col("pair.parameter"))
-        .withColumn("unit", F.col("pair.unit"))
-        .join(places, F.col("user_id") % 25 == F.col("n_nationkey"))
+        .withColumn("parameter", F.col("pair.col1"))
+        .withColumn("unit", F.col("pair.col2"))
+        .join(_table(spark, sf_dir, "nation"), F.col("user_id") % 25 == F.col("n_nationkey"))
+        .join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             block.alias("block"),
             "user_id",
             F.concat(F.lit("doc"), _pad(block), _pad(F.col("user_id"))).alias("doc_id"),
             F.concat(F.lit("station-"), F.col("user_id").cast("string")).alias("location"),
-            "city",
-            "country",
+            F.col("n_name").alias("city"),
+            F.col("r_name").alias("country"),
             ((half % 75).cast("double") * 0.5 - 18.5).alias("latitude"),
             ((half % 75 + rows * 4).cast("double") - 37.0).alias("longitude"),
             "parameter",
@@ -109,24 +112,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_documents(flat_readings(spark, sf_dir))
 
 
-def single_documents(flat: DataFrame) -> DataFrame:
-    """Each reading as a document of its own, under its document's id: no shuffle.
-
-    Exploding them gives the same rows as exploding ``documents``.
-    """
-    return flat.select(
-        F.struct(F.col("doc_id").alias("oid")).alias("_id"),
-        "location",
+def flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``flatten_measurements`` gives for ``documents``, without nesting first: no shuffle."""
+    return flat_readings(spark, sf_dir).select(
+        F.concat("doc_id", F.lit("_"), "parameter").alias("measurement_id"),
         "city",
         "country",
-        F.struct("latitude", "longitude").alias("coordinates"),
-        F.array(F.struct("parameter", "value", "unit", "lastUpdated")).alias("measurements"),
-        F.lit(False).alias("processed"),
+        F.col("location").alias("location_name"),
+        "latitude",
+        "longitude",
+        F.lower("parameter").alias("parameter_name"),
+        "value",
+        "unit",
+        F.col("lastUpdated").alias("last_updated"),
     )
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_measurements(single_documents(flat_readings(spark, sf_dir)))
+    return clean_readings(flattened(spark, sf_dir))
 
 
 def preloaded_dimension(readings: DataFrame, table: str) -> DataFrame:

@@ -6,6 +6,7 @@ from sensormart.operators.clean import (
     clamp_pressure,
     clamp_pressure_by_join,
     clean_measurements,
+    clean_readings,
     flatten_measurements,
     harmonise_units,
     mark_processed,
@@ -42,6 +43,7 @@ __all__ = [
     "clamp_pressure",
     "clamp_pressure_by_join",
     "clean_measurements",
+    "clean_readings",
     "content_columns",
     "drop_contained",
     "drop_repeats",

@@ -120,13 +120,18 @@ def clamp_pressure_by_join(
     )
 
 
+def clean_readings(flat: DataFrame, zone: str = LOCAL_ZONE, strict: bool = False) -> DataFrame:
+    """Convert the time, harmonise, clamp."""
+    return clamp_pressure(harmonise_units(add_local_time(flat, zone), strict))
+
+
 def clean_measurements(
     docs: DataFrame,
     zone: str = LOCAL_ZONE,
     strict: bool = False,
     watch: Observation | None = None,
 ) -> DataFrame:
-    """Flatten, convert the time, harmonise, clamp.
+    """Flatten and clean.
 
     ``watch`` receives ``readings`` and ``max_pressure`` (as delivered, before any
     conversion) from whichever action runs first, without a pass of its own.
@@ -137,7 +142,7 @@ def clean_measurements(
         flat = flat.observe(
             watch, F.count(F.lit(1)).alias("readings"), F.max(pressure).alias("max_pressure")
         )
-    return clamp_pressure(harmonise_units(add_local_time(flat, zone), strict))
+    return clean_readings(flat, zone, strict)
 
 
 def max_pressure(readings: DataFrame) -> DataFrame:

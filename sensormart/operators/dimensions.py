@@ -82,19 +82,28 @@ def next_id(table: DataFrame, id_column: str) -> Column:
     return table.agg((F.coalesce(F.max(id_column), F.lit(0)) + 1).cast("bigint").alias("n")).scalar()
 
 
-def resolve_ids(rows: DataFrame, existing: DataFrame, keys: list[str], id_column: str) -> DataFrame:
+def resolve_ids(
+    rows: DataFrame,
+    existing: DataFrame,
+    keys: list[str],
+    id_column: str,
+    new_flag: str | None = None,
+) -> DataFrame:
     """Give every dimension row the id stored for its natural key, or the next free one.
 
     New ids follow the natural-key order, so the same batch always gets the same
     ids. New rows are sorted in front of known ones, which makes their rank
-    contiguous and lets one written copy serve both.
+    contiguous and lets one written copy serve both. ``new_flag`` names a boolean
+    column that tells them apart.
     """
     stored = existing.select(*keys, F.col(id_column).alias("_stored"))
     matched = rows.join(stored, keys, "left").withColumn("_known", F.col("_stored").isNotNull())
     ranked = number_rows(matched, ["_known", *keys], "_rank", first=0)
+    flag = [] if new_flag is None else [(~F.col("_known")).alias(new_flag)]
     return ranked.select(
         F.coalesce("_stored", next_id(existing, id_column) + F.col("_rank")).alias(id_column),
         *[c for c in rows.columns if c != id_column],
+        *flag,
     )
 
 

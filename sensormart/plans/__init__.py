@@ -4,5 +4,14 @@ from sensormart.plans.increment import run_increment
 from sensormart.plans.landing import land_documents, land_messages
 from sensormart.plans.load import load_pending
 from sensormart.plans.serving import trend_by_hour
+from sensormart.plans.star import DIMENSIONS, fresh_star
 
-__all__ = ["land_documents", "land_messages", "load_pending", "run_increment", "trend_by_hour"]
+__all__ = [
+    "DIMENSIONS",
+    "fresh_star",
+    "land_documents",
+    "land_messages",
+    "load_pending",
+    "run_increment",
+    "trend_by_hour",
+]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sensormart.operators import content_columns, drop_contained, drop_repeats
@@ -21,10 +21,12 @@ def land_messages(store: StarStore, messages: DataFrame, batch: str) -> None:
     """
     if store.committed(f"land-{batch}"):
         return
-    parsed = materialise(parse_messages(messages), "parsed", store.spark)
+    seen = Observation()
+    watched = parse_messages(messages).observe(seen, F.count("reject_reason").alias("rejects"))
+    parsed = materialise(watched, "parsed", store.spark)
     rejects = parsed.filter("reject_reason IS NOT NULL").select("raw", "reject_reason")
     documents = parsed.filter("reject_reason IS NULL").drop("reject_reason", "raw")
-    _land(store, documents, rejects, batch)
+    _land(store, documents, rejects if seen.get["rejects"] else None, batch)
 
 
 def land_documents(store: StarStore, documents: DataFrame, batch: str) -> None:

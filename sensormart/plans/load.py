@@ -9,31 +9,15 @@ from sensormart.operators import (
     build_facts,
     clean_measurements,
     latest_per_key,
-    location_dim,
-    new_dimension_rows,
-    parameter_dim,
     resolve_ids,
     split_unusable,
-    time_dim,
     unprocessed,
     unusable_reason,
 )
-from sensormart.schemas import (
-    FACT_TABLE,
-    ID_COLUMNS,
-    LOCATION_TABLE,
-    NATURAL_KEYS,
-    PARAMETER_TABLE,
-    TIME_TABLE,
-)
+from sensormart.plans.star import DIMENSIONS, for_each_dimension
+from sensormart.schemas import FACT_TABLE, ID_COLUMNS, NATURAL_KEYS
 from sensormart.sources.store import ADD, PROCESS, RAW_TABLE, REJECT_TABLE, REMOVE, StarStore
 
-DIMENSIONS = {
-    LOCATION_TABLE: location_dim,
-    PARAMETER_TABLE: parameter_dim,
-    TIME_TABLE: time_dim,
-}
-
 
 def load_pending(store: StarStore) -> dict[str, int | float | None]:
     """Load every raw segment that is not processed yet, as one atomic step.
@@ -51,10 +35,10 @@ def load_pending(store: StarStore) -> dict[str, int | float | None]:
     documents = unprocessed(store.read(RAW_TABLE, segments).drop("segment"))
     clean, unusable = split_unusable(clean_measurements(documents))
 
-    changes, dimensions = [], {}
-    for table, extract in DIMENSIONS.items():
-        dimensions[table] = _load_dimension(store, table, extract(clean), step)
-        changes.append((table, step, ADD))
+    dimensions = for_each_dimension(
+        lambda table, extract: _load_dimension(store, table, extract(clean), step)
+    )
+    changes = [(table, step, ADD) for table in DIMENSIONS]
 
     flat_counts, clean_counts = Observation(), Observation()
     watched = clean_measurements(documents, watch=flat_counts).observe(
@@ -75,10 +59,10 @@ def load_pending(store: StarStore) -> dict[str, int | float | None]:
 
 def _load_dimension(store: StarStore, table: str, rows: DataFrame, step: str) -> DataFrame:
     """Resolve ids, write the new rows, return natural keys and ids of the batch."""
-    keys, id_column = NATURAL_KEYS[table], ID_COLUMNS[table]
-    existing = store.table(table)
-    resolved = resolve_ids(rows, existing, keys, id_column)
-    store.write(table, step, new_dimension_rows(resolved, existing, keys))
+    resolved = resolve_ids(
+        rows, store.table(table), NATURAL_KEYS[table], ID_COLUMNS[table], new_flag="is_new"
+    )
+    store.write(table, step, resolved.filter("is_new"))
     return resolved
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
@@ -97,6 +98,12 @@ ID_COLUMNS = {
 }
 
 
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, and known to the optimizer as such: joins with it fold away."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).filter(F.lit(False)).select(*columns)
+
+
 def empty_table(spark: SparkSession, table: str) -> DataFrame:
     """The star table before the first load."""
-    return spark.createDataFrame([], STAR[table])
+    return empty_frame(spark, STAR[table])

@@ -8,11 +8,11 @@ One writer at a time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from sensormart.schemas import RAW_DOCUMENT, STAR
+from sensormart.schemas import RAW_DOCUMENT, STAR, empty_frame
 
 RAW_TABLE = "raw_data"
 REJECT_TABLE = "rejects"
@@ -40,38 +40,51 @@ class StarStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._entries: list[Row] | None = None
 
     # -- log -----------------------------------------------------------------
-    def _log(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], f"{LOG_SCHEMA}, step string")
-        log = f"{self.root}/_log"
-        if not self._exists(log):
-            return empty
-        return self.spark.read.schema(f"{LOG_SCHEMA}, step string").json(log)
+    def refresh(self) -> StarStore:
+        """Forget the log as last read, to see what another writer has logged."""
+        self._entries = None
+        return self
+
+    def _log(self) -> list[Row]:
+        """All log lines: a few per step, names only. Read once and kept."""
+        if self._entries is None:
+            log = f"{self.root}/_log"
+            found = self._exists(log)
+            self._entries = (
+                self.spark.read.schema(f"{LOG_SCHEMA}, step string").json(log).collect()
+                if found
+                else []
+            )
+        return self._entries
 
     def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return target.getFileSystem(conf).exists(target)
+        context = self.spark.sparkContext
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
 
     def committed(self, step: str) -> bool:
         """Has this step been logged?"""
-        return not self._log().filter(F.col("step") == step).isEmpty()
+        return any(row.step == step for row in self._log())
 
     def commit(self, step: str, changes: list[tuple[str, str, str]]) -> None:
         """Log ``(table, segment, action)`` changes: the point where a step takes effect.
 
         One task writes one small file, renamed into place as a whole.
         """
-        rows = self.spark.createDataFrame(changes, LOG_SCHEMA).coalesce(1)
+        names = ("table_name", "segment", "action")
+        lines = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, c)]) for c in changes]
+        rows = self.spark.range(1).coalesce(1).select(F.inline(F.array(*lines)))
         rows.write.mode("overwrite").json(f"{self.root}/_log/step={step}")
+        self.refresh()
 
     def segments(self, table: str, action: str = ADD) -> list[str]:
-        """Names of a table's segments with this action (added: and not removed)."""
-        rows = self._log().filter(F.col("table_name") == table).select("segment", "action").collect()
-        names = {r.segment for r in rows if r.action == action}
-        return sorted(names - {r.segment for r in rows if r.action == REMOVE})
+        """Names of a table's segments with this action, less those removed."""
+        rows = [row for row in self._log() if row.table_name == table]
+        removed = {row.segment for row in rows if row.action == REMOVE}
+        return sorted({row.segment for row in rows if row.action == action} - removed)
 
     def pending(self) -> list[str]:
         """Raw segments not processed yet."""
@@ -91,7 +104,7 @@ class StarStore:
         segments = self.segments(table) if segments is None else segments
         schema = StructType(list(SCHEMAS[table].fields)).add("segment", "string")
         if not segments:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}")
         return reader.parquet(*[self.path(table, s) for s in segments])
 
