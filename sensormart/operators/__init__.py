@@ -31,7 +31,7 @@ from sensormart.operators.dimensions import (
     resolve_ids,
     time_dim,
 )
-from sensormart.operators.facts import build_facts
+from sensormart.operators.facts import build_facts, latest_readings
 from sensormart.operators.integrity import integrity_violations
 from sensormart.operators.paging import latest_page
 from sensormart.operators.upsert import first_per_reading, latest_per_key, upsert_facts
@@ -53,6 +53,7 @@ __all__ = [
     "integrity_violations",
     "latest_page",
     "latest_per_key",
+    "latest_readings",
     "location_dim",
     "mark_processed",
     "max_pressure",

@@ -31,11 +31,15 @@ def parameter_dim(clean: DataFrame) -> DataFrame:
 
 
 def time_dim(clean: DataFrame) -> DataFrame:
-    """One row per local clock second, with its parts."""
+    """One row per local clock second, with its parts.
+
+    The missing time is dropped by its count: a filter on the column itself would
+    move below the aggregate, where each text would be parsed a second time.
+    """
     return (
-        clean.select("timestamp")
-        .distinct()
-        .filter("timestamp IS NOT NULL")
+        clean.groupBy("timestamp")
+        .agg(F.count("timestamp").alias("readings"))
+        .filter("readings > 0")
         .select(
             "timestamp",
             F.year("timestamp").alias("year"),

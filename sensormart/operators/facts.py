@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from sensormart.operators.upsert import LATEST, latest_per_key
+
 FACT_COLUMNS = ["measurement_id", "location_id", "parameter_id", "time_id", "value", "unit"]
 
 
+def latest_readings(clean: DataFrame) -> DataFrame:
+    """One reading per key, with the columns a fact needs and no others."""
+    columns = ["measurement_id", "latitude", "longitude", "parameter_name", "timestamp"]
+    return latest_per_key(clean.select(*columns, *LATEST))
+
+
 def build_facts(
     clean: DataFrame, location: DataFrame, parameter: DataFrame, time: DataFrame
 ) -> DataFrame:

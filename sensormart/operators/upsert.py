@@ -16,16 +16,16 @@ def latest_per_key(rows: DataFrame, key: str = "measurement_id", order: list[str
     An aggregate and not a row_number window: each map task keeps one row per
     key, so a key with a third of all rows does not land in one task.
     """
-    others = [c for c in rows.columns if c != key]
-    best = F.max_by(F.struct(*others), F.struct(*order)).alias("_best")
+    others = [c for c in rows.columns if c != key and c not in order]
+    best = F.max(F.struct(*order, *others)).alias("_best")
     return rows.groupBy(key).agg(best).select(key, "_best.*").select(*rows.columns)
 
 
 def first_per_reading(clean: DataFrame) -> DataFrame:
-    """One row per (key, parameter, time): the one with the smallest value."""
+    """One row per (key, parameter, time): the one with the smallest value, then unit."""
     keys = ["measurement_id", "parameter_name", "timestamp"]
-    others = [c for c in clean.columns if c not in keys]
-    smallest = F.min_by(F.struct(*others), F.struct("value", "unit")).alias("_first")
+    others = [c for c in clean.columns if c not in [*keys, "value", "unit"]]
+    smallest = F.min(F.struct("value", "unit", *others)).alias("_first")
     return clean.groupBy(*keys).agg(smallest).select(*keys, "_first.*").select(*clean.columns)
 
 

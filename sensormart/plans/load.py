@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sensormart.operators import (
     build_facts,
     clean_measurements,
-    latest_per_key,
+    latest_readings,
     resolve_ids,
     split_unusable,
     unprocessed,
@@ -33,7 +33,7 @@ def load_pending(store: StarStore) -> dict[str, int | float | None]:
         return {}
     step = f"load-{segments[0]}-{segments[-1]}"
     documents = unprocessed(store.read(RAW_TABLE, segments).drop("segment"))
-    clean, unusable = split_unusable(clean_measurements(documents))
+    clean = clean_measurements(documents)
 
     dimensions = for_each_dimension(
         lambda table, extract: _load_dimension(store, table, extract(clean), step)
@@ -44,13 +44,15 @@ def load_pending(store: StarStore) -> dict[str, int | float | None]:
     watched = clean_measurements(documents, watch=flat_counts).observe(
         clean_counts, F.count(unusable_reason()).alias("unusable")
     )
-    facts = build_facts(latest_per_key(split_unusable(watched)[0]), *dimensions.values())
-    store.write(FACT_TABLE, step, facts)
+    # An unusable reading never wins against a usable one: a missing time is the
+    # least. So it is enough to look at the winners, after the aggregation.
+    usable = latest_readings(watched).filter(unusable_reason().isNull())
+    store.write(FACT_TABLE, step, build_facts(usable, *dimensions.values()))
     changes += _replace_older(store, step)
 
     counts = {**flat_counts.get, **clean_counts.get}
     if counts["unusable"]:
-        store.write(REJECT_TABLE, step, _as_rejects(unusable))
+        store.write(REJECT_TABLE, step, _as_rejects(split_unusable(clean)[1]))
         changes.append((REJECT_TABLE, step, ADD))
     changes += [(RAW_TABLE, s, PROCESS) for s in segments]
     store.commit(step, changes)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from sensormart.operators import (
     build_facts,
-    latest_per_key,
+    latest_readings,
     location_dim,
     number_rows,
     parameter_dim,
@@ -41,4 +41,4 @@ def fresh_star(clean: DataFrame) -> dict[str, DataFrame]:
     star = for_each_dimension(
         lambda table, extract: number_rows(extract(clean), NATURAL_KEYS[table], ID_COLUMNS[table])
     )
-    return {**star, FACT_TABLE: build_facts(latest_per_key(clean), *star.values())}
+    return {**star, FACT_TABLE: build_facts(latest_readings(clean), *star.values())}
