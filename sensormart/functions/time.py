@@ -22,10 +22,12 @@ def epoch_seconds(text: Column) -> Column:
     )
     completed = (
         F.when(zoned, text)
-        .when(F.length(text) <= 10, F.concat(text, F.lit("T00:00:00Z")))
+        .when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
         .otherwise(F.concat(text, F.lit("Z")))
     )
-    return F.unix_seconds(F.try_to_timestamp(completed))
+    # Spark completes a bare time of day with today's date: only a date counts.
+    dated = F.when(F.substring(text, 5, 1) == "-", completed)
+    return F.unix_seconds(F.try_to_timestamp(dated))
 
 
 def _wall_clock(seconds: Column) -> Column:

@@ -92,6 +92,10 @@ def drop_contained(incoming: DataFrame, stored: DataFrame) -> DataFrame:
        contained when the words of all its readings have a common bit. A reading
        that a station repeats in all documents costs one bit per document there,
        and only in the words the pivot occurs in.
+
+    Copies are combined before they move. Where one reading may be in very many
+    documents, the other side of its join is written first: adaptive execution
+    splits a hot partition only if both sides come straight from a shuffle.
     """
     new = content_columns(incoming)
     bounds = new.filter("content_size > 0").agg(
@@ -107,20 +111,20 @@ def drop_contained(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 
     # 1. equal documents
     addresses = sets.select("content").distinct()
-    equal = materialise(
-        history.select("content").join(addresses, "content", "left_semi").distinct(), "equal"
-    )
+    stored_addresses = history.select("content").distinct()
+    equal = materialise(stored_addresses.join(addresses, "content", "left_semi"), "equal")
 
     # 2. readings that were never stored, single readings
-    open_sets = sets.join(equal, "content", "left_anti").distinct()
+    open_sets = sets.distinct().join(equal, "content", "left_anti")
     wanted = materialise(_keyed_elements(open_sets, "content", "content_size"), "wanted")
+    keys = materialise(wanted.select("key").distinct(), "keys")
     held = materialise(
         _keyed_elements(history, F.col("content").alias("holder"))
-        .join(wanted.select("key").distinct(), "key", "left_semi")
+        .join(keys, "key", "left_semi")
         .distinct(),
         "held",
     )
-    holders = held.groupBy("key").agg(F.count(F.lit(1)).alias("holders"))
+    holders = materialise(held.groupBy("key").agg(F.count(F.lit(1)).alias("holders")), "holders")
     pivots = materialise(
         wanted.join(holders, "key")
         .groupBy("content", "content_size")
@@ -138,7 +142,8 @@ def drop_contained(incoming: DataFrame, stored: DataFrame) -> DataFrame:
 
 def _commonly_held(several: DataFrame, wanted: DataFrame, held: DataFrame) -> DataFrame:
     """Addresses of the sets in ``several`` of which one holder has all readings (step 3)."""
-    candidates = held.join(several.select(F.col("pivot").alias("key")).distinct(), "key", "left_semi")
+    looked_up = materialise(several.select(F.col("pivot").alias("key")).distinct(), "looked-up")
+    candidates = held.join(looked_up, "key", "left_semi")
     slots = number_rows(
         candidates.select(F.col("key.location").alias("station"), "holder").distinct(),
         ["station", "holder"],

@@ -1,0 +1,90 @@
+import json
+
+import pytest
+
+from helpers import document, documents, reading, rows_of
+from sensormart.sources import (
+    decode_messages,
+    encode_messages,
+    has_geo,
+    kafka_sink_options,
+    kafka_source_options,
+    read_pages,
+    unnest_results,
+)
+from sensormart.sources.jdbc import merge_statement
+from sensormart.session import scratch_path
+
+
+def test_pages(spark, tmp_path):
+    doc = {"location": "s", "city": None, "coordinates": {"latitude": 1.5, "longitude": 2}, "measurements": [{"parameter": "co", "value": 1}]}
+    pages = [{"results": [doc, {"location": "t"}]}, {"results": []}, {"other": 1}]
+    for n, page in enumerate(pages):
+        (tmp_path / f"{n}.json").write_text(json.dumps(page, indent=2))
+    docs = unnest_results(read_pages(spark, str(tmp_path)))
+    assert rows_of(docs, "location") == [("s",), ("t",)]
+    assert rows_of(has_geo(docs), "location", "city", "coordinates.longitude") == [("s", None, 2.0)]
+
+
+def test_pages_by_line(spark, tmp_path):
+    lines = [json.dumps({"results": [{"location": f"s{i}"}]}) for i in range(5)]
+    (tmp_path / "pages.json").write_text("\n".join(lines))
+    assert unnest_results(read_pages(spark, str(tmp_path), one_per_line=True)).count() == 5
+
+
+def test_message_round_trip(spark):
+    docs = documents(spark, [document("a", [reading("co"), reading("pm25", None)], city=None), document("b", [], at=None)])
+    messages = encode_messages(docs)
+    assert dict(messages.dtypes) == {"value": "binary"}
+    assert '"city":null' in bytes(messages.filter("CAST(value AS STRING) LIKE '%pm25%'").first().value).decode()
+    good, rejects = decode_messages(messages)
+    assert rejects.isEmpty()
+    columns = ["location", "city", "country", "coordinates", "measurements"]
+    assert sorted(map(str, good.select(*columns).collect())) == sorted(map(str, docs.select(*columns).collect()))
+
+
+def test_bad_messages_become_rejects(spark):
+    texts = ['{"a":', '{"city": "c"}', '{"location": "s", "measurements": [{"value": "x"}]}', "", None, '{"location": "s"}']
+    good, rejects = decode_messages(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert rows_of(good, "location") == [("s",)]
+    assert sorted((r.reject_reason, r.raw) for r in rejects.collect() if r.raw) == [
+        ("malformed json", '{"a":'),
+        ("malformed json", '{"location": "s", "measurements": [{"value": "x"}]}'),
+        ("missing location", '{"city": "c"}'),
+    ]
+    assert rejects.count() == 5
+
+
+def test_kafka_options():
+    assert kafka_source_options("h:1") == {
+        "kafka.bootstrap.servers": "h:1",
+        "subscribe": "air_quality",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "200",
+    }
+    assert "maxOffsetsPerTrigger" not in kafka_source_options("h:1", per_trigger=None)
+    assert kafka_sink_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "topic": "t"}
+
+
+def test_merge_statement_updates_all_but_the_key():
+    text = merge_statement("staged")
+    assert text.startswith("INSERT INTO air_quality_measurements (measurement_id, location_id")
+    assert "ON CONFLICT (measurement_id) DO UPDATE SET location_id = EXCLUDED.location_id" in text
+    assert "measurement_id = EXCLUDED" not in text and text.count("EXCLUDED.") == 5
+
+
+def test_scratch_folder_is_the_configured_one(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(base)
+
+
+def test_no_local_scratch_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        scratch_path(Session(), "x")
