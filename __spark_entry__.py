@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracles  # noqa: E402
 from sensormart import fixtures, functions, operators
-from sensormart.plans import DIMENSIONS, fresh_star, trend_by_hour
+from sensormart.plans import DIMENSIONS, for_each_dimension, fresh_star, trend_by_hour
 from sensormart.schemas import (
     FACT_TABLE,
     ID_COLUMNS,
@@ -212,8 +212,8 @@ def _new_rows(table: str) -> Callable[[SparkSession, str], DataFrame]:
 def fact_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reading, repeated keys included, with ids resolved against stored dimensions."""
     clean = fixtures.clean(spark, sf_dir)
-    resolved = [_resolved(table)(spark, sf_dir) for table in DIMENSIONS]
-    return operators.build_facts(clean, *resolved)
+    resolved = for_each_dimension(lambda table, extract: _resolved(table)(spark, sf_dir))
+    return operators.build_facts(clean, *resolved.values())
 
 
 def first_per_reading(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,6 +97,7 @@ def test_hot_timestamp_is_split(spark, tmp_path):
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     }
