@@ -22,7 +22,7 @@ from sensormart.schemas import (
     PARAMETER_TABLE,
     TIME_TABLE,
 )
-from sensormart.session import scratch_path
+from sensormart.session import materialise, scratch_path
 from sensormart.sources import (
     StarStore,
     decode_messages,
@@ -251,6 +251,8 @@ def trend_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- ingest ------------------------------------------------------------------
 def containment_new_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     incoming, stored = fixtures.history_and_redelivery(spark, sf_dir)
+    # As in the store: the history is kept with its content columns.
+    stored = materialise(operators.content_columns(stored), "stored")
     new = operators.drop_contained(incoming, stored)
     return new.select(F.col("_id.oid").alias("doc_id"), F.size("measurements").alias("readings"))
 

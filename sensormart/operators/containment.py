@@ -97,7 +97,8 @@ def drop_contained(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     documents, the other side of its join is written first: adaptive execution
     splits a hot partition only if both sides come straight from a shuffle.
     """
-    new = content_columns(incoming)
+    described = "content" in incoming.columns
+    new = incoming if described else materialise(content_columns(incoming), "described")
     bounds = new.filter("content_size > 0").agg(
         F.min("last_updated").alias("lo"), F.max("first_updated").alias("hi")
     )
@@ -115,7 +116,7 @@ def drop_contained(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     equal = materialise(stored_addresses.join(addresses, "content", "left_semi"), "equal")
 
     # 2. readings that were never stored, single readings
-    open_sets = sets.distinct().join(equal, "content", "left_anti")
+    open_sets = sets.dropDuplicates(["content"]).join(equal, "content", "left_anti")
     wanted = materialise(_keyed_elements(open_sets, "content", "content_size"), "wanted")
     keys = materialise(wanted.select("key").distinct(), "keys")
     held = materialise(

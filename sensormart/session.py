@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -27,6 +28,11 @@ def local_session(cores: int | str = "*", app: str = "sensormart", **conf: str)
     return spark
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="sensormart-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for an intermediate table, in the cluster's shared folder.
 
@@ -37,8 +43,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="sensormart-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     app = spark.conf.get("spark.app.id", "app")
     return f"{base.rstrip('/')}/sensormart/{app}/{name}-{uuid.uuid4().hex}"
 

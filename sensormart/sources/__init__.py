@@ -7,8 +7,10 @@ from sensormart.sources.messages import (
     kafka_source_options,
     parse_messages,
     read_message_files,
+    read_topic,
+    write_topic,
 )
-from sensormart.sources.pages import has_geo, read_pages, unnest_results
+from sensormart.sources.pages import has_geo, read_documents, read_pages, unnest_results
 from sensormart.sources.store import StarStore
 
 __all__ = [
@@ -19,7 +21,10 @@ __all__ = [
     "kafka_sink_options",
     "kafka_source_options",
     "parse_messages",
+    "read_documents",
     "read_message_files",
     "read_pages",
+    "read_topic",
     "unnest_results",
+    "write_topic",
 ]

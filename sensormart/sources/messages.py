@@ -81,3 +81,14 @@ def kafka_source_options(
 def kafka_sink_options(servers: str, topic: str = TOPIC) -> dict[str, str]:
     """Options for ``encode_messages(docs).write.format("kafka")``."""
     return {"kafka.bootstrap.servers": servers, "topic": topic}
+
+
+def read_topic(spark: SparkSession, servers: str, topic: str = TOPIC) -> DataFrame:
+    """Stream of a Kafka topic. The Kafka connector must be on the class path."""
+    return spark.readStream.format("kafka").options(**kafka_source_options(servers, topic)).load()
+
+
+def write_topic(docs: DataFrame, servers: str, topic: str = TOPIC) -> None:
+    """Send documents to a Kafka topic, one message each."""
+    options = kafka_sink_options(servers, topic)
+    encode_messages(docs).write.format("kafka").options(**options).save()

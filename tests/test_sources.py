@@ -9,6 +9,7 @@ from sensormart.sources import (
     has_geo,
     kafka_sink_options,
     kafka_source_options,
+    read_documents,
     read_pages,
     unnest_results,
 )
@@ -78,13 +79,32 @@ def test_scratch_folder_is_the_configured_one(spark):
     assert scratch_path(spark, "x").startswith(base)
 
 
-def test_no_local_scratch_on_a_cluster():
+def _session(**settings):
+    """A stand-in with these settings only."""
+
     class Conf:
         def get(self, key, default=None):
-            return {"spark.master": "yarn"}.get(key, default)
+            return settings.get(key, default)
 
     class Session:
         conf = Conf()
 
+    return Session()
+
+
+def test_no_local_scratch_on_a_cluster():
     with pytest.raises(RuntimeError):
-        scratch_path(Session(), "x")
+        scratch_path(_session(**{"spark.master": "yarn"}), "x")
+    shared = _session(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///c/"})
+    assert scratch_path(shared, "x").startswith("hdfs:///c/sensormart/")
+
+
+def test_local_session_may_use_a_temporary_folder():
+    local = _session(**{"spark.master": "local[2]"})
+    assert scratch_path(local, "x") != scratch_path(local, "x")
+
+
+def test_stored_documents(spark, tmp_path):
+    docs = documents(spark, [document("a", [reading()])])
+    docs.write.parquet(str(tmp_path / "d"))
+    assert rows_of(read_documents(spark, str(tmp_path / "d")), "_id.oid") == [("a",)]
