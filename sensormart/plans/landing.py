@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sensormart.operators import content_columns, drop_contained, drop_repeats
 from sensormart.session import materialise
 from sensormart.sources.messages import parse_messages
-from sensormart.sources.store import ADD, RAW_TABLE, REJECT_TABLE, StarStore
+from sensormart.sources.store import ADD, RAW_TABLE, REJECT_TABLE, SKIP, StarStore
 
 
 def land_messages(store: StarStore, messages: DataFrame, batch: str) -> None:
@@ -39,19 +39,31 @@ def _land(store: StarStore, documents: DataFrame, rejects: DataFrame | None, bat
     step = f"land-{batch}"
     described = content_columns(documents)
     # The id follows from batch and content: a repeated batch gets the same ids.
-    oid = F.sha2(F.concat(F.lit(f"{batch}|"), F.col("content")), 256)
+    # The batch comes first, so the keys of a batch lie together.
+    oid = F.concat(F.lit(f"{batch}-"), F.col("content"))
+    named = described.withColumns({"_id": F.struct(oid.alias("oid")), "processed": F.lit(False)})
+    times = Observation()
     arrived = materialise(
-        drop_repeats(
-            described.withColumn("_id", F.struct(oid.alias("oid"))).withColumn(
-                "processed", F.lit(False)
-            )
+        drop_repeats(named).observe(
+            times, F.min("last_updated").alias("least"), F.max("first_updated").alias("greatest")
         ),
         "arrived",
+        store.spark,
     )
-    has_history = bool(store.segments(RAW_TABLE))
-    new = drop_contained(arrived, store.table(RAW_TABLE)) if has_history else arrived
-    store.write(RAW_TABLE, step, new)
-    changes = [(RAW_TABLE, step, ADD)]
+    history = store.overlapping(RAW_TABLE, times.get["least"], times.get["greatest"])
+    new = drop_contained(arrived, store.read(RAW_TABLE, history)) if history else arrived
+
+    kept = Observation()
+    watched = new.observe(
+        kept,
+        F.count(F.lit(1)).alias("rows"),
+        F.min("first_updated").alias("least"),
+        F.max("last_updated").alias("greatest"),
+    )
+    store.write(RAW_TABLE, step, watched)
+    # Without a new document there is nothing to load: the step is only noted.
+    action = ADD if kept.get["rows"] else SKIP
+    changes = [(RAW_TABLE, step, action, kept.get["least"], kept.get["greatest"])]
     if rejects is not None:
         store.write(REJECT_TABLE, step, rejects)
         changes.append((REJECT_TABLE, step, ADD))

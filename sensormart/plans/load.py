@@ -47,8 +47,12 @@ def load_pending(store: StarStore) -> dict[str, int | float | None]:
     # An unusable reading never wins against a usable one: a missing time is the
     # least. So it is enough to look at the winners, after the aggregation.
     usable = latest_readings(watched).filter(unusable_reason().isNull())
-    store.write(FACT_TABLE, step, build_facts(usable, *dimensions.values()))
-    changes += _replace_older(store, step)
+    keys = Observation()
+    facts = build_facts(usable, *dimensions.values()).observe(
+        keys, F.min("measurement_id").alias("least"), F.max("measurement_id").alias("greatest")
+    )
+    store.write(FACT_TABLE, step, facts)
+    changes += _replace_older(store, step, keys.get["least"], keys.get["greatest"])
 
     counts = {**flat_counts.get, **clean_counts.get}
     if counts["unusable"]:
@@ -68,23 +72,34 @@ def _load_dimension(store: StarStore, table: str, rows: DataFrame, step: str) ->
     return resolved
 
 
-def _replace_older(store: StarStore, step: str) -> list[tuple[str, str, str]]:
+def _replace_older(
+    store: StarStore, step: str, least: str | None, greatest: str | None
+) -> list[tuple]:
     """Take the keys just written out of older segments.
 
-    A document lands once, so its keys are normally new and this finds nothing;
-    then no stored fact is rewritten. Otherwise only the segments that hold one
-    of the keys are written again, without those rows.
+    A document lands once and its keys start with its batch, so the key ranges of
+    loads are normally apart, and the log alone tells that nothing is to be done.
+    Otherwise only the segments that hold one of the keys are written again,
+    without those rows.
     """
+    changes = [(FACT_TABLE, step, ADD, least, greatest)]
+    near = store.overlapping(FACT_TABLE, least, greatest)
+    if not near:
+        return changes
     keys = store.read(FACT_TABLE, [step]).select("measurement_id")
-    stored = store.read(FACT_TABLE)
+    stored = store.read(FACT_TABLE, near).filter(F.col("measurement_id").between(least, greatest))
     touched = stored.join(keys, "measurement_id", "left_semi").select("segment").distinct()
     old = [row.segment for row in touched.collect()]
-    changes = [(FACT_TABLE, step, ADD)]
     if old:
         kept = f"{step}-kept"
+        range_ = Observation()
         rest = store.read(FACT_TABLE, old).join(keys, "measurement_id", "left_anti")
+        rest = rest.observe(
+            range_, F.min("measurement_id").alias("least"), F.max("measurement_id").alias("greatest")
+        )
         store.write(FACT_TABLE, kept, rest)
-        changes += [(FACT_TABLE, kept, ADD), *[(FACT_TABLE, s, REMOVE) for s in old]]
+        added = (FACT_TABLE, kept, ADD, range_.get["least"], range_.get["greatest"])
+        changes += [added, *[(FACT_TABLE, s, REMOVE) for s in old]]
     return changes
 
 

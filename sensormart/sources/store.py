@@ -29,9 +29,10 @@ RAW_STORED = StructType(
 REJECTED = StructType().add("raw", StringType()).add("reject_reason", StringType())
 
 SCHEMAS = {**STAR, RAW_TABLE: RAW_STORED, REJECT_TABLE: REJECTED}
-LOG_SCHEMA = "table_name string, segment string, action string"
+LOG_COLUMNS = ["table_name", "segment", "action", "least", "greatest"]
+LOG_SCHEMA = ", ".join(f"{c} string" for c in [*LOG_COLUMNS, "step"])
 
-ADD, REMOVE, PROCESS = "add", "remove", "process"
+ADD, REMOVE, PROCESS, SKIP = "add", "remove", "process", "skip"
 
 
 class StarStore:
@@ -54,7 +55,7 @@ class StarStore:
             log = f"{self.root}/_log"
             found = self._exists(log)
             self._entries = (
-                self.spark.read.schema(f"{LOG_SCHEMA}, step string").json(log).collect()
+                self.spark.read.schema(LOG_SCHEMA).json(log).collect()
                 if found
                 else []
             )
@@ -69,13 +70,16 @@ class StarStore:
         """Has this step been logged?"""
         return any(row.step == step for row in self._log())
 
-    def commit(self, step: str, changes: list[tuple[str, str, str]]) -> None:
+    def commit(self, step: str, changes: list[tuple]) -> None:
         """Log ``(table, segment, action)`` changes: the point where a step takes effect.
 
+        An added segment may carry the range of its keys, ``(..., least, greatest)``.
         One task writes one small file, renamed into place as a whole.
         """
-        names = ("table_name", "segment", "action")
-        lines = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, c)]) for c in changes]
+        lines = [
+            F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(LOG_COLUMNS, c)])
+            for c in ((*change, None, None)[: len(LOG_COLUMNS)] for change in changes)
+        ]
         rows = self.spark.range(1).coalesce(1).select(F.inline(F.array(*lines)))
         rows.write.mode("overwrite").json(f"{self.root}/_log/step={step}")
         self.refresh()
@@ -86,6 +90,21 @@ class StarStore:
         removed = {row.segment for row in rows if row.action == REMOVE}
         return sorted({row.segment for row in rows if row.action == action} - removed)
 
+    def overlapping(self, table: str, least: str | None, greatest: str | None) -> list[str]:
+        """Live segments whose key range meets ``least`` to ``greatest``.
+
+        Settled from the log, no file is opened. An unknown range always meets.
+        """
+        if least is None or greatest is None:
+            return []
+        ranges = {r.segment: r for r in self._log() if r.table_name == table and r.action == ADD}
+        return [
+            name
+            for name in self.segments(table)
+            if ranges[name].least is None
+            or (ranges[name].least <= greatest and least <= ranges[name].greatest)
+        ]
+
     def pending(self) -> list[str]:
         """Raw segments not processed yet."""
         return sorted(set(self.segments(RAW_TABLE)) - set(self.segments(RAW_TABLE, PROCESS)))
@@ -121,4 +140,9 @@ class StarStore:
         if self.committed(step) or len(old) < 2:
             return
         self.write(table, step, self.read(table, old))
-        self.commit(step, [(table, step, ADD), *[(table, s, REMOVE) for s in old]])
+        known = [r for r in self._log() if r.table_name == table and r.action == ADD and r.segment in old]
+        covered = all(r.least is not None for r in known)
+        least = min(r.least for r in known) if covered else None
+        greatest = max(r.greatest for r in known) if covered else None
+        added = (table, step, ADD, least, greatest)
+        self.commit(step, [added, *[(table, s, REMOVE) for s in old]])

@@ -33,7 +33,10 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, sf_dir, duck, name):
-    got = _ordered(contract.queries()[name](spark, sf_dir).toPandas())
+    result = contract.queries()[name](spark, sf_dir)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("NestedLoop", "Cartesian", "Python"))
+    got = _ordered(result.toPandas())
     expected = _ordered(duck.sql(contract.oracle_sql()[name]).df())
     assert list(got.columns) == list(expected.columns)
     assert list(got.dtypes) == list(expected.dtypes)
