@@ -14,7 +14,8 @@ def trend_by_hour(star: dict[str, DataFrame]) -> DataFrame:
     Facts are summed per id pair before any join: the map tasks combine the rows
     of one timestamp, so a timestamp shared by a third of all readings does not
     pile up, and the joins see far fewer rows. Sums are decimal, because a sum of
-    doubles depends on the order in which partitions arrive.
+    doubles depends on the order in which partitions arrive; a value that is not a
+    number or beyond the decimals counts as a reading but not in the average.
     """
     exact = F.col("value").try_cast("decimal(28,8)")
     per_second = (
@@ -24,6 +25,7 @@ def trend_by_hour(star: dict[str, DataFrame]) -> DataFrame:
         .agg(
             F.count("value").alias("n"),
             F.sum(exact).alias("total"),
+            F.count(exact).alias("summed"),
             F.min("value").alias("least"),
             F.max("value").alias("greatest"),
         )
@@ -35,6 +37,7 @@ def trend_by_hour(star: dict[str, DataFrame]) -> DataFrame:
         .agg(
             F.sum("n").alias("readings"),
             F.sum("total").alias("total"),
+            F.sum("summed").alias("summed"),
             F.min("least").alias("min_value"),
             F.max("greatest").alias("max_value"),
         )
@@ -47,7 +50,7 @@ def trend_by_hour(star: dict[str, DataFrame]) -> DataFrame:
             "day",
             "hour",
             "readings",
-            (F.col("total").cast("double") / F.col("readings")).alias("avg_value"),
+            F.try_divide(F.col("total").cast("double"), F.col("summed")).alias("avg_value"),
             "min_value",
             "max_value",
         )

@@ -91,6 +91,12 @@ def test_trend(spark):
     assert got == [("co", 14, 2, 2.5, 1.0, 4.0), ("no2", 14, 1, 2.0, 2.0, 2.0), ("no2", 15, 1, 2.0, 2.0, 2.0)]
 
 
+def test_trend_without_numbers(spark):
+    docs = documents(spark, [document("a", [reading("co", None)]), document("b", [reading("no2", float("nan")), reading("NO2", 4.0)])])
+    trend = trend_by_hour(fresh_star(clean_measurements(docs)))
+    assert rows_of(trend, "parameter_name", "readings", "avg_value", "min_value") == [("co", 0, None, None), ("no2", 2, 4.0, 4.0)]
+
+
 def test_hot_timestamp_is_split(spark, tmp_path):
     """One timestamp holds most readings; adaptive execution splits its partition."""
     settings = {

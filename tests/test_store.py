@@ -79,7 +79,8 @@ def test_split_gives_the_same_star(spark, tmp_path):
     run_increment(whole, _messages(spark, docs), "all")
     for n, doc in enumerate(docs):
         land_documents(split, spark.createDataFrame([json.loads(json.dumps(doc))], MESSAGE), f"d{n}")
-    assert len(split.pending()) == len(docs)
+    # Two documents hold nothing new: their deliveries leave nothing to load.
+    assert split.pending() == [f"land-d{n}" for n in (0, 1, 3, 4, 6)]
     load_pending(split)
     # Within one batch only equal documents are dropped; across batches contained ones too.
     assert set(_natural(split)) == set(_natural(whole))
