@@ -34,6 +34,12 @@ from sensormart.sources import (
 )
 from sensormart.streaming import start_stream
 
+try:
+    import corpus_pipeline
+    from sensormart.llm import queries as llm
+except ImportError:
+    llm = None
+
 
 # -- sources -----------------------------------------------------------------
 def raw_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,7 +307,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return trend_query(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def star_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "raw_unnest": raw_unnest,
         "message_round_trip": message_round_trip,
@@ -338,5 +344,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    registered = star_queries()
+    if llm is not None:
+        registered |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    return registered
+
+
 def oracle_sql() -> dict[str, str]:
-    return oracles.all_queries()
+    texts = oracles.all_queries()
+    if llm is not None:
+        texts |= llm.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            texts["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return texts

@@ -28,12 +28,12 @@ def _ordered(frame):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.star_queries()) == set(contract.oracles.all_queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.star_queries()))
 def test_query(spark, sf_dir, duck, name):
-    result = contract.queries()[name](spark, sf_dir)
+    result = contract.star_queries()[name](spark, sf_dir)
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("NestedLoop", "Cartesian", "Python"))
     got = _ordered(result.toPandas())
