@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from sensormart.llm.common import slices, text_or_empty, tokenizer_path
-from sensormart.llm.pieces import PieceEncoder
+from sensormart.llm.pieces import IdEncoder
 
 #: Bits of a sequence id: bucket, partition, number within both.
 _PARTITION_BITS, _SLOT_BITS = 22, 36
@@ -50,7 +50,7 @@ def pack_documents(
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_path(tokenizer), _short, b"".join)
+        encoder = IdEncoder(tokenizer_path(tokenizer))
         partition = TaskContext.get().partitionId()
         used = [0] * max_tokens.bit_length()
         for batch in batches:
@@ -82,7 +82,3 @@ def pack_documents(
         "sequence_id long, offset long",
     )
 
-
-def _short(ids: list[int]) -> bytes:
-    """Ids as 16-bit numbers, which halves the cache; the vocabulary must fit."""
-    return np.array(ids, "<u2").tobytes()

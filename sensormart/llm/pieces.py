@@ -13,7 +13,9 @@ from __future__ import annotations
 import functools
 import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
+
+import numpy as np
 
 #: The characters with Unicode's White_Space property.
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -21,10 +23,25 @@ _PIECES = re.compile(f"[{SPACES}]?[^{SPACES}]+|[{SPACES}]+(?=[{SPACES}][^{SPACES
 #: In front of a key: encode the piece as it stands, without a space before it.
 _AS_IS = "\0"
 #: Entries of one of the two generations of a worker's cache.
-ROOM = 300_000
+ROOM = 600_000
 _CUT = ".,;:!?"
 
 
+@functools.cache
+def word_ends(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """For each id, whether it begins with a space, and whether it ends a word.
+
+    Byte-level vocabularies mark the first, those with word ends the second.
+    """
+    vocabulary = load_tokenizer(path).get_vocab()
+    first, last = (np.zeros(max(vocabulary.values()) + 1, bool) for _ in range(2))
+    for token, number in vocabulary.items():
+        first[number], last[number] = token.startswith("\u0120"), token.endswith("</w>")
+    if last.any():
+        first[:] = False
+    return first, last
+
+
 @functools.cache
 def load_tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,30 +81,31 @@ def is_plain(key: str) -> bool:
 
 
 class PieceEncoder:
-    """Ids, or anything made of them, for whole texts.
+    """Values made of the ids of whole texts; subclasses say which.
 
-    ``value`` turns the ids of a piece into what is kept, ``join`` puts the kept
-    values of a text together. ``known`` holds values that all workers share.
+    ``known`` holds values by piece that all workers share.
     """
 
-    def __init__(
-        self,
-        path: str,
-        value: Callable[[list[int]], object],
-        join: Callable[[Iterable], object],
-        known: dict | None = None,
-        room: int = ROOM,
-    ) -> None:
+    def __init__(self, path: str, known: dict | None = None, room: int = ROOM) -> None:
         self.tokenizer = load_tokenizer(path)
-        self.value, self.join, self.room = value, join, room
-        self.known = known or {}
+        self.first, self.last = word_ends(path)
+        self.known, self.room = known or {}, room
         self.new: dict = {}
         self.old: dict = {}
-        self.marks = {mark: value(self._library([mark])[0]) for mark in _CUT}
-        self.nothing = join([])
+        self.marks = {mark: self.one(self._library([mark])[0]) for mark in _CUT}
+        self.nothing = self.join([])
+
+    def cut(self, ids: np.ndarray, starts: list[int] | np.ndarray) -> list:
+        """The values of the runs of ``ids`` that begin at ``starts``."""
+        raise NotImplementedError
 
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def one(self, ids: np.ndarray):
+        """The value of one piece."""
+        raise NotImplementedError
+
+    def join(self, values: Iterable):
+        """The value of a text from the values of its pieces."""
+        raise NotImplementedError
 
     def encode(self, texts: list[str]) -> list:
         keys = [self._keys(text) for text in texts]
@@ -101,7 +119,7 @@ class PieceEncoder:
             self._learn(set().union(*(k for k in keys if k is not None)), exact=True)
         found = self.new.__getitem__
         return [
-            self.value(self._library([text])[0]) if k is None else self.join(map(found, k))
+            self.one(self._library([text])[0]) if k is None else self.join(map(found, k))
             for k, text in zip(keys, texts, strict=True)
         ]
 
@@ -115,39 +133,94 @@ class PieceEncoder:
         """
         if not exact and len(self.new) + len(wanted) > self.room and self.new:
             self.old, self.new = self.new, {}
-        rough, open_keys = set(), []
-        for key in wanted.difference(self.new):
-            value = self.known.get(key)
-            if value is None:
-                value = self.old.get(key)
-            if value is not None:
-                self.new[key] = value
+        new, old, known = self.new, self.old, self.known
+        open_keys = wanted.difference(new)
+        for held in (known, old):
+            new.update({key: held[key] for key in open_keys.intersection(held)})
+        words, marked, others, rough = set(), [], [], set()
+        for key in open_keys.difference(new):
+            if key.isalpha():
+                words.add(key)
+            elif key[-1:] in _CUT and key[:-1].isalpha() and _is_latin(key[:-1]):
+                marked.append(key)
             elif key == _AS_IS:
-                self.new[key] = self.nothing
+                new[key] = self.nothing
             elif not exact and not is_plain(key):
                 rough.add(key)
             else:
-                open_keys.append(key)
+                others.append(key)
         # A mark after a letter is always a token of its own.
-        split = [k[:-1] for k in open_keys if self._ends_in_mark(k)]
-        whole = [k for k in open_keys if not self._ends_in_mark(k)]
-        whole += [k for k in set(split) if k not in self.new and not self._ends_in_mark(k)]
-        whole = list(dict.fromkeys(whole))
-        for start in range(0, len(whole), 2048):
-            part = whole[start : start + 2048]
+        bases = {key[:-1] for key in marked}.difference(new)
+        new.update({key: old[key] for key in bases.intersection(old)})
+        words |= bases.difference(old)
+        others += [key for key in words if not _is_latin(key)]
+        words = [key for key in words if _is_latin(key)]
+        for start in range(0, len(words), 1024):
+            part = words[start : start + 1024]
+            values = self._words(part)
+            if values is None:
+                others += part
+            else:
+                new.update(zip(part, values, strict=True))
+        for start in range(0, len(others), 1024):
+            part = others[start : start + 1024]
             for key, ids in zip(part, self._library([_piece(k) for k in part]), strict=True):
-                self.new[key] = self.value(ids)
-        for key in open_keys:
-            if key not in self.new:
-                self.new[key] = self.join([self.new[key[:-1]], self.marks[key[-1]]])
+                new[key] = self.one(ids)
+        for key in marked:
+            new[key] = self.join((new[key[:-1]], self.marks[key[-1]]))
         return rough
 
-    @staticmethod
-    def _ends_in_mark(key: str) -> bool:
-        return len(key) > 2 and key[-1] in _CUT and key[-2].isalpha() and key[-2] < "ɐ"
+    def _words(self, words: list[str]) -> list | None:
+        """The values of words of Latin letters, encoded as one text.
+
+        Each is one token group of the library, told apart by the ids that begin
+        or end a word. None if that gives another number of words.
+        """
+        ids = self._library([" " + " ".join(words)])[0]
+        if self.first.any():
+            starts = np.flatnonzero(self.first[ids])
+        else:
+            starts = np.concatenate([[0], np.flatnonzero(self.last[ids])[:-1] + 1])
+        return self.cut(ids, starts) if len(starts) == len(words) else None
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in encoded]
+
+
+def _is_latin(word: str) -> bool:
+    return word.isascii() or max(word) < "ɐ"
 
 
 def _piece(key: str) -> str:
     if key[0] == _AS_IS:
         return key[1:]
     return key if key[0] == "\n" else " " + key
+
+
+class IdEncoder(PieceEncoder):
+    """The ids themselves, as 16-bit numbers in bytes; the vocabulary must fit."""
+
+    def cut(self, ids, starts):
+        data = ids.astype("<u2").tobytes()
+        ends = [*starts[1:], len(ids)]
+        return [data[2 * s : 2 * e] for s, e in zip(starts, ends, strict=True)]
+
+    def one(self, ids):
+        return ids.astype("<u2").tobytes()
+
+    def join(self, values):
+        return b"".join(values)
+
+
+class CountEncoder(PieceEncoder):
+    """Numbers of ids."""
+
+    def cut(self, ids, starts):
+        return np.diff(np.append(starts, len(ids))).tolist()
+
+    def one(self, ids):
+        return len(ids)
+
+    def join(self, values):
+        return sum(values)

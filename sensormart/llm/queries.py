@@ -6,8 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensormart.llm.common import table
+from sensormart.llm.licenses import scan_licenses
+from sensormart.llm.mixing import mix_documents
+from sensormart.llm.oracles import MIXING, WARC
 from sensormart.llm.packing import pack_documents
+from sensormart.llm.quality import judge_documents
 from sensormart.llm.token_counts import count_tokens
+from sensormart.llm.token_files import read_token_files, write_token_files
+from sensormart.llm.warc import read_warc, write_warc
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,13 +28,43 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row")
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_token_files(table(spark, sf_dir, "documents"))
+    return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_warc(write_warc(table(spark, sf_dir, "pages"))).drop("payload")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_documents(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_token_files": op3_token_files,
     "op5_token_counts": op5_token_counts,
+    "op7_warc": op7_warc,
+    "op8_mixing": op8_mixing,
+    "op9_licenses": op9_licenses,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op7_warc": WARC,
+    "op8_mixing": MIXING,
+}

@@ -1,0 +1,95 @@
+"""Mixing against the queueing rule applied row by row."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from sensormart.llm import mixing
+
+
+def _size(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def _brute(rows):
+    """rows: (doc_id, text, source)."""
+    docs = []
+    for doc_id, text, source in rows:
+        digest = hashlib.md5(":".join(["mix"] + ([] if doc_id is None else [str(doc_id)])).encode()).hexdigest()
+        docs.append((doc_id, source, _size(text), int(digest[:15], 16)))
+    names = sorted({d[1] for d in docs}, key=lambda s: (s is None, s or ""))
+    weight = {s: (5.0, 2.0, 1.0)[i % 3] for i, s in enumerate(names)}
+    size = {s: sum(d[2] for d in docs if d[1] == s) for s in names}
+    total, capped = sum(size.values()), set()
+    while True:
+        left = total - sum(3 * size[s] for s in capped)
+        flowing = sum(weight[s] for s in names if s not in capped)
+        target = {s: 3.0 * size[s] if s in capped else left * weight[s] / flowing for s in names}
+        above = {s for s in names if target[s] > 3 * size[s]}
+        if not above:
+            break
+        capped |= above
+    key = lambda v: (v is not None, v or 0)
+    copies, queue = [], defaultdict(int)
+    for d in sorted(docs, key=lambda d: (d[3], key(d[0]), d[2])):
+        queue[d[1]] += d[2]
+        for e in range(3):
+            finish = (e * size[d[1]] + queue[d[1]]) / weight[d[1]]
+            if d[2]:
+                copies.append((finish, names.index(d[1]), e, d[3], key(d[0]), d[2], d))
+    copies.sort(key=lambda c: c[:6])
+    taken, used = Counter(), 0
+    for c in copies:
+        used += c[5]
+        if used > total:
+            break
+        taken[c[6]] += 1
+    return taken, target, size, total
+
+
+def _check(docs, exact=True):
+    rows = [(r.doc_id, r.text, r.source) for r in docs.select("doc_id", "text", "source").collect()]
+    taken, target, size, total = _brute(rows)
+    got = mixing.mix_documents(docs).collect()
+    assert Counter((r.doc_id, r.source, r.size) for r in got) == Counter((d, s, _size(t)) for d, t, s in rows)
+    assert all(r.target == target[r.source] and r.source_size == size[r.source] for r in got)
+    assert all(r.taken == r.copies * r.size <= 3 * r.size for r in got)
+    copies = Counter()
+    for r in got:
+        copies[(r.doc_id, r.source, r.size)] += r.copies
+    if exact:
+        assert +copies == Counter({k[:3]: n for k, n in taken.items()})
+    assert sum(r.taken for r in got) <= total
+    return got, target
+
+
+@pytest.mark.parametrize("bucket", [4000, 7])
+def test_table(spark, sf_dir, monkeypatch, bucket):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket)
+    monkeypatch.setattr(mixing, "SLOT_ROWS", bucket)
+    got, target = _check(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    for source, aim in target.items():
+        words = sum(r.taken for r in got if r.source == source)
+        assert abs(words - aim) <= max(r.size for r in got)
+
+
+def test_odd_rows(spark):
+    rows = [(i, "w " * (i % 7), "a" if i % 3 else "b") for i in range(60)]
+    rows += [(100, "x y", None), (None, "n o p", "c"), (101, None, "c"), (102, "", "d"), (None, None, None)]
+    schema = "doc_id long, text string, source string"
+    docs = spark.createDataFrame([(*r, 1, "z") for r in rows], schema + ", size int, rank string")
+    _check(docs)
+    again = [sorted(map(tuple, mixing.mix_documents(d).collect()), key=str) for d in (docs, docs.orderBy("text"))]
+    assert again[0] == again[1]
+    _check(spark.createDataFrame(rows[:1], schema))
+    _check(spark.createDataFrame([(1, "a b", "s"), (1, "a b", "s"), (1, "a b", "s"), (2, "c", "t")], schema), exact=False)
+    assert mixing.mix_documents(docs.limit(0)).collect() == []
+
+
+def test_whole_rows(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    whole = mixing.mix_documents(docs, whole_rows=True).collect()
+    assert {(r.doc_id, r.copies) for r in whole} == {(r.doc_id, r.copies) for r in mixing.mix_documents(docs).collect()}
+    assert all(r.row.doc_id == r.doc_id and _size(r.row.text) == r.size for r in whole)

@@ -3,30 +3,32 @@
 import random
 import sys
 
+import numpy as np
 import pytest
 
 from sensormart.llm.common import tokenizer_path
-from sensormart.llm.pieces import SPACES, PieceEncoder, load_tokenizer
+from sensormart.llm.pieces import SPACES, CountEncoder, IdEncoder, load_tokenizer
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 ODD = [
     "", " ", "\n", "\n\n", "a", " a", "a ", "a\n", "\na", "a  b", "a \n b", "a\n\nb", "\t\ta", "a\t b", "a b",
     "x <|endoftext|> y", "<|endoftext|>", "a\0b", "don't, it's.", "we'll.  'S 's", "ÀÉ Ǆ İstanbul ΣΑΣ.", "é á,",
-    "a\x1c b", "a\x1c\n b", "\x85x", "日本 語.", "x.,;", "...", "1,000.5!", "²,", "a​ b", "　a", "<|startoftext|>a",
+    "a\x1c b", "a\x1c\n b", "\x85x", "日本 語.", "x.,;", "...", "İİ Straße Ünï İstanbul x", "1,000.5!", "²,", "a​ b", "　a", "<|startoftext|>a",
 ]
 
 
 @pytest.mark.parametrize("name", FILES)
 def test_odd_texts(name):
     path = tokenizer_path(name)
-    encoder = PieceEncoder(path, list, lambda parts: sum(parts, []), room=20)
+    encoder, counter = IdEncoder(path, room=20), CountEncoder(path, room=20)
     tokenizer = load_tokenizer(path)
     rng = random.Random(5)
     alphabet = list("ab E.,;'’\n\n  \t9²éßÑ#$\x1c 　́") + ["the ", " of", "<|", "ing"]
     texts = ODD + ["".join(rng.choices(alphabet, k=rng.randint(1, 60))) for _ in range(3000)]
     expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     got = [ids for i in range(0, len(texts), 50) for ids in encoder.encode(texts[i : i + 50])]
-    assert got == expected
+    assert [np.frombuffer(ids, "<u2").tolist() for ids in got] == expected
+    assert counter.encode(texts) == [len(ids) for ids in expected]
 
 
 @pytest.mark.parametrize("name", FILES)

@@ -1,0 +1,58 @@
+"""Token files: exact round trips."""
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from sensormart.llm import token_files
+from sensormart.llm.common import tokenizer_path
+from sensormart.llm.pieces import load_tokenizer
+
+
+@pytest.mark.parametrize("width", [0, 1, 7, 16, 31, 32])
+def test_bits(width):
+    rng = np.random.default_rng(width)
+    values = rng.integers(0, 1 << width, (3, token_files.BLOCK))
+    words = token_files.pack_bits(values, width)
+    assert words.nbytes == 3 * token_files.BLOCK * width // 8
+    assert (token_files.unpack_bits(words, width) == values).all()
+
+
+@pytest.mark.parametrize("percentile", [0.0, 0.5, 0.98, 1.0])
+def test_files(tmp_path, percentile, monkeypatch):
+    monkeypatch.setattr(token_files, "GROUP", 3)
+    rng = np.random.default_rng(3)
+    docs = [(None, rng.integers(0, 9, 5)), (1, np.array([2**32 - 1, 0])), (2, np.zeros(0))]
+    docs += [(i, rng.zipf(1.3, rng.integers(0, 4000)) % 50_000) for i in range(3, 40)]
+    docs = [(i, ids.astype(np.uint32)) for i, ids in docs]
+    path = str(tmp_path / "x.pfb")
+    writer = token_files.FileWriter(pa.OSFile(path, "wb"), percentile)
+    for doc_id, ids in docs:
+        writer.add(doc_id, ids)
+    writer.close()
+    got = list(token_files.read_file(pa.OSFile(path)))
+    assert [d for d, _ in got] == [d for d, _ in docs]
+    assert all((a == b).all() and len(a) == len(b) for (_, a), (_, b) in zip(got, docs, strict=True))
+
+
+def _check(docs):
+    tokenizer = load_tokenizer(tokenizer_path("byte_bpe_50k.json"))
+    expected, start = [], 0
+    rows = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [2], "<u4")
+        expected.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    read = token_files.read_token_files(token_files.write_token_files(docs)).collect()
+    got = sorted(((r[0], r[1], r[2], zlib.crc32(r[3])) for r in read), key=lambda r: r[1])
+    assert got == expected
+
+
+def test_tables(spark, sf_dir):
+    _check(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    odd = [(None, "none"), (3, None), (2, ""), (1, "a b"), (1, "a b"), (9, "word " * 3000)]
+    odd = spark.createDataFrame([(*r, 1, "x") for r in odd], "doc_id long, text string, shard int, path string")
+    _check(odd)
+    _check(odd.limit(0))
