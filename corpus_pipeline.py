@@ -4,22 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sensormart.llm.minhash import drop_near_duplicates
+from sensormart.llm.mixing import take_mix
 from sensormart.llm.packing import pack_documents
+from sensormart.llm.quality import judge_documents
+from sensormart.llm.suffixes import remove_repeats
 from sensormart.session import materialise
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the rules; the labels of the same folder say which text is trusted."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return judge_documents(docs, labels).filter("kept").select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return drop_near_duplicates(docs)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings that occur elsewhere too; emptied documents stay as rows."""
+    return remove_repeats(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; those without words are not taken."""
+    return take_mix(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of token ids."""
     return pack_documents(docs)
 
 
-STAGES = [("pack", pack)]
+STAGES = [
+    ("quality rules", quality),
+    ("near-duplicates", near_duplicates),
+    ("repeated strings", repeated_strings),
+    ("mix", mix),
+    ("pack", pack),
+]
 
-#: The stages cannot be expressed in SQL; tests hold them against brute force.
+#: The stages cannot be expressed in SQL; tests hold them against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each one's rows written and read again for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

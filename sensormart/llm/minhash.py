@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensormart.llm.common import SHINGLE_WORDS, SIMILAR, slices, text_or_empty
+from sensormart.llm.common import SHINGLE_WORDS, SIMILAR, WORD, slices, text_or_empty
 from sensormart.llm.components import connected_components
 from sensormart.session import materialise
 
@@ -215,7 +215,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Equal texts are one class from the start. Returns one row per document:
     doc_id, n_shingles, component_id (the smallest doc_id reachable by links),
-    kept (doc_id = component_id), text_key. Words are lower-cased A-Z; a text of
+    kept (doc_id = component_id), text_key, component (a number of the group, null
+    without words). Words are lower-cased A-Z; a text of
     fewer than five words is one shingle. Null texts and texts without words have
     no shingles, are linked with nothing, and are kept. Null ids are never the
     smallest; a component that has none gives null, and such rows are kept.
@@ -239,5 +240,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component_id = F.when(empty, F.col("doc_id")).otherwise(F.col("_component"))
     result = signed.drop("bands").join(by_text, "text_key", "left").withColumn("component_id", component_id)
     return result.select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key"
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key", "component"
     )
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: that of the smallest doc_id.
+
+    Of repeated rows one stays, of several texts under that doc_id the one whose
+    digest is smallest. Rows without words stay as they are.
+    """
+    groups = near_duplicates(docs).filter("kept and n_shingles > 0")
+    chosen = groups.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("pick"))
+    chosen = materialise(
+        chosen.select(F.col("pick.doc_id").alias("_id"), F.col("pick.text_key").alias("_key")), "chosen-documents"
+    )
+    text = text_or_empty()
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.md5(text).alias("text_key"), text.rlike(WORD).alias("worded"))
+    same = (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("worded")
+    copy = F.row_number().over(Window.partitionBy("text_key", "doc_id").orderBy("worded"))
+    joined = rows.join(chosen, same, "left").withColumn("copy", copy)
+    return joined.filter(~F.col("worded") | (F.col("_key").isNotNull() & (F.col("copy") == 1))).select("row.*")

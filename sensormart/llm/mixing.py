@@ -155,6 +155,12 @@ def mix_documents(
     )
 
 
+def take_mix(docs: DataFrame) -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as it has copies."""
+    taken = mix_documents(docs, whole_rows=True).filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
+
+
 def _bound(placed: DataFrame, finishes: Column, sources: DataFrame) -> Column | None:
     """The last copy that is taken, as a struct; None if nothing is.
 

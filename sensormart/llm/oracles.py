@@ -52,3 +52,42 @@ WITH sized AS (
 SELECT q.doc_id, q.size, q.source_size, q.target, (q.size * coalesce(t.n, 0))::BIGINT AS taken
 FROM queued q LEFT JOIN taken t ON q.doc_id = t.doc_id
 """
+
+VECTORS = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+), links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reached AS (
+    SELECT vec_id, vec_id AS root FROM embeddings
+    UNION
+    SELECT l.y, r.root FROM reached r JOIN links l ON l.x = r.vec_id
+), least AS (SELECT vec_id, min(root) AS component_id FROM reached GROUP BY vec_id),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN counts ON x = vec_id
+"""
+
+MINHASH = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_distinct([array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)]) END AS s
+    FROM words
+), shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (SELECT x, y FROM common WHERE 100 * c >= 75 * (nx + ny - c)),
+reached AS (
+    SELECT doc_id, doc_id AS root FROM documents
+    UNION
+    SELECT l.y, r.root FROM reached r JOIN links l ON l.x = r.doc_id
+), least AS (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY doc_id)
+SELECT s.doc_id, len(s)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM sets s JOIN least l ON l.doc_id = s.doc_id
+"""

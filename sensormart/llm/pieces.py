@@ -134,11 +134,14 @@ class PieceEncoder:
         if not exact and len(self.new) + len(wanted) > self.room and self.new:
             self.old, self.new = self.new, {}
         new, old, known = self.new, self.old, self.known
-        open_keys = wanted.difference(new)
-        for held in (known, old):
-            new.update({key: held[key] for key in open_keys.intersection(held)})
         words, marked, others, rough = set(), [], [], set()
-        for key in open_keys.difference(new):
+        for key in wanted.difference(new):
+            value = known.get(key) if known else None
+            if value is None:
+                value = old.get(key)
+            if value is not None:
+                new[key] = value
+                continue
             if key.isalpha():
                 words.add(key)
             elif key[-1:] in _CUT and key[:-1].isalpha() and _is_latin(key[:-1]):
@@ -151,8 +154,11 @@ class PieceEncoder:
                 others.append(key)
         # A mark after a letter is always a token of its own.
         bases = {key[:-1] for key in marked}.difference(new)
-        new.update({key: old[key] for key in bases.intersection(old)})
-        words |= bases.difference(old)
+        for key in bases:
+            if key in old:
+                new[key] = old[key]
+            else:
+                words.add(key)
         others += [key for key in words if not _is_latin(key)]
         words = [key for key in words if _is_latin(key)]
         for start in range(0, len(words), 1024):

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from sensormart.llm.common import table
 from sensormart.llm.licenses import scan_licenses
+from sensormart.llm.minhash import near_duplicates
 from sensormart.llm.mixing import mix_documents
-from sensormart.llm.oracles import MIXING, WARC
+from sensormart.llm.oracles import MINHASH, MIXING, VECTORS, WARC
 from sensormart.llm.packing import pack_documents
 from sensormart.llm.quality import judge_documents
+from sensormart.llm.suffixes import find_repeats
 from sensormart.llm.token_counts import count_tokens
 from sensormart.llm.token_files import read_token_files, write_token_files
+from sensormart.llm.vectors import near_vectors
 from sensormart.llm.warc import read_warc, write_warc
 
 
@@ -37,10 +40,18 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_warc(write_warc(table(spark, sf_dir, "pages"))).drop("payload")
 
@@ -54,17 +65,26 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "component")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
     "op3_token_files": op3_token_files,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_token_counts": op5_token_counts,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLE_SQL = {
+    "op6_embedding_dedup": VECTORS,
     "op7_warc": WARC,
     "op8_mixing": MIXING,
+    "op10_minhash": MINHASH,
 }

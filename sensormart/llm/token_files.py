@@ -62,6 +62,19 @@ def unpack_bits(words: np.ndarray, width: int) -> np.ndarray:
     return (rows & np.uint64((1 << width) - 1)).reshape(-1, BLOCK)
 
 
+def block_widths(above: np.ndarray, percentile: float) -> np.ndarray:
+    """The smallest widths that hold at least ``percentile`` of each block's numbers."""
+    most = BLOCK - int(np.ceil(percentile * BLOCK))
+    top = int(above.max()).bit_length()
+    widths = np.full(len(above), top, np.uint8)
+    for width in range(top - 1, -1, -1):
+        fits = np.count_nonzero(above >> np.uint32(width), axis=1) <= most
+        if not fits.any():
+            break
+        widths[fits] = width
+    return widths
+
+
 def encode_blocks(ids: np.ndarray, percentile: float) -> tuple[list[bytes], np.ndarray]:
     """Payloads and index rows (without starts) of consecutive blocks."""
     n = -(-len(ids) // BLOCK)
@@ -71,11 +84,9 @@ def encode_blocks(ids: np.ndarray, percentile: float) -> tuple[list[bytes], np.n
     blocks = padded.reshape(n, BLOCK)
     index["least"] = blocks.min(axis=1)
     above = blocks - index["least"][:, None]
-    rank = min(BLOCK - 1, int(percentile * BLOCK))
-    typical = np.partition(above, rank, axis=1)[:, rank].astype(np.uint64)
-    index["width"] = np.searchsorted(1 << np.arange(33, dtype=np.uint64), typical, "right")
-    odd = above.astype(np.uint64) >> index["width"][:, None].astype(np.uint64) != 0
-    index["exceptions"] = odd.sum(axis=1)
+    index["width"] = block_widths(above, percentile)
+    odd = above > ((np.uint64(1) << index["width"].astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[:, None]
+    index["exceptions"] = np.count_nonzero(odd, axis=1)
     payloads: list[bytes] = [b""] * n
     for width in np.unique(index["width"]):
         chosen = np.flatnonzero(index["width"] == width)
