@@ -169,11 +169,11 @@ def pressure_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pressure_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The correction as a self-join, on one reading per key."""
+    """The correction on one reading per key, held against a self-join in SQL."""
     converted = operators.harmonise_units(fixtures.flattened(spark, sf_dir))
     latest = operators.latest_per_key(converted, order=["last_updated", "value", "unit"])
-    joined = operators.clamp_pressure_by_join(latest)
-    return joined.select("measurement_id", "parameter_name", "value", "unit")
+    clamped = operators.clamp_pressure(latest)
+    return clamped.select("measurement_id", "parameter_name", "value", "unit")
 
 
 def pressure_max(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,14 +195,16 @@ def _fresh(table: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def _resolved(table: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        clean = fixtures.clean(spark, sf_dir)
-        existing = fixtures.preloaded_dimension(clean, table)
-        keys = NATURAL_KEYS[table]
-        return operators.resolve_ids(DIMENSIONS[table](clean), existing, keys, ID_COLUMNS[table])
+        return _resolve(fixtures.clean(spark, sf_dir), table)
 
     return query
 
 
+def _resolve(clean: DataFrame, table: str) -> DataFrame:
+    existing = fixtures.preloaded_dimension(clean, table)
+    return operators.resolve_ids(DIMENSIONS[table](clean), existing, NATURAL_KEYS[table], ID_COLUMNS[table])
+
+
 def _new_rows(table: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         clean = fixtures.clean(spark, sf_dir)
@@ -218,7 +220,7 @@ def _new_rows(table: str) -> Callable[[SparkSession, str], DataFrame]:
 def fact_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reading, repeated keys included, with ids resolved against stored dimensions."""
     clean = fixtures.clean(spark, sf_dir)
-    resolved = for_each_dimension(lambda table, extract: _resolved(table)(spark, sf_dir))
+    resolved = for_each_dimension(lambda table, extract: _resolve(clean, table))
     return operators.build_facts(clean, *resolved.values())
 
 

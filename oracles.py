@@ -220,7 +220,7 @@ def all_queries() -> dict[str, str]:
         "trend_by_hour": _STAR
         + """SELECT p.parameter_name, f.unit, t."year", t."month", t."day", t."hour",
             count(*) AS readings,
-            CAST(sum(CAST(f.value AS DECIMAL(28,8))) AS DOUBLE) / count(*) AS avg_value,
+            CAST(printf('%.9e', avg(f.value) FILTER (isfinite(f.value))) AS DOUBLE) AS avg_value,
             min(f.value) AS min_value, max(f.value) AS max_value
           FROM facts f JOIN parameter p ON p.parameter_id = f.parameter_id
           JOIN clock t ON t.time_id = f.time_id GROUP BY ALL""",

@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensormart.operators import (
-    clean_readings,
+    clean_measurements,
     location_dim,
     number_rows,
     parameter_dim,
     time_dim,
 )
+from sensormart.session import materialise
 from sensormart.schemas import ID_COLUMNS, LOCATION_TABLE, NATURAL_KEYS, PARAMETER_TABLE
 
 # Parameter and unit of an event, by event number modulo 28. The pairs touch
@@ -129,7 +130,8 @@ def flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_readings(flattened(spark, sf_dir))
+    """Clean readings of the documents, which are landed once and flattened from there."""
+    return clean_measurements(materialise(documents(spark, sf_dir), "documents"))
 
 
 def preloaded_dimension(readings: DataFrame, table: str) -> DataFrame:

@@ -12,8 +12,14 @@ def epoch_seconds(text: Column) -> Column:
     """Seconds since 1970 UTC of an ISO text; NULL when it is malformed.
 
     A text without an offset is read as UTC. Spark alone would read it in the
-    session's zone, so the same file would give other results elsewhere.
+    session's zone, so the same file would give other results elsewhere. Blanks
+    around the text do not count, and a year, month, day, hour or minute may be
+    its last part.
     """
+    text = F.trim(text)
+    # An offset needs seconds in front of it.
+    text = F.regexp_replace(text, r"^(\d{4,}-\d{1,2}-\d{1,2}[T ]\d{1,2})(Z|[+-].*)?$", "$1:00:00$2")
+    text = F.regexp_replace(text, r"^(\d{4,}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2})(Z|[+-].*)?$", "$1:00$2")
     zoned = (
         text.endswith("Z")
         | text.contains("+")
@@ -22,11 +28,13 @@ def epoch_seconds(text: Column) -> Column:
     )
     completed = (
         F.when(zoned, text)
-        .when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
+        .when(text.rlike(r"^\d{4}$"), F.concat(text, F.lit("-01-01T00:00:00Z")))
+        .when(text.rlike(r"^\d{4}-\d{1,2}$"), F.concat(text, F.lit("-01T00:00:00Z")))
+        .when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.concat(text, F.lit("T00:00:00Z")))
         .otherwise(F.concat(text, F.lit("Z")))
     )
     # Spark completes a bare time of day with today's date: only a date counts.
-    dated = F.when(F.substring(text, 5, 1) == "-", completed)
+    dated = F.when(F.substring(completed, 5, 1) == "-", completed)
     return F.unix_seconds(F.try_to_timestamp(dated))
 
 

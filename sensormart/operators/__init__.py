@@ -4,7 +4,6 @@ from sensormart.operators.clean import (
     add_local_time,
     backfill_processed,
     clamp_pressure,
-    clamp_pressure_by_join,
     clean_measurements,
     clean_readings,
     flatten_measurements,
@@ -41,7 +40,6 @@ __all__ = [
     "backfill_processed",
     "build_facts",
     "clamp_pressure",
-    "clamp_pressure_by_join",
     "clean_measurements",
     "clean_readings",
     "content_columns",

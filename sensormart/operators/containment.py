@@ -43,13 +43,15 @@ def content_columns(docs: DataFrame) -> DataFrame:
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """Keep one of several equal documents in a batch: the one with the least id.
 
+    Documents without readings are always new, so only those with one id are one.
     Copies are combined in the map tasks, so a document that makes up a third of
     the batch moves once per task.
     """
     described = content_columns(docs)
     others = [c for c in described.columns if c != "content"]
     kept = F.min_by(F.struct(*others), F.col("_id.oid")).alias("_kept")
-    return described.groupBy("content").agg(kept).select("_kept.*", "content").select(*docs.columns)
+    apart = F.when(F.col("content_size") == 0, F.col("_id.oid")).alias("_apart")
+    return described.groupBy("content", apart).agg(kept).select("_kept.*", "content").select(*docs.columns)
 
 
 def _keyed_elements(docs: DataFrame, *columns) -> DataFrame:

@@ -5,20 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensormart.functions import epoch_seconds
+
 PAGE_SIZE = 100  # fixed value
 
 
 def latest_page(docs: DataFrame, page: int = 1, limit: int = PAGE_SIZE) -> DataFrame:
     """Page ``page`` (from 1) of the documents, newest reading first, then by id.
 
-    A document's age is its greatest ``lastUpdated``. Spark keeps the top rows
-    per task and merges them: no global sort.
+    A document's age is its latest instant, whatever offsets the texts have. Only
+    ids and instants are put in order, the top ones per task first; the documents
+    of the page are then joined to its ids, of which there are ``limit``.
     """
-    newest = F.array_max(F.transform("measurements", lambda m: m["lastUpdated"]))
-    return (
-        docs.withColumn("_newest", newest)
-        .orderBy(F.desc("_newest"), F.col("_id.oid"))
+    newest = F.array_max(F.transform("measurements", lambda m: epoch_seconds(m["lastUpdated"])))
+    keys = (
+        docs.select(F.col("_id.oid").alias("_oid"), newest.alias("_newest"))
+        .orderBy(F.desc("_newest"), "_oid")
         .offset(limit * (page - 1))
         .limit(limit)
-        .drop("_newest")
     )
+    found = docs.join(F.broadcast(keys), F.col("_id.oid") == F.col("_oid"))
+    return found.orderBy(F.desc("_newest"), "_oid").drop("_newest", "_oid")

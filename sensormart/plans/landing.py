@@ -39,8 +39,10 @@ def _land(store: StarStore, documents: DataFrame, rejects: DataFrame | None, bat
     step = f"land-{batch}"
     described = content_columns(documents)
     # The id follows from batch and content: a repeated batch gets the same ids.
-    # The batch comes first, so the keys of a batch lie together.
-    oid = F.concat(F.lit(f"{batch}-"), F.col("content"))
+    # The batch comes first, so the keys of a batch lie together. Equal documents
+    # without readings stay apart, by their place in the batch.
+    place = F.when(F.col("content_size") == 0, F.concat(F.lit("-"), F.monotonically_increasing_id()))
+    oid = F.concat(F.lit(f"{batch}-"), F.col("content"), F.coalesce(place, F.lit("")))
     named = described.withColumns({"_id": F.struct(oid.alias("oid")), "processed": F.lit(False)})
     times = Observation()
     arrived = materialise(

@@ -25,8 +25,9 @@ def load_pending(store: StarStore) -> dict[str, int | float | None]:
     The clean readings are not cached. Each dimension reads only its own columns
     of the landed Parquet, so the four passes together scan little more than one
     full pass would, and nothing is lost with an executor.
-    Returns what the load observed (``readings``, ``max_pressure``, ``unusable``),
-    empty when nothing was pending.
+    Returns what the load observed: ``readings``, ``max_pressure``, ``unusable``, and
+    for each dimension the rows of the batch (``<table>_rows``) and those of them
+    that were new (``<table>_new``). Empty when nothing was pending.
     """
     segments = store.pending()
     if not segments:
@@ -35,10 +36,13 @@ def load_pending(store: StarStore) -> dict[str, int | float | None]:
     documents = unprocessed(store.read(RAW_TABLE, segments).drop("segment"))
     clean = clean_measurements(documents)
 
-    dimensions = for_each_dimension(
+    loaded = for_each_dimension(
         lambda table, extract: _load_dimension(store, table, extract(clean), step)
     )
-    changes = [(table, step, ADD) for table in DIMENSIONS]
+    dimensions = {table: resolved for table, (resolved, _) in loaded.items()}
+    seen = {f"{table}_{name}": n for table, (_, found) in loaded.items() for name, n in found.items()}
+    # A dimension without new rows gets no segment.
+    changes = [(table, step, ADD) for table in DIMENSIONS if seen[f"{table}_new"]]
 
     flat_counts, clean_counts = Observation(), Observation()
     watched = clean_measurements(documents, watch=flat_counts).observe(
@@ -54,7 +58,7 @@ def load_pending(store: StarStore) -> dict[str, int | float | None]:
     store.write(FACT_TABLE, step, facts)
     changes += _replace_older(store, step, keys.get["least"], keys.get["greatest"])
 
-    counts = {**flat_counts.get, **clean_counts.get}
+    counts = {**flat_counts.get, **clean_counts.get, **seen}
     if counts["unusable"]:
         store.write(REJECT_TABLE, step, _as_rejects(split_unusable(clean)[1]))
         changes.append((REJECT_TABLE, step, ADD))
@@ -63,13 +67,17 @@ def load_pending(store: StarStore) -> dict[str, int | float | None]:
     return counts
 
 
-def _load_dimension(store: StarStore, table: str, rows: DataFrame, step: str) -> DataFrame:
-    """Resolve ids, write the new rows, return natural keys and ids of the batch."""
+def _load_dimension(
+    store: StarStore, table: str, rows: DataFrame, step: str
+) -> tuple[DataFrame, dict[str, int]]:
+    """Resolve ids, write the new rows, return natural keys and ids of the batch, and counts."""
     resolved = resolve_ids(
         rows, store.table(table), NATURAL_KEYS[table], ID_COLUMNS[table], new_flag="is_new"
     )
-    store.write(table, step, resolved.filter("is_new"))
-    return resolved
+    found = Observation()
+    watched = resolved.observe(found, F.count(F.lit(1)).alias("rows"), F.count_if("is_new").alias("new"))
+    store.write(table, step, watched.filter("is_new"))
+    return resolved, found.get
 
 
 def _replace_older(

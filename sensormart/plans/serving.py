@@ -2,30 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensormart.schemas import FACT_TABLE, PARAMETER_TABLE, TIME_TABLE
 
 
+def _ten_digits(number: Column) -> Column:
+    return F.when(number.isNotNull(), F.format_string("%.9e", number).cast("double"))
+
+
 def trend_by_hour(star: dict[str, DataFrame]) -> DataFrame:
     """Readings per parameter, unit and local hour: count, average, least, greatest.
 
     Facts are summed per id pair before any join: the map tasks combine the rows
     of one timestamp, so a timestamp shared by a third of all readings does not
-    pile up, and the joins see far fewer rows. Sums are decimal, because a sum of
-    doubles depends on the order in which partitions arrive; a value that is not a
-    number or beyond the decimals counts as a reading but not in the average.
+    pile up, and the joins see far fewer rows. Every stored fact is a reading; the
+    average is over all finite values, in doubles. Such a sum depends in its last
+    bits on the order in which partitions arrive, so the average is given to ten
+    significant digits.
     """
-    exact = F.col("value").try_cast("decimal(28,8)")
+    finite = F.when(F.abs("value") < F.lit(float("inf")), F.col("value"))
     per_second = (
         star[FACT_TABLE]
         .filter("parameter_id IS NOT NULL AND time_id IS NOT NULL")
         .groupBy("parameter_id", "time_id", "unit")
         .agg(
-            F.count("value").alias("n"),
-            F.sum(exact).alias("total"),
-            F.count(exact).alias("summed"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum(finite).alias("total"),
+            F.count(finite).alias("summed"),
             F.min("value").alias("least"),
             F.max("value").alias("greatest"),
         )
@@ -50,7 +55,7 @@ def trend_by_hour(star: dict[str, DataFrame]) -> DataFrame:
             "day",
             "hour",
             "readings",
-            F.try_divide(F.col("total").cast("double"), F.col("summed")).alias("avg_value"),
+            _ten_digits(F.try_divide("total", "summed")).alias("avg_value"),
             "min_value",
             "max_value",
         )

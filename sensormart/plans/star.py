@@ -22,6 +22,7 @@ from sensormart.schemas import (
     PARAMETER_TABLE,
     TIME_TABLE,
 )
+from sensormart.session import materialise
 
 DIMENSIONS = {
     LOCATION_TABLE: location_dim,
@@ -41,4 +42,6 @@ def fresh_star(clean: DataFrame) -> dict[str, DataFrame]:
     star = for_each_dimension(
         lambda table, extract: number_rows(extract(clean), NATURAL_KEYS[table], ID_COLUMNS[table])
     )
-    return {**star, FACT_TABLE: build_facts(latest_readings(clean), *star.values())}
+    # Written once: several queries of the star read the facts more than once.
+    facts = materialise(build_facts(latest_readings(clean), *star.values()), "facts")
+    return {**star, FACT_TABLE: facts}

@@ -43,6 +43,20 @@ RAW_DOCUMENT = StructType(
     + MESSAGE.fields
     + [StructField("processed", BooleanType(), True)]
 )
+# The columns of a flat reading, and where they lie in a document
+# with one reading ``m``. Without a place: computed from the parameter.
+FLAT_COLUMNS = {
+    "measurement_id": None,
+    "city": "city",
+    "country": "country",
+    "location_name": "location",
+    "latitude": "coordinates.latitude",
+    "longitude": "coordinates.longitude",
+    "parameter_name": None,
+    "value": "m.value",
+    "unit": "m.unit",
+    "last_updated": "m.lastUpdated",
+}
 ENVELOPE = _struct(("results", ArrayType(RAW_DOCUMENT)))
 
 # The star schema's table and column names.

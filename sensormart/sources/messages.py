@@ -8,9 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from sensormart.schemas import MESSAGE
 
-# The topic and the bound of one run (pages x page size).
-TOPIC = "air_quality"
-MESSAGES_PER_RUN = 200
+TOPIC = "air_quality"  # fixed value
 
 _CORRUPT = "_corrupt"
 _PARSED = StructType([*MESSAGE.fields, StructField(_CORRUPT, StringType(), True)])
@@ -27,16 +25,22 @@ def encode_messages(docs: DataFrame) -> DataFrame:
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Decode ``value``; ``reject_reason`` is NULL for good documents.
 
-    The raw text is kept for rejects only.
+    A document must have every field of a message; a null is a value, except for
+    the station's name and the measurements. The raw text is kept for rejects only.
     """
     text = F.col("value").cast("string")
     parsed = messages.select(
         text.alias("raw"),
         F.from_json(text, _PARSED, {"columnNameOfCorruptRecord": _CORRUPT}).alias("doc"),
     )
-    reason = F.when(
-        F.col("doc").isNull() | F.col(f"doc.{_CORRUPT}").isNotNull(), "malformed json"
-    ).when(F.col("doc.location").isNull(), "missing location")
+    needed = F.array(*[F.lit(f.name) for f in MESSAGE.fields])
+    missing = F.get(F.array_except(needed, F.json_object_keys("raw")), 0)
+    reason = (
+        F.when(F.col("doc").isNull() | F.col(f"doc.{_CORRUPT}").isNotNull(), "malformed json")
+        .when(missing.isNotNull(), F.concat(F.lit("missing "), missing))
+        .when(F.col("doc.location").isNull(), "missing location")
+        .when(F.col("doc.measurements").isNull(), "missing measurements")
+    )
     return parsed.select("doc.*", reason.alias("reject_reason"), "raw").select(
         *[f.name for f in MESSAGE.fields],
         "reject_reason",
@@ -60,35 +64,43 @@ def read_message_files(spark: SparkSession, path: str, max_files: int | None = N
 
 
 def kafka_source_options(
-    servers: str, topic: str = TOPIC, per_trigger: int | None = MESSAGES_PER_RUN
+    servers: str, topic: str = TOPIC, per_trigger: int | None = None, **options: str
 ) -> dict[str, str]:
     """Options for ``spark.readStream.format("kafka")``: from the earliest message on.
 
     The query's checkpoint holds the offsets that a consumer group would hold.
     ``per_trigger`` bounds a micro-batch; with ``availableNow`` a run still takes
-    everything that has arrived.
+    everything that has arrived. ``options`` adds others (security, offsets, rates)
+    or replaces these.
     """
-    options = {
+    known = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
     }
     if per_trigger is not None:
-        options["maxOffsetsPerTrigger"] = str(per_trigger)
-    return options
+        known["maxOffsetsPerTrigger"] = str(per_trigger)
+    return known | options
 
 
-def kafka_sink_options(servers: str, topic: str = TOPIC) -> dict[str, str]:
-    """Options for ``encode_messages(docs).write.format("kafka")``."""
-    return {"kafka.bootstrap.servers": servers, "topic": topic}
+def kafka_sink_options(servers: str, topic: str = TOPIC, **options: str) -> dict[str, str]:
+    """Options for ``encode_messages(docs).write.format("kafka")``; ``options`` adds others."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic} | options
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str = TOPIC) -> DataFrame:
+def read_topic(
+    spark: SparkSession,
+    servers: str,
+    topic: str = TOPIC,
+    per_trigger: int | None = None,
+    **options: str,
+) -> DataFrame:
     """Stream of a Kafka topic. The Kafka connector must be on the class path."""
-    return spark.readStream.format("kafka").options(**kafka_source_options(servers, topic)).load()
+    found = kafka_source_options(servers, topic, per_trigger, **options)
+    return spark.readStream.format("kafka").options(**found).load()
 
 
-def write_topic(docs: DataFrame, servers: str, topic: str = TOPIC) -> None:
+def write_topic(docs: DataFrame, servers: str, topic: str = TOPIC, **options: str) -> None:
     """Send documents to a Kafka topic, one message each."""
-    options = kafka_sink_options(servers, topic)
-    encode_messages(docs).write.format("kafka").options(**options).save()
+    found = kafka_sink_options(servers, topic, **options)
+    encode_messages(docs).write.format("kafka").options(**found).save()

@@ -119,8 +119,20 @@ class StarStore:
         rows.select(*columns).write.mode("overwrite").parquet(self.path(table, segment))
 
     def read(self, table: str, segments: list[str] | None = None) -> DataFrame:
-        """A table, or some of its segments, with a ``segment`` column."""
+        """A table, or some of its segments, with a ``segment`` column.
+
+        Raw documents show in ``processed`` whether their segment has been loaded.
+        """
         segments = self.segments(table) if segments is None else segments
+        if table == RAW_TABLE:
+            done = set(self.segments(RAW_TABLE, PROCESS))
+            loaded = self._read(table, [s for s in segments if s in done])
+            return self._read(table, [s for s in segments if s not in done]).unionByName(
+                loaded.withColumn("processed", F.lit(True))
+            )
+        return self._read(table, segments)
+
+    def _read(self, table: str, segments: list[str]) -> DataFrame:
         schema = StructType(list(SCHEMAS[table].fields)).add("segment", "string")
         if not segments:
             return empty_frame(self.spark, schema)
@@ -135,14 +147,29 @@ class StarStore:
         return {name: self.table(name) for name in STAR}
 
     def compact(self, table: str, step: str) -> None:
-        """Rewrite a table's many small segments as one."""
-        old = self.segments(table)
-        if self.committed(step) or len(old) < 2:
+        """Rewrite a table's many small segments as one.
+
+        Raw segments that are loaded and those still pending are merged apart, so
+        that nothing is loaded again.
+        """
+        if self.committed(step):
             return
-        self.write(table, step, self.read(table, old))
-        known = [r for r in self._log() if r.table_name == table and r.action == ADD and r.segment in old]
-        covered = all(r.least is not None for r in known)
-        least = min(r.least for r in known) if covered else None
-        greatest = max(r.greatest for r in known) if covered else None
-        added = (table, step, ADD, least, greatest)
-        self.commit(step, [added, *[(table, s, REMOVE) for s in old]])
+        done = set(self.segments(table, PROCESS))
+        live = self.segments(table)
+        rest = f"{step}-open" if table == RAW_TABLE else step
+        groups = {step: [s for s in live if s in done]}
+        groups[rest] = [s for s in live if s not in done]
+        changes = []
+        for name, old in groups.items():
+            if len(old) < 2:
+                continue
+            self.write(table, name, self.read(table, old))
+            known = [r for r in self._log() if r.table_name == table and r.action == ADD and r.segment in old]
+            covered = all(r.least is not None for r in known)
+            least = min(r.least for r in known) if covered else None
+            greatest = max(r.greatest for r in known) if covered else None
+            changes += [(table, name, ADD, least, greatest), *[(table, s, REMOVE) for s in old]]
+            if old[0] in done:
+                changes.append((table, name, PROCESS))
+        if changes:
+            self.commit(step, changes)

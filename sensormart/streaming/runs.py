@@ -23,12 +23,18 @@ def start_stream(
     Without ``every`` the run takes what has arrived and ends, for use under a
     scheduler; ``every="10 minutes"`` keeps it running. History is unbounded, so
     repeats are looked up in the store and not in stream state. A micro-batch
-    that is delivered again is recognised by its number. Errors end the query.
+    that is delivered again is recognised by its number and by the query's id,
+    which Spark keeps in the checkpoint: another source, or the same one after its
+    checkpoint was lost, has another id and is never taken for it. Errors end the
+    query.
     ``land_only`` leaves the load to a separate ``load_pending``.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
-        label = f"{name}-{number:012d}"
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if query is None:
+            raise RuntimeError("the micro-batch does not tell its query's id")
+        label = f"{name}-{query}-{number:012d}"
         if land_only:
             land_messages(store, batch, label)
         else:

@@ -53,13 +53,16 @@ SECOND = [
 def test_increments(spark, tmp_path):
     store = StarStore(spark, str(tmp_path))
     counts = run_increment(store, _messages(spark, FIRST), "b1")
-    assert counts == {"readings": 3, "max_pressure": None, "unusable": 0}
+    new = {f"{t}_{n}": c for t, c in ((LOCATION_TABLE, 2), (PARAMETER_TABLE, 2), (TIME_TABLE, 1)) for n in ("rows", "new")}
+    assert counts == {"readings": 3, "max_pressure": None, "unusable": 0, **new}
+    assert rows_of(operators.unprocessed(store.table(RAW_TABLE)), "location") == []
     assert rows_of(store.table(REJECT_TABLE), "raw", "reject_reason") == [('{"a":', "malformed json")]
     before = {t: rows_of(store.table(t), store.table(t).columns[0]) for t in store.star()}
     assert load_pending(store) == {}
 
     counts = run_increment(store, _messages(spark, SECOND), "b2")
     assert counts["readings"] == 3 and counts["unusable"] == 1
+    assert (counts[f"{PARAMETER_TABLE}_rows"], counts[f"{PARAMETER_TABLE}_new"]) == (2, 1)
     assert store.table(RAW_TABLE).count() == 5
     assert [r[1] for r in rows_of(store.table(REJECT_TABLE), "raw", "reject_reason")].count("malformed time") == 1
     for table, rows in before.items():
@@ -150,3 +153,49 @@ def test_landing_only(spark, tmp_path):
     assert len(store.refresh().pending()) == 1 and store.table(FACT_TABLE).isEmpty()
     load_pending(store)
     assert len(_natural(store)) == 2
+
+
+def test_streams_with_one_name_do_not_hide_each_other(spark, tmp_path):
+    """Two sources with default names, and one of them again after its checkpoint was lost."""
+    store = StarStore(spark, str(tmp_path / "store"))
+    for folder, docs in (("a", FIRST[:1]), ("b", FIRST[1:2])):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "1.json").write_text(json.dumps(docs[0]))
+        stream = read_message_files(spark, str(tmp_path / folder))
+        start_stream(stream, store, str(tmp_path / f"cp-{folder}")).awaitTermination()
+    assert store.refresh().table(RAW_TABLE).count() == 2
+    (tmp_path / "a" / "2.json").write_text(json.dumps(_doc("w", reading("no2"))))
+    stream = read_message_files(spark, str(tmp_path / "a"))
+    start_stream(stream, store, str(tmp_path / "cp-new")).awaitTermination()
+    assert rows_of(store.refresh().table(RAW_TABLE), "location") == [("s",), ("t",), ("w",)]
+
+
+def test_compaction_keeps_what_is_loaded_and_what_is_pending(spark, tmp_path):
+    store = StarStore(spark, str(tmp_path))
+    for n, doc in enumerate([_doc(f"s{n}", reading("co", float(n))) for n in range(4)]):
+        land_documents(store, spark.createDataFrame([doc], MESSAGE), f"d{n}")
+        if n == 1:
+            load_pending(store)
+    store.compact(RAW_TABLE, "compact-1")
+    assert store.segments(RAW_TABLE) == ["compact-1", "compact-1-open"] and store.pending() == ["compact-1-open"]
+    assert rows_of(operators.processed(store.table(RAW_TABLE)), "location") == [("s0",), ("s1",)]
+    load_pending(store)
+    assert load_pending(store) == {} and len(_natural(store)) == 4
+    store.compact(RAW_TABLE, "compact-2")
+    assert load_pending(store) == {} and operators.unprocessed(store.table(RAW_TABLE)).isEmpty()
+
+
+def test_equal_documents_without_readings_stay(spark, tmp_path):
+    store = StarStore(spark, str(tmp_path))
+    empty = [_doc("s"), _doc("s")]
+    run_increment(store, _messages(spark, empty), "b1")
+    run_increment(store, _messages(spark, empty[:1]), "b2")
+    raw = store.table(RAW_TABLE)
+    assert raw.count() == 3 and raw.select("_id.oid").distinct().count() == 3
+
+
+def test_dimension_without_new_rows_gets_no_segment(spark, tmp_path):
+    store = StarStore(spark, str(tmp_path))
+    for n in range(3):
+        run_increment(store, _messages(spark, [_doc("s", reading("co", float(n)))]), f"b{n}")
+    assert len(store.segments(PARAMETER_TABLE)) == 1 and len(store.segments(FACT_TABLE)) == 3

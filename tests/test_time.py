@@ -19,6 +19,13 @@ CASES = [
     ("2024-11-03T06:30:00Z", datetime(2024, 11, 3, 7, 30)),
     ("2024-07-01T12:00:00", datetime(2024, 7, 1, 14, 0)),
     ("2024-07-01", datetime(2024, 7, 1, 2, 0)),
+    (" 2024-07-01T12:00:00Z ", datetime(2024, 7, 1, 14, 0)),
+    ("2024-07-01T12:00", datetime(2024, 7, 1, 14, 0)),
+    ("2024-07-01 12:00+02:00", datetime(2024, 7, 1, 12, 0)),
+    ("2024-07-01T12", datetime(2024, 7, 1, 14, 0)),
+    ("2024-7-1", datetime(2024, 7, 1, 2, 0)),
+    ("2024-07", datetime(2024, 7, 1, 2, 0)),
+    ("2024", datetime(2024, 1, 1, 1, 0)),
     ("garbage", None),
     ("12:30:00Z", None),
     ("12:30", None),

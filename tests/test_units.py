@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sensormart.operators import clamp_pressure, clamp_pressure_by_join, harmonise_units
+from sensormart.operators import clamp_pressure, harmonise_units
 
 MICRO = "µg/m³"
 
@@ -67,7 +67,7 @@ def test_micro_sign_is_the_latin_one():
     assert MICRO[0] == "µ"
 
 
-@pytest.mark.parametrize("clamp", [clamp_pressure, clamp_pressure_by_join])
+@pytest.mark.parametrize("clamp", [clamp_pressure])
 def test_pressure_band(spark, clamp):
     values = [86999.99, 87000.0, 100000.0, 108400.0, 108400.01, None]
     rows = [(f"p{i}", "pressure", v) for i, v in enumerate(values)] + [("t", "temperature", 5.0)]
