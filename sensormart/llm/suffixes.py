@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensormart.llm.common import slices, text_or_empty
+from sensormart.llm.common import few_rows, slices, text_or_empty
 from sensormart.session import materialise
 
 THRESHOLD = 400
@@ -179,7 +179,7 @@ def _blocks(texts: DataFrame, threshold: int) -> DataFrame:
         names = ["key", "n_bytes", "anchor", "at", "index", "low", "high", "inner", "outer"]
         for batch in batches:
             rows = [[] for _ in names]
-            for row in batch.to_pylist():
+            for row in few_rows(batch):
                 windows = Windows(_unpacked(row["packed"]))
                 for run in row["runs"]:
                     if not run["compared"]:
@@ -208,7 +208,7 @@ def _suffixes(texts: DataFrame, threshold: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "n_bytes", "anchor", "distance", "start", "hash_a", "hash_b"]
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in few_rows(batch):
                 windows = Windows(_unpacked(row["packed"]))
                 spans = row["blocks"]
                 counts = np.array([b["high"] - b["low"] + 1 for b in spans])
@@ -268,7 +268,7 @@ def _cut_texts(texts: DataFrame, threshold: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
+            for row in few_rows(batch):
                 found = [(r["first"], r["first"] + r["number"] - 1) for r in row["runs"] if r["repeated"]]
                 found += [(s["low"], s["high"]) for s in row["found"] or []]
                 if not found:
@@ -309,10 +309,18 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies")
     )
     texts = materialise(texts.filter(F.col("n_bytes") >= threshold), "texts")
+    copied = texts.filter("copies > 1").select(
+        "key",
+        "n_bytes",
+        F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))).alias("spans"),
+        F.sha2(F.lit(b""), 256).alias("kept_sha256"),
+    )
     runs = materialise(_runs(named.filter(F.octet_length("text") >= threshold).select("text", "key"), threshold), "runs")
     spot = F.xxhash64("key", "n_bytes", F.col("first") + F.col("distance"))
     # First digit.
     anchors = materialise(_twice(runs, ["anchor"], spot), "anchors")
+    if anchors.isEmpty():
+        return materialise(copied, "spans")
     together = materialise(runs.join(anchors, "anchor").distinct(), "runs-together")
     # Second digit.
     run_key = ["anchor", "distance", "number", "whole"]
@@ -343,12 +351,6 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     found = judged.filter("repeated").select("key", "n_bytes", "low", "high").unionByName(single)
     found = found.groupBy("key", "n_bytes").agg(F.collect_set(F.struct("low", "high")).alias("found"))
     cut = _cut_texts(touched.join(found, ["key", "n_bytes"], "left"), threshold)
-    copied = texts.filter("copies > 1").select(
-        "key",
-        "n_bytes",
-        F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))).alias("spans"),
-        F.sha2(F.lit(b""), 256).alias("kept_sha256"),
-    )
     alone = cut.join(texts.filter("copies = 1").select("key", "n_bytes"), ["key", "n_bytes"], "left_semi")
     return materialise(alone.unionByName(copied).dropDuplicates(["key", "n_bytes"]), "spans")
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensormart.llm.common import few_rows
 from sensormart.llm.components import connected_components
 from sensormart.session import materialise
 
@@ -273,7 +274,7 @@ def _build(shards: DataFrame) -> DataFrame:
 def _compare(pairs: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in few_rows(batch, 1):
                 sides = []
                 for side in (row, {k: row[f"other_{k}"] for k in ("nodes", "copies", "vectors")}):
                     nodes, copies = (np.frombuffer(side[k], "<i8") for k in ("nodes", "copies"))
