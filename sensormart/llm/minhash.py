@@ -15,6 +15,8 @@ from sensormart.session import materialise
 
 #: A pair at similarity 0.75 misses every band in 5 of a million cases.
 BANDS, ROWS = 32, 4
+#: Families with more open members are compared by their core, which about so many members define.
+SMALL_FAMILY, CORE_SAMPLE = 64, 48
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _CHUNK = 2048
 _RANDOM = np.random.default_rng(20240229)
@@ -140,37 +142,64 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def find_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, component) of the text classes that have a link.
 
-    Candidates share a band. Instead of all pairs of a band's holders, each class
-    is compared with one holder first, then with the first holder of every band in
-    which components still meet, and at last, where they still do, with holders of
-    other components that share a second band. Pairs inside a component need no
-    comparison: they cannot change it.
+    Candidates share a band. Instead of all pairs of a band's holders:
+
+    1. Each class is compared with the first holder of its bands, then with a pivot:
+       the class that meets most others in the bands where components still meet.
+       A text with many edited copies becomes their pivot and joins most of them.
+    2. Classes around one pivot are a family. Where components of a small family,
+       or of different families, still meet in two bands, the pairs are compared.
+    3. In a large family each class is compared with the family's core, the
+       shingles that a quarter of a few members have. Two sets that share c
+       shingles outside the core share at most c more than the smaller of their
+       parts inside it. So pairs without a common shingle outside are compared
+       only if those parts are large enough, the others only if with c they are.
+       Nothing that could be a link is left out by this bound.
+
+    Pairs inside a component need no comparison: they cannot change it.
     """
     held = classes.select("node", "n_shingles", F.explode("bands").alias("key"))
-    shared = held.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = materialise(shared.select("key", "first"), "shared-bands")
+    shared = held.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    shared = materialise(shared, "shared-bands")
+    if shared.isEmpty():
+        return shared.select(F.col("first").alias("node"), F.col("first").alias("component"))
     members = materialise(held.join(shared, "key"), "band-members")
     wanted = materialise(members.select("node").distinct(), "candidates")
     texts = _texts(docs, classes.join(wanted, "node"))
-    sizes = classes.select(F.col("node").alias("first"), F.col("n_shingles").alias("first_size"))
-
-    nearest = members.filter("first <> node").groupBy("node", "n_shingles").agg(F.min("first").alias("first"))
-    links = materialise(verify(_sized(nearest, sizes), texts), "links")
-    tried = materialise(nearest.select(F.col("first").alias("a"), F.col("node").alias("b")), "tried")
-    for others in (_first_holders, _second_band):
-        labelled = _unsettled(members, links)
-        pairs = others(labelled, sizes).join(tried, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
+    sizes = classes.select(F.col("node").alias("other"), F.col("n_shingles").alias("other_size"))
+
+    nearest = members.filter("first <> node").groupBy("node", "n_shingles").agg(F.min("first").alias("other"))
+    tried = materialise(_sized(nearest, sizes), "tried")
+    links = materialise(verify(tried, texts), "links")
+    open_members = _unsettled(members, links)
+    if open_members.isEmpty():
+        return connected_components(links)
+
+    families = _families(open_members)
+    for other in ("pivot", "family"):
+        star = families.filter(F.col("node") != F.col(other)).select("node", "n_shingles", F.col(other).alias("other"))
+        pairs = materialise(_sized(star, sizes).join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = materialise(tried.unionByName(pairs), "tried")
         links = materialise(links.unionByName(verify(pairs, texts)), "links")
-    return connected_components(links)
+    placed = families.select("node", "family")
+    open_members = materialise(_unsettled(members, links).join(placed, "node", "left"), "open-members")
+    open_members = open_members.withColumn("family", F.coalesce("family", "node"))
+    nodes = open_members.select("node", "n_shingles", "component", "family").distinct()
+    grown = nodes.groupBy("family").agg(F.count(F.lit(1)).alias("members"))
+    grown = materialise(grown.withColumn("large", F.col("members") > SMALL_FAMILY), "family-sizes")
+    nodes = materialise(nodes.join(grown, "family"), "family-nodes")
+
+    pairs = _second_band(open_members.join(grown.select("family", "large"), "family"))
+    large = nodes.filter("large")
+    if not large.isEmpty():
+        pairs = pairs.unionByName(_bounded_pairs(large, texts))
+    pairs = materialise(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+    return connected_components(materialise(links.unionByName(verify(pairs, texts)), "links"))
 
 
 def _sized(stars: DataFrame, sizes: DataFrame) -> DataFrame:
-    near = stars.join(sizes, "first").filter(_similar_size("n_shingles", "first_size"))
-    return near.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    near = stars.join(sizes, "other").filter(_similar_size("n_shingles", "other_size"))
+    return near.select(F.least("other", "node").alias("a"), F.greatest("other", "node").alias("b")).distinct()
 
 
 def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -183,23 +212,109 @@ def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
     return materialise(labelled.join(mixed, "key"), "unsettled")
 
 
-def _first_holders(unsettled: DataFrame, sizes: DataFrame) -> DataFrame:
-    home = unsettled.filter("node = first").select("key", F.col("component").alias("home"))
-    return _sized(unsettled.join(home, "key").filter("component <> home"), sizes)
+def _families(unsettled: DataFrame) -> DataFrame:
+    """(node, n_shingles, pivot, family): the most met holder of a node's bands, and where such steps lead."""
+    met = unsettled.groupBy("node", "n_shingles").agg(F.sum("holders").alias("met"))
+    met = materialise(met, "met")
+    rank = F.struct("met", (-F.col("node")).alias("last"))
+    best = unsettled.select("node", "key").join(met, "node").groupBy("key").agg(F.max(rank).alias("best"))
+    best = materialise(best, "band-pivots")
+    steps = unsettled.select("node", "n_shingles", "key").join(best, "key").groupBy("node", "n_shingles").agg(F.max("best").alias("best"))
+    steps = materialise(steps.select("node", "n_shingles", (-F.col("best.last")).alias("pivot")), "pivots")
+    onward = steps.select(F.col("node").alias("family"), F.col("pivot").alias("next"))
+    families = steps.withColumn("family", F.col("pivot"))
+    for _ in range(3):
+        families = families.join(onward, "family", "left").withColumn("family", F.coalesce("next", "family")).drop("next")
+    return materialise(families, "families")
+
+
+def _second_band(unsettled: DataFrame) -> DataFrame:
+    """Pairs of different components that share two bands, but for those inside a large family."""
+    own = ["node", "n_shingles", "component", "family", "large"]
+    useful = materialise(_useful_keys(unsettled), "useful-bands")
+    keys = unsettled.join(useful, "key").groupBy(*own).agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    ordered = F.flatten(
+        F.transform("keys", lambda x: F.transform(F.filter("keys", lambda y: y > x), lambda y: F.xxhash64(x, y)))
+    )
+    double = materialise(keys.select(*own, F.explode(ordered).alias("key")), "double-bands")
+    double = double.join(materialise(_useful_keys(double), "double-keys"), "key")
+    a, b = (double.select("key", *[F.col(c).alias(f"{c}_{n}") for c in own]) for n in "ab")
+    apart = ~F.col("large_a") | (F.col("family_a") != F.col("family_b"))
+    found = a.join(b, "key").filter("node_a < node_b and component_a <> component_b").filter(apart)
+    found = found.filter(_similar_size("n_shingles_a", "n_shingles_b"))
+    return found.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def _useful_keys(rows: DataFrame) -> DataFrame:
+    """The keys in which components meet, and not only inside one large family."""
+    seen = rows.groupBy("key").agg(
+        *[f(c).alias(f"{n}_{c}") for n, f in (("low", F.min), ("high", F.max)) for c in ("component", "family")],
+        F.bool_and("large").alias("all_large"),
+    )
+    return seen.filter("low_component < high_component and (low_family < high_family or not all_large)").select("key")
 
 
-def _second_band(unsettled: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs of different components that share two bands, which a common passage rarely gives."""
-    keys = unsettled.groupBy("node", "n_shingles", "component").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    ordered = F.flatten(
-        F.transform("keys", lambda x, i: F.transform(F.filter("keys", lambda y: y > x), lambda y: F.xxhash64(x, y)))
+def _bounded_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of different components of a large family that the bound does not exclude."""
+    # A few members of each family, by their hashes: about CORE_SAMPLE.
+    share = F.lit(1 << 20) * CORE_SAMPLE / F.col("members")
+    few = nodes.filter(F.pmod(F.xxhash64("node"), F.lit(1 << 20)) < share).select("family", "node").join(texts, "node")
+
+    def core(group: pa.Table) -> pa.Table:
+        hashes = [shingle_hashes(words_of(t)) for t in group.column("text").to_pylist()]
+        values, counts = np.unique(np.concatenate(hashes), return_counts=True)
+        kept = values[counts >= max(2, -(-len(hashes) // 4))].view(np.int64)
+        return pa.table({"family": group.column("family").slice(0, 1), "core": pa.array([kept], pa.list_(pa.int64()))})
+
+    cores = few.groupBy("family").applyInArrow(core, "family long, core array<long>")
+    cores = materialise(cores, "family-cores")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            inside, outside = [], []
+            for text, known in zip(batch.column("text").to_pylist(), batch.column("core"), strict=True):
+                hashes = shingle_hashes(words_of(text)).view(np.int64)
+                own = np.isin(hashes, known.values.to_numpy() if known.is_valid else [], assume_unique=True)
+                inside.append(int(own.sum()))
+                outside.append(hashes[~own])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c) for c in ("family", "node", "component", "n_shingles")],
+                    pa.array(inside, pa.int64()),
+                    pa.array(outside, pa.list_(pa.int64())),
+                ],
+                ["family", "node", "component", "n", "inside", "outside"],
+            )
+
+    placed = nodes.select("family", "node", "component", "n_shingles").join(texts, "node").join(cores, "family", "left")
+    profiles = placed.mapInArrow(
+        compare, "family long, node long, component long, n long, inside long, outside array<long>"
     )
-    double = materialise(keys.select("node", "n_shingles", "component", F.explode(ordered).alias("key")), "double-bands")
-    open_keys = double.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    double = double.join(open_keys.filter("low < high").select("key"), "key")
-    a = double.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"))
-    b = double.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"))
-    return a.join(b, "key").filter(F.col("a") < F.col("b")).filter("ca <> cb").filter(_similar_size("na", "nb")).select("a", "b").distinct()
+    profiles = materialise(profiles.dropDuplicates(["node"]), "profiles")
+    counted = profiles.groupBy("family", "component").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least"))
+    largest = counted.groupBy("family").agg(F.max_by("component", "size").alias("main"), F.min("least").alias("least"))
+    profiles = profiles.join(materialise(largest, "main-components"), "family")
+
+    def enough(common, a: str, b: str):
+        return 100 * common >= round(100 * SIMILAR) * (F.col(a) + F.col(b) - common)
+
+    own = ["node", "component", "n", "inside"]
+    live = profiles.filter(enough(F.col("inside"), "n", "least"))
+    rest = profiles.filter("component <> main")
+    near = _both(live.filter("component <> main"), live, own, ["family"])
+    inner = F.least("inside_a", "inside_b")
+    quiet = near.filter(enough(inner, "n_a", "n_b")).select("node_a", "node_b")
+    marks = [x.select("family", *own, F.explode("outside").alias("mark")) for x in (rest, profiles)]
+    met = _both(marks[0], marks[1], own, ["family", "mark"]).groupBy(*[f"{c}_{n}" for n in "ab" for c in own]).count()
+    loud = met.filter(enough(inner + F.col("count"), "n_a", "n_b")).select("node_a", "node_b")
+    found = quiet.unionByName(loud)
+    return found.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def _both(left: DataFrame, right: DataFrame, columns: list[str], key: list[str]) -> DataFrame:
+    """Pairs of rows with equal keys and different components."""
+    a, b = (x.select(*key, *[F.col(c).alias(f"{c}_{n}") for c in columns]) for x, n in ((left, "a"), (right, "b")))
+    return a.join(b, key).filter("component_a <> component_b").filter(_similar_size("n_a", "n_b"))
 
 
 def _texts(docs: DataFrame, classes: DataFrame) -> DataFrame:

@@ -80,6 +80,26 @@ def test_chains_passages_and_odd_rows(spark):
     _check(docs.filter("doc_id = 3 or text is null"))
 
 
+def test_large_families(spark, monkeypatch):
+    """Copies with many edits, around the threshold, some sharing an edit: compared by the bound."""
+    monkeypatch.setattr(minhash, "SMALL_FAMILY", 8)
+    monkeypatch.setattr(minhash, "CORE_SAMPLE", 6)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    edits = [[(rng.randrange(150), f"e{k}-{i}") for i in range(rng.randint(1, 3))] for k in range(12)]
+    texts = [" ".join(base)]
+    for _ in range(110):
+        copy = base[: rng.choice([150, 150, 140, 120])]
+        for place, word in [e for k in rng.sample(range(12), rng.randint(0, 2)) for e in edits[k]]:
+            if place < len(copy):
+                copy[place] = word
+        for _ in range(rng.randint(0, 6)):
+            copy[rng.randrange(len(copy))] = f"x{rng.randint(0, 10**9)}"
+        texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _check(docs)
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     for share in (0.2, 0.5, 0.8):
