@@ -300,13 +300,30 @@ def _bounded_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
     own = ["node", "component", "n", "inside"]
     live = profiles.filter(enough(F.col("inside"), "n", "least"))
-    rest = profiles.filter("component <> main")
     near = _both(live.filter("component <> main"), live, own, ["family"])
     inner = F.least("inside_a", "inside_b")
     quiet = near.filter(enough(inner, "n_a", "n_b")).select("node_a", "node_b")
-    marks = [x.select("family", *own, F.explode("outside").alias("mark")) for x in (rest, profiles)]
-    met = _both(marks[0], marks[1], own, ["family", "mark"]).groupBy(*[f"{c}_{n}" for n in "ab" for c in own]).count()
-    loud = met.filter(enough(inner + F.col("count"), "n_a", "n_b")).select("node_a", "node_b")
+
+    # Shingles outside the core that others have too, the rarest first. A pair that
+    # needs some of them in common has one among the first of both, leaving out as
+    # many as it needs, less one; and it needs no fewer than either side does.
+    marks = profiles.select("family", *own, "main", "least", F.explode("outside").alias("mark"))
+    spread = marks.groupBy("family", "mark").agg(F.count(F.lit(1)).alias("spread")).filter("spread > 1")
+    spread = materialise(spread, "mark-spreads")
+    ranked = marks.join(spread, ["family", "mark"]).groupBy("family", *own, "main", "least")
+    ranked = ranked.agg(F.sort_array(F.collect_list(F.struct("spread", "mark")))["mark"].alias("outside"))
+    ranked = materialise(ranked, "ranked-marks")
+    percent = round(100 * SIMILAR)
+    smallest = F.greatest(F.col("least"), F.ceil(F.col("n") * SIMILAR))
+    needed = F.greatest(F.lit(1), F.ceil(percent * (F.col("n") + smallest) / (100 + percent) - 1e-9) - F.col("inside"))
+    first = F.slice("outside", 1, F.greatest(F.size("outside") - needed + 1, F.lit(0)).cast("int"))
+    heads = ranked.select("family", *own, "main", F.explode(first).alias("mark"))
+    met = _both(heads.filter("component <> main"), heads, own, ["family", "mark"]).select("node_a", "node_b").distinct()
+    met = materialise(met, "met-marks")
+    for side in "ab":
+        met = met.join(ranked.select(*[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "inside", "outside")]), f"node_{side}")
+    common = inner + F.size(F.array_intersect("outside_a", "outside_b"))
+    loud = met.filter(enough(common, "n_a", "n_b")).select("node_a", "node_b")
     found = quiet.unionByName(loud)
     return found.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
