@@ -94,7 +94,13 @@ def test_trend(spark):
 def test_trend_without_numbers(spark):
     docs = documents(spark, [document("a", [reading("co", None)]), document("b", [reading("no2", float("nan")), reading("NO2", 4.0)])])
     trend = trend_by_hour(fresh_star(clean_measurements(docs)))
-    assert rows_of(trend, "parameter_name", "readings", "avg_value", "min_value") == [("co", 0, None, None), ("no2", 2, 4.0, 4.0)]
+    assert rows_of(trend, "parameter_name", "readings", "avg_value", "min_value") == [("co", 1, None, None), ("no2", 2, 4.0, 4.0)]
+
+
+def test_trend_of_very_large_and_small_values(spark):
+    docs = [document(f"{p}{n}", [reading(p, v)]) for p, values in (("bc", (1e21, 3e21)), ("no", (1e-9, 3e-9))) for n, v in enumerate(values)]
+    trend = trend_by_hour(fresh_star(clean_measurements(documents(spark, docs))))
+    assert rows_of(trend, "parameter_name", "readings", "avg_value") == [("bc", 2, 2e21), ("no", 2, 2e-9)]
 
 
 def test_hot_timestamp_is_split(spark, tmp_path):
