@@ -283,10 +283,16 @@ def _compare(pairs: DataFrame) -> DataFrame:
                 graph = Graph.unpack(exact.astype(np.float32), row["graph"], row["entry"])
                 same = row["shard"] == row["other_shard"]
                 found = linked(graph, exact, queries, same)
-                query_roots, vector_roots = roots(found)
-                parts = [(others, found @ copies, query_roots)]
+                parts = [(others, found @ copies)]
                 if not same:
-                    parts.append((nodes, found.T @ other_copies, vector_roots))
+                    parts.append((nodes, found.T @ other_copies))
+                linking = found.any(axis=1)
+                if same:
+                    # Row i and column i are one vector: tied, or pairs, paths and stars would fall apart.
+                    np.fill_diagonal(found, True)
+                query_roots, vector_roots = roots(found)
+                query_roots[~linking] = -1
+                parts = [(*part, root) for part, root in zip(parts, (query_roots, vector_roots), strict=False)]
                 for ids, links, root in parts:
                     kept = np.flatnonzero(root >= 0)
                     yield pa.RecordBatch.from_arrays(

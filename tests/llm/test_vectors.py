@@ -1,9 +1,11 @@
 """Embedding links against all pairs, and the graph's recall."""
 
+import duckdb
 import numpy as np
 import pytest
 
 from sensormart.llm import vectors
+from sensormart.llm.oracles import VECTORS
 
 from test_minhash import brute_components
 
@@ -70,3 +72,24 @@ def test_roots(seed):
     left, right = vectors.roots(adjacent)
     assert all(left[i] == (group[i] if adjacent[i].any() else -1) for i in range(30))
     assert all(right[j] == (group[30 + j] if adjacent[:, j].any() else -1) for j in range(20))
+
+
+def _turned(*degrees):
+    """Unit vectors in one plane; 10 degrees apart are linked, 20 are not."""
+    return [[float(np.cos(np.radians(d))), float(np.sin(np.radians(d))), 0.0] for d in degrees]
+
+
+def test_pairs_paths_and_stars(spark):
+    """Components without a triangle, each under a label of its own, and together."""
+    star = [[0.0, 0.0, 1.0]] + [[0.17 * np.cos(a), 0.17 * np.sin(a), 1.0] for a in np.radians([0, 120, 240])]
+    shapes = [_turned(0, 10), _turned(0, 10, 20), _turned(*range(0, 70, 10)), [[float(x) for x in v] for v in star]]
+    shapes.append(_turned(0, 10, 45, 55, 90, 100, 110, 150))
+    rows = [(vector, label) for label, shape in enumerate(shapes) for vector in shape]
+    rows = [(i, vector, label) for i, (vector, label) in enumerate(rows)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    _check(table)
+    frame = table.toPandas()  # noqa: F841, read by name
+    expected = duckdb.sql(VECTORS.replace("embeddings", "frame")).df()
+    got = vectors.near_vectors(table).toPandas()
+    columns = sorted(expected.columns)
+    assert sorted(map(tuple, got[columns].values.tolist())) == sorted(map(tuple, expected[columns].values.tolist()))
