@@ -181,7 +181,10 @@ def linked(graph: Graph, exact: np.ndarray, queries: np.ndarray, same: bool) ->
 
     Beams of queries whose whole beam reaches it are doubled. Evenly spaced
     queries are also answered by comparing with all vectors; while too little of
-    their links and nearest vectors is found, all beams are doubled.
+    their links and nearest vectors is found, all beams are doubled. Each audited
+    query counts alike, however many links it has, and those that rest on the
+    first beam must reach the recall by themselves: a cluster whose beams were
+    doubled says nothing about them.
     """
     n, m = len(queries), len(exact)
     single = queries.astype(np.float32)
@@ -195,7 +198,7 @@ def linked(graph: Graph, exact: np.ndarray, queries: np.ndarray, same: bool) ->
     beam = BEAM
     while True:
         result = np.zeros((n, m), bool)
-        reached = np.zeros(wanted.shape, bool)
+        reached, widened = np.zeros(wanted.shape, bool), np.zeros(len(audit), bool)
         for first in range(0, n, _BATCH):
             rows, width = np.arange(first, min(n, first + _BATCH)), beam
             while len(rows):
@@ -208,8 +211,8 @@ def linked(graph: Graph, exact: np.ndarray, queries: np.ndarray, same: bool) ->
                 place, column = np.nonzero(near)
                 result[rows[place], ids[place, column]] = True
                 rows, width = rows[full], 2 * width
-        total = int(wanted.sum())
-        if not total or beam >= m or (reached & wanted).sum() >= RECALL * total:
+                widened |= np.isin(audit, rows)
+        if beam >= m or _enough(reached, wanted, np.ones_like(widened)) and _enough(reached, wanted, ~widened):
             break
         beam *= 2
     if same:
@@ -225,6 +228,13 @@ def linked(graph: Graph, exact: np.ndarray, queries: np.ndarray, same: bool) ->
     return result
 
 
+def _enough(reached: np.ndarray, wanted: np.ndarray, chosen: np.ndarray) -> bool:
+    """Whether the chosen queries found, on average over queries, the required share of what they want."""
+    asked = chosen & wanted.any(axis=1)
+    shares = (reached & wanted)[asked].sum(axis=1) / wanted[asked].sum(axis=1)
+    return not len(shares) or bool(shares.mean() >= RECALL)
+
+
 def roots(adjacent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For rows and columns of a link matrix, the smallest row connected with them (-1: none)."""
     n, m = adjacent.shape

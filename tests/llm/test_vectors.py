@@ -93,3 +93,28 @@ def test_pairs_paths_and_stars(spark):
     got = vectors.near_vectors(table).toPandas()
     columns = sorted(expected.columns)
     assert sorted(map(tuple, got[columns].values.tolist())) == sorted(map(tuple, expected[columns].values.tolist()))
+
+
+class _Narrow:
+    """Answers exactly, but below a beam of 96 knows nothing outside the first ``hot`` vectors."""
+
+    def __init__(self, exact, hot):
+        self.exact, self.hot = exact, hot
+
+    def search(self, queries, beam, own=None):
+        cosines = queries @ self.exact.T.astype(np.float32)
+        if beam < 96:
+            cosines[:, self.hot :] = -1
+        ids = np.argsort(-cosines, axis=1, kind="stable")[:, :beam]
+        return ids, np.take_along_axis(cosines, ids, axis=1)
+
+
+@pytest.mark.parametrize("share", [0.33, 0.9])
+def test_hot_cluster_does_not_hide_lost_links(share):
+    rng = np.random.default_rng(8)
+    hot = int(600 * share)
+    centre = rng.normal(size=(1, 32))
+    data = np.concatenate([centre + rng.normal(size=(hot, 32)) * 0.02, rng.normal(size=(600 - hot, 32))])
+    exact, queries = vectors._unit(data), vectors._unit(data + rng.normal(size=data.shape) * 0.005)
+    found = vectors.linked(_Narrow(exact, hot), exact, queries, False)
+    assert (found == (queries @ exact.T >= vectors.COSINE)).all()
