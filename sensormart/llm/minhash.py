@@ -13,8 +13,9 @@ from sensormart.llm.common import SHINGLE_WORDS, SIMILAR, WORD, slices, text_or_
 from sensormart.llm.components import connected_components
 from sensormart.session import materialise
 
-#: A pair at similarity 0.75 misses every band in 5 of a million cases.
-BANDS, ROWS = 32, 4
+#: A pair at similarity 0.75 shares fewer than two bands in 5 of a million cases; two bands are what
+#: compares pairs that are not joined by a first holder or a pivot.
+BANDS, ROWS = 40, 4
 #: Families with more open members are compared by their core, which about so many members define.
 SMALL_FAMILY, CORE_SAMPLE = 64, 48
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))

@@ -123,3 +123,37 @@ def test_components(spark):
     got = connected_components(spark.createDataFrame(links, "a long, b long"))
     assert {tuple(r) for r in got.collect()} == {(n, c) for n, c in brute_components(range(400), links).items() if n in nodes}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_two_bands_miss_as_seldom_as_stated():
+    """At similarity 0.75 fewer than two common bands occur in at most 5.5 of a million cases."""
+    same = minhash.SIMILAR**minhash.ROWS
+    none = (1 - same) ** minhash.BANDS
+    assert none + minhash.BANDS * same * (1 - same) ** (minhash.BANDS - 1) < 5.5e-6
+
+
+def test_pair_whose_only_early_band_is_shared_with_others(spark):
+    """Two similar texts meet in one of the first 32 bands, and there only among many short texts."""
+    keys = lambda text: minhash.band_keys(minhash.signature(minhash.shingle_hashes(minhash.words_of(text))))
+    head = [f"h1480x{i}" for i in range(76)]
+    pair = [" ".join(head + [f"{side}1480y{i}" for i in range(12)]) for side in "ab"]
+    common = np.flatnonzero(keys(pair[0]) == keys(pair[1]))
+    assert (common < 32).sum() == 1
+    band = int(common[0])
+    # The passages of the head whose shingles the band is made of.
+    passages = [" ".join(head[i : i + 5]) for i in range(72)]
+    whole = minhash.signature(minhash.shingle_hashes(minhash.words_of(pair[0])))
+    rows = slice(band * minhash.ROWS, (band + 1) * minhash.ROWS)
+    least = [minhash.signature(minhash.shingle_hashes(minhash.words_of(p)))[rows] == whole[rows] for p in passages]
+    needed = [p for p, hit in zip(passages, least, strict=True) if hit.any()]
+    others, n = [], 0
+    while len(others) < 8:
+        n += 1
+        text = " ".join(f"f{n}a{i} {p}" for i, p in enumerate(needed))
+        if keys(text)[band] == keys(pair[0])[band]:
+            others.append(text)
+    docs = spark.createDataFrame(list(enumerate(others + pair)), "doc_id long, text string")
+    # The short texts come first: the pair is neither with a first holder nor with a pivot.
+    classes = minhash.sign_documents(docs).selectExpr("text_key", "doc_id AS least_id", "n_shingles", "bands", "doc_id AS node")
+    assert sorted(map(tuple, minhash.find_links(docs, classes).collect())) == [(8, 8), (9, 8)]
+    _check(docs)
