@@ -91,3 +91,68 @@ reached AS (
 SELECT s.doc_id, len(s)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept
 FROM sets s JOIN least l ON l.doc_id = s.doc_id
 """
+
+
+def _clusters(rounds: int = 10) -> str:
+    """Every round as two steps: the nearest centroid of each vector, and the means."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (
+    SELECT r, any_value(vec_id) AS vec_id, min({{'d': d, 'k': k}}) AS best FROM (
+        SELECT r, vec_id, k, list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(v, c)])::BIGINT AS d
+        FROM kept, c{n}
+    ) GROUP BY r
+)""")
+        if n < rounds:
+            steps.append(f"""c{n + 1} AS MATERIALIZED (
+    SELECT c{n}.k, coalesce(m.c, c{n}.c) AS c FROM c{n} LEFT JOIN (
+        SELECT k, list(x ORDER BY i) AS c FROM (
+            SELECT best.k AS k, i, floor(sum(v[i]) / count(*)) AS x
+            FROM a{n} JOIN kept USING (r), range(1, 65) s(i) GROUP BY ALL
+        ) GROUP BY k
+    ) m ON m.k = c{n}.k
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = 64
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR)) - 1 AS k, v AS c
+    FROM kept ORDER BY k LIMIT 8
+), {", ".join(steps)}
+SELECT vec_id, best.k::INTEGER AS cluster, best.d AS distance,
+       (sum(best.d) OVER (PARTITION BY best.k))::BIGINT AS cluster_inertia, (sum(best.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string([x::BIGINT::VARCHAR for x in c], ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON best.k = k
+"""
+
+
+CLUSTERS = _clusters()
+
+SEARCH = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+    FROM documents
+), sized AS (SELECT r, doc_id, t, len(t) AS terms FROM d WHERE len(t) > 0),
+totals AS (SELECT count(*)::HUGEINT AS docs, sum(terms)::HUGEINT AS size FROM sized),
+items AS (
+    SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), asked AS (SELECT i, item_id, term, count(*) AS q FROM items GROUP BY ALL),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM sized) GROUP BY ALL),
+wanted AS (SELECT * FROM held SEMI JOIN asked USING (term)),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM wanted, totals GROUP BY term
+), lengths AS (SELECT r, doc_id, (100 - 75 + ((75 * terms::HUGEINT * docs) // size))::BIGINT AS m FROM sized, totals),
+scores AS (
+    SELECT i, item_id, r, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN wanted USING (term) JOIN lengths USING (r) GROUP BY ALL
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

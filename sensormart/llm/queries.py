@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensormart.llm.clusters import cluster_vectors
 from sensormart.llm.common import table
 from sensormart.llm.licenses import scan_licenses
 from sensormart.llm.minhash import near_duplicates
 from sensormart.llm.mixing import mix_documents
-from sensormart.llm.oracles import MINHASH, MIXING, VECTORS, WARC
+from sensormart.llm.oracles import CLUSTERS, MINHASH, MIXING, SEARCH, VECTORS, WARC
 from sensormart.llm.packing import pack_documents
 from sensormart.llm.quality import judge_documents
+from sensormart.llm.search import search
 from sensormart.llm.suffixes import find_repeats
 from sensormart.llm.token_counts import count_tokens
 from sensormart.llm.token_files import read_token_files, write_token_files
@@ -69,6 +71,14 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "component")
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -80,6 +90,8 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
     "op10_minhash": op10_minhash,
+    "op11_search": op11_search,
+    "op13_clusters": op13_clusters,
 }
 
 ORACLE_SQL = {
@@ -87,4 +99,6 @@ ORACLE_SQL = {
     "op7_warc": WARC,
     "op8_mixing": MIXING,
     "op10_minhash": MINHASH,
+    "op11_search": SEARCH,
+    "op13_clusters": CLUSTERS,
 }

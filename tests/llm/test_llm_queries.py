@@ -5,7 +5,7 @@ import pytest
 
 from sensormart.llm.queries import ORACLE_SQL, QUERIES
 
-TABLES = ["documents", "embeddings", "pages", "labels"]
+TABLES = ["documents", "embeddings", "pages", "labels", "benchmark"]
 
 
 @pytest.fixture(scope="module")
