@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sensormart.llm.clusters import cluster_vectors
 from sensormart.llm.common import table
+from sensormart.llm.fingerprints import compare_with_edits
 from sensormart.llm.licenses import scan_licenses
 from sensormart.llm.minhash import near_duplicates
 from sensormart.llm.mixing import mix_documents
@@ -75,6 +76,10 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -91,6 +96,7 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_minhash": op10_minhash,
     "op11_search": op11_search,
+    "op12_fingerprints": op12_fingerprints,
     "op13_clusters": op13_clusters,
 }
 
