@@ -6,6 +6,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracles  # noqa: E402
 from sensormart import fixtures, functions, operators
-from sensormart.plans import DIMENSIONS, for_each_dimension, fresh_star, trend_by_hour
+from sensormart.plans import (
+    DIMENSIONS,
+    IntegrityError,
+    for_each_dimension,
+    fresh_star,
+    run_increment,
+    trend_by_hour,
+)
 from sensormart.schemas import (
     FACT_TABLE,
     ID_COLUMNS,
@@ -28,10 +36,12 @@ from sensormart.sources import (
     decode_messages,
     encode_messages,
     has_geo,
+    read_documents,
     read_message_files,
     read_pages,
     unnest_results,
 )
+from sensormart.sources.store import RAW_TABLE, REJECT_TABLE
 from sensormart.streaming import start_stream
 
 try:
@@ -58,22 +68,36 @@ def message_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages cut short (one region) or without a station (another) are put aside."""
+    """What is put aside, by region: messages cut short, without a station, with a bad reading.
+
+    Where the first reading's value is no number, only that reading is lost; a
+    document that has no other goes as a whole. ``readings``: of the documents kept.
+    """
     docs = fixtures.documents(spark, sf_dir)
     nameless = docs.withColumn("location", F.when(F.col("country") != "EUROPE", F.col("location")))
     text = F.col("value").cast("string")
     cut = F.when(text.contains('"country":"ASIA"'), text.substr(F.lit(1), F.length(text) - 2))
+    typed = F.regexp_replace(text, r'^(.*?"value":)[^,]*', '$1"n/a"')
+    bad = F.when(text.contains('"country":"AFRICA"'), typed)
     good, rejects = decode_messages(
-        encode_messages(nameless).select(F.coalesce(cut, text).cast("binary").alias("value"))
+        encode_messages(nameless).select(F.coalesce(cut, bad, text).cast("binary").alias("value"))
     )
+    kept = good.select(F.lit("accepted").alias("reject_reason"), F.size("measurements").alias("n"))
     return (
-        rejects.select("reject_reason")
-        .unionByName(good.select(F.lit("accepted").alias("reject_reason")))
+        rejects.select("reject_reason", F.lit(None).cast("int").alias("n"))
+        .unionByName(kept)
         .groupBy("reject_reason")
-        .agg(F.count(F.lit(1)).alias("messages"))
+        .agg(F.count(F.lit(1)).alias("messages"), F.sum("n").alias("readings"))
     )
 
 
+def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a document store keeps them, read with their fixed schema."""
+    path = scratch_path(spark, "documents")
+    fixtures.documents(spark, sf_dir).write.parquet(path)
+    return _flat(read_documents(spark, path), F.col("_id.oid").alias("doc_id"))
+
+
 def _flat(docs: DataFrame, *extra) -> DataFrame:
     return docs.withColumn("m", F.explode("measurements")).select(
         *extra,
@@ -97,6 +121,18 @@ def latest_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_by_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fourth page of the newest documents, each page from the end of the one before."""
+    docs = materialise(operators.with_newest(fixtures.documents(spark, sf_dir)), "by-newest")
+    cursor = None
+    for _ in range(3):
+        cursor = operators.cursor_of(operators.page_after(docs, cursor)) or cursor
+    page = operators.page_after(docs, cursor)
+    return page.select(
+        F.col("_id.oid").alias("doc_id"), "location", F.size("measurements").alias("readings")
+    )
+
+
 # -- processing state --------------------------------------------------------
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents flagged by region: AFRICA done, ASIA without a flag, others open."""
@@ -110,7 +146,7 @@ def unprocessed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = {
         "unprocessed": operators.unprocessed(docs),
         "processed": operators.processed(docs),
-        "not marked": docs.filter(~F.col("processed").eqNullSafe(True)),
+        "not marked": operators.not_marked(docs),
         "unprocessed after backfill": operators.unprocessed(operators.backfill_processed(docs)),
     }
     return _counted(views)
@@ -162,6 +198,17 @@ def paris_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zoned_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Local times as texts with their offset; the clock reading alone as if it were UTC."""
+    local = functions.local_wall_clock(functions.epoch_seconds(F.col("last_updated")))
+    return fixtures.flattened(spark, sf_dir).select(
+        "measurement_id",
+        "last_updated",
+        functions.zoned_text(local, functions.LOCAL_ZONE).alias("with_offset"),
+        functions.zoned_text(local, "UTC").alias("as_utc"),
+    )
+
+
 def pressure_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     converted = operators.harmonise_units(fixtures.flattened(spark, sf_dir))
     clamped = operators.clamp_pressure(converted)
@@ -234,7 +281,7 @@ def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     reading and brings humidity.
     """
-    facts = fresh_star(fixtures.clean(spark, sf_dir))[FACT_TABLE]
+    facts = fresh_star(fixtures.landed(spark, sf_dir))[FACT_TABLE]
     lower = F.lower(F.element_at(F.split("measurement_id", "_"), -1))
     target = facts.filter(lower != "relativehumidity")
     source = facts.filter(lower.isin("relativehumidity", "pressure")).withColumn(
@@ -245,7 +292,7 @@ def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def integrity_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules on a star with faults: a station twice, midnight hours missing from time."""
-    star = fresh_star(fixtures.clean(spark, sf_dir))
+    star = fresh_star(fixtures.landed(spark, sf_dir))
     location = star[LOCATION_TABLE]
     star[LOCATION_TABLE] = location.unionByName(location.filter("country = 'ASIA'"))
     star[TIME_TABLE] = star[TIME_TABLE].filter("hour <> 0")
@@ -253,7 +300,7 @@ def integrity_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trend_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trend_by_hour(fresh_star(fixtures.clean(spark, sf_dir)))
+    return trend_by_hour(fresh_star(fixtures.landed(spark, sf_dir)))
 
 
 # -- ingest ------------------------------------------------------------------
@@ -304,6 +351,75 @@ def stream_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bounded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six files of messages, one a micro-batch. A run fails after a micro-batch has landed
+
+    and before Spark has noted it; the next run takes it again and goes on. Each
+    document lands once.
+    """
+    root = scratch_path(spark, "bounded")
+    messages = encode_messages(fixtures.documents(spark, sf_dir)).select(F.col("value").cast("string"))
+    messages.repartition(6).write.text(f"{root}/messages")
+    store = StarStore(spark, f"{root}/store")
+    landed = []
+
+    def fail_once(label: str) -> None:
+        landed.append(label)
+        if len(landed) == 3:
+            raise RuntimeError("stopped before the micro-batch is noted")
+
+    for attempt in range(2):
+        stream = read_message_files(spark, f"{root}/messages", max_files=1)
+        run = start_stream(stream, store, f"{root}/checkpoint", land_only=True, after=fail_once)
+        try:
+            run.awaitTermination()
+        except StreamingQueryException:
+            if attempt:
+                raise
+    return store.table(RAW_TABLE).select(
+        "location", "country", F.size("measurements").alias("readings"), "last_updated"
+    )
+
+
+def step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two deliveries and an empty one have counted, step by step."""
+    store = StarStore(spark, scratch_path(spark, "counts"))
+    docs = materialise(fixtures.documents(spark, sf_dir), "documents")
+    first = docs.filter(F.col("country").isin("AFRICA", "AMERICA", "ASIA"))
+    for number, delivery in enumerate((first, docs, docs.filter("country = 'nowhere'")), 1):
+        run_increment(store, encode_messages(delivery), f"d{number}")
+    return store.counts().select("step", "name", "value")
+
+
+def load_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that would break the star: another writer has stored some stations a second time.
+
+    The second load is refused: its facts do not appear, its landing stays pending,
+    and the repeated keys are among the rejects.
+    """
+    store = StarStore(spark, scratch_path(spark, "gate"))
+    docs = materialise(fixtures.documents(spark, sf_dir), "documents")
+    early = F.col("country").isin("AFRICA", "AMERICA")
+    run_increment(store, encode_messages(docs.filter(early)), "d1")
+    stations = store.table(LOCATION_TABLE).filter("country = 'AFRICA'")
+    store.write(LOCATION_TABLE, "foreign", stations.withColumn("location_id", F.col("location_id") + 1_000_000))
+    store.publish("foreign")
+    try:
+        run_increment(store, encode_messages(docs.filter(~early)), "d2")
+    except IntegrityError:
+        pass
+    else:
+        raise AssertionError("the load was not refused")
+    pending = len(store.pending())
+    return (
+        store.table(REJECT_TABLE)
+        .groupBy(F.col("reject_reason").alias("name"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .unionByName(store.table(FACT_TABLE).agg(F.lit("facts").alias("name"), F.count(F.lit(1)).alias("n")))
+        .unionByName(spark.range(1).select(F.lit("pending landings").alias("name"), F.lit(pending).cast("long").alias("n")))
+    )
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: hourly trend per parameter, from raw documents through the star schema."""
     return trend_query(spark, "/root/testdata/sf0.001")
@@ -314,13 +430,16 @@ def star_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_unnest": raw_unnest,
         "message_round_trip": message_round_trip,
         "message_rejects": message_rejects,
+        "stored_documents": stored_documents,
         "latest_page": latest_page,
+        "page_by_cursor": page_by_cursor,
         "unprocessed_filter": unprocessed_filter,
         "mark_processed": mark_processed,
         "measurement_key": measurement_key,
         "unit_conversion": unit_conversion,
         "unit_conversion_strict": unit_conversion_strict,
         "paris_time": paris_time,
+        "zoned_time": zoned_time,
         "pressure_clamp": pressure_clamp,
         "pressure_left_join": pressure_left_join,
         "pressure_max": pressure_max,
@@ -343,6 +462,9 @@ def star_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_repeats": batch_repeats,
         "normalised_documents": normalised_documents,
         "stream_increment": stream_increment,
+        "bounded_stream": bounded_stream,
+        "step_counts": step_counts,
+        "load_gate": load_gate,
     }
 
 

@@ -132,12 +132,23 @@ def all_queries() -> dict[str, str]:
         "raw_unnest": _RAW + f"SELECT doc_id, {_PLAIN} FROM flat",
         "message_round_trip": _RAW + f"SELECT {_PLAIN} FROM flat",
         "message_rejects": _DOCS
-        + """SELECT CASE country WHEN 'ASIA' THEN 'malformed json' WHEN 'EUROPE'
-          THEN 'missing location' ELSE 'accepted' END AS reject_reason, count(*) AS messages
-          FROM docs GROUP BY 1""",
+        + """, told AS (
+            SELECT CASE WHEN country = 'ASIA' THEN 'malformed json' WHEN country = 'EUROPE' THEN 'missing location'
+              WHEN country = 'AFRICA' AND n = 1 THEN 'badly typed readings' ELSE 'accepted' END AS reject_reason,
+              CASE WHEN country = 'AFRICA' THEN n - 1 ELSE n END AS kept
+            FROM docs
+            UNION ALL SELECT 'badly typed reading', NULL FROM docs WHERE country = 'AFRICA' AND n > 1)
+          SELECT reject_reason, count(*) AS messages,
+            CAST(sum(kept) FILTER (reject_reason = 'accepted') AS BIGINT) AS readings
+          FROM told GROUP BY reject_reason""",
+        "stored_documents": _RAW + f"SELECT doc_id, {_PLAIN} FROM flat",
         "latest_page": _DOCS
         + """SELECT doc_id, location, CAST(n AS INTEGER) AS readings FROM docs
           ORDER BY newest DESC, doc_id LIMIT 100 OFFSET 100""",
+        "page_by_cursor": _DOCS
+        + """, pages AS (SELECT *, row_number() OVER (ORDER BY newest DESC, doc_id) - 1 AS place FROM docs)
+          SELECT doc_id, location, CAST(n AS INTEGER) AS readings FROM pages
+          WHERE place >= 300 AND place < 400""",
         "unprocessed_filter": _DOCS
         + """, flagged AS (SELECT country, CASE country WHEN 'AFRICA' THEN TRUE WHEN 'ASIA' THEN NULL
           ELSE FALSE END AS done FROM docs)
@@ -163,6 +174,14 @@ def all_queries() -> dict[str, str]:
           timezone('Europe/Paris', CAST(last_updated AS TIMESTAMPTZ)) AS local_time,
           strftime(timezone('Europe/Paris', CAST(last_updated AS TIMESTAMPTZ)),
                    '%Y-%m-%d %H:%M:%S') AS local_text FROM harmonised""",
+        "zoned_time": _UNITS
+        + """, told AS (SELECT measurement_id, last_updated,
+            timezone('Europe/Paris', CAST(last_updated AS TIMESTAMPTZ)) AS local,
+            timezone('UTC', CAST(last_updated AS TIMESTAMPTZ)) AS utc FROM harmonised)
+          SELECT measurement_id, last_updated,
+            strftime(local, '%Y-%m-%dT%H:%M:%S') || CASE date_diff('hour', utc, local)
+              WHEN 2 THEN '+02:00' ELSE '+01:00' END AS with_offset,
+            strftime(local, '%Y-%m-%dT%H:%M:%S') || 'Z' AS as_utc FROM told""",
         "pressure_clamp": _UNITS
         + """SELECT measurement_id, last_updated, parameter_name,
           CASE WHEN parameter_name = 'pressure'
@@ -247,6 +266,41 @@ def all_queries() -> dict[str, str]:
             parameter, value, unit FROM flat""",
         "stream_increment": _STAR
         + """SELECT latitude, longitude, parameter_name, "timestamp", value, unit FROM latest""",
+        "bounded_stream": _DOCS
+        + """SELECT location, country, CAST(n AS INTEGER) AS readings, newest AS last_updated FROM docs""",
+        "step_counts": _CLEAN
+        + """, delivered AS (
+            SELECT c.*, CASE WHEN country IN ('AFRICA', 'AMERICA', 'ASIA') THEN 1 ELSE 2 END AS d,
+              split_part(measurement_id, '_', 1) AS doc_id FROM clean c),
+          raw_pressure AS (SELECT k.value, CASE WHEN country IN ('AFRICA', 'AMERICA', 'ASIA') THEN 1 ELSE 2 END AS d
+            FROM keyed k WHERE k.name = 'pressure'),
+          docs AS (SELECT d, count(DISTINCT doc_id) AS n FROM delivered GROUP BY d),
+          places AS (SELECT latitude, longitude, min(d) AS first, max(d) AS last FROM delivered GROUP BY ALL),
+          names AS (SELECT parameter_name, min(d) AS first, max(d) AS last FROM delivered GROUP BY ALL),
+          times AS (SELECT "timestamp", min(d) AS first, max(d) AS last FROM delivered GROUP BY ALL),
+          dims AS (SELECT 'dimension_location' AS t, first, last FROM places
+            UNION ALL SELECT 'dimension_parameter', first, last FROM names
+            UNION ALL SELECT 'dimension_time', first, last FROM times),
+          step(d, land, load) AS (VALUES (1, 'land-d1', 'load-land-d1-land-d1'), (2, 'land-d2', 'load-land-d2-land-d2')),
+          counts AS (
+            SELECT land AS step, 'messages' AS name, sum(n) AS value FROM step JOIN docs ON docs.d <= step.d GROUP BY land
+            UNION ALL SELECT land, 'new', n FROM step JOIN docs USING (d)
+            UNION ALL SELECT land, 'rejects', 0 FROM step
+            UNION ALL SELECT 'land-d3', x, 0 FROM (VALUES ('messages'), ('new'), ('rejects')) v(x)
+            UNION ALL SELECT load, 'readings', count(*) FROM step JOIN delivered USING (d) GROUP BY load
+            UNION ALL SELECT load, 'unusable', 0 FROM step
+            UNION ALL SELECT load, 'max_pressure', max(value) FROM step JOIN raw_pressure USING (d) GROUP BY load
+            UNION ALL SELECT load, t || '_rows', count(*) FROM step JOIN dims ON step.d IN (first, last) GROUP BY load, t
+            UNION ALL SELECT load, t || '_new', count(*) FILTER (step.d = first)
+              FROM step JOIN dims ON step.d IN (first, last) GROUP BY load, t)
+          SELECT step, name, CAST(value AS DOUBLE) AS value FROM counts""",
+        "load_gate": _STAR
+        + """, early AS (SELECT * FROM latest WHERE country IN ('AFRICA', 'AMERICA')),
+          told AS (SELECT latitude, longitude, min((location_name, city, country)) AS s FROM clean
+            WHERE country IN ('AFRICA', 'AMERICA') GROUP BY latitude, longitude)
+          SELECT 'repeated natural key in dimension_location' AS name, count(*) AS n FROM told WHERE s[3] = 'AFRICA'
+          UNION ALL SELECT 'facts', count(*) FROM early
+          UNION ALL SELECT 'pending landings', 1""",
     }
     for table, name, columns in (
         ("location", "location", "location_id, location_name, city, country, latitude, longitude"),

@@ -129,9 +129,14 @@ def flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, written once."""
+    return materialise(documents(spark, sf_dir), "documents")
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean readings of the documents, which are landed once and flattened from there."""
-    return clean_measurements(materialise(documents(spark, sf_dir), "documents"))
+    return clean_measurements(landed(spark, sf_dir))
 
 
 def preloaded_dimension(readings: DataFrame, table: str) -> DataFrame:

@@ -58,6 +58,19 @@ def local_wall_clock(seconds: Column, zone: str = LOCAL_ZONE) -> Column:
     return _wall_clock(F.unix_seconds(shifted))
 
 
-def zoned_text(clock: Column) -> Column:
-    """``2024-07-01T14:00:00Z``: the clock reading with the session zone's offset."""
-    return F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ssXXX")
+def zoned_text(clock: Column, zone: str | None = None) -> Column:
+    """``2024-07-01T14:00:00+02:00``: a clock reading with the offset of ``zone`` at that time.
+
+    Without ``zone`` the session's is taken. Of a clock reading that comes twice, the
+    first is meant. No offset is written as ``Z``.
+    """
+    if zone is None:
+        return F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ssXXX")
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    seconds = F.timestamp_diff("SECOND", epoch, clock)
+    instant = F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(seconds), zone))
+    minutes = ((seconds - instant) / 60).cast("int")
+    size = F.abs(minutes)
+    offset = F.format_string("%s%02d:%02d", F.when(minutes < 0, "-").otherwise("+"), F.floor(size / 60), size % 60)
+    text = F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.concat(text, F.when(minutes == 0, "Z").otherwise(offset))

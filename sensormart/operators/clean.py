@@ -29,6 +29,11 @@ def processed(docs: DataFrame) -> DataFrame:
     return docs.filter("processed")
 
 
+def not_marked(docs: DataFrame) -> DataFrame:
+    """Documents not marked as processed, those without a flag included."""
+    return docs.filter(~F.col("processed").eqNullSafe(True))
+
+
 def backfill_processed(docs: DataFrame) -> DataFrame:
     """A missing flag becomes false."""
     return docs.withColumn("processed", F.coalesce("processed", F.lit(False)))
@@ -44,11 +49,14 @@ def mark_processed(docs: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
-def flatten_measurements(docs: DataFrame) -> DataFrame:
+def flatten_measurements(docs: DataFrame, *flags: str) -> DataFrame:
     """One row per reading; documents without readings give none.
 
     The key keeps the parameter's original spelling, ``parameter_name`` is
-    lower-cased. ``last_updated`` is the instant as delivered, in text.
+    lower-cased. ``last_updated`` is the instant as delivered, in text. ``flags``
+    are further fields of a reading to keep (see ``mark_latest``); every document
+    must have a reading then. For ``explode`` the optimizer would add a filter on
+    the array's size and compute a derived array for it a second time.
     """
     oid, parameter = F.col("_id.oid"), F.col("m.parameter")
     key = F.concat_ws("_", oid, parameter)
@@ -56,9 +64,11 @@ def flatten_measurements(docs: DataFrame) -> DataFrame:
         "measurement_id": F.when(oid.isNotNull() & parameter.isNotNull(), key),
         "parameter_name": F.lower(parameter),
     }
-    readings = docs.select("*", F.explode("measurements").alias("m"))
+    one_each = F.explode_outer if flags else F.explode
+    readings = docs.select("*", one_each("measurements").alias("m"))
     return readings.select(
-        *[computed[n].alias(n) if n in computed else F.col(path).alias(n) for n, path in FLAT_COLUMNS.items()]
+        *[computed[n].alias(n) if n in computed else F.col(path).alias(n) for n, path in FLAT_COLUMNS.items()],
+        *[F.col(f"m.{flag}").alias(flag) for flag in flags],
     )
 
 
@@ -106,13 +116,14 @@ def clean_measurements(
     zone: str = LOCAL_ZONE,
     strict: bool = False,
     watch: Observation | None = None,
+    flags: tuple[str, ...] = (),
 ) -> DataFrame:
     """Flatten and clean.
 
     ``watch`` receives ``readings`` and ``max_pressure`` (as delivered, before any
     conversion) from whichever action runs first, without a pass of its own.
     """
-    flat = flatten_measurements(docs)
+    flat = flatten_measurements(docs, *flags)
     if watch is not None:
         pressure = F.when(F.col("parameter_name") == "pressure", F.col("value"))
         flat = flat.observe(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,14 @@ def normalise_measurements(docs: DataFrame) -> DataFrame:
     return docs.withColumn("measurements", F.array_sort("measurements"))
 
 
+#: Folders that a stored history is dealt into by station.
+BUCKETS = 64
+#: A set with so many candidates left is compared with each of them.
+DIRECT = 64
+#: From this depth on, the depth doubles.
+SINGLE_STEPS = 8
+
+
 def _elements():
     return F.array_sort(F.array_distinct("measurements"))
 
@@ -30,12 +40,17 @@ def content_columns(docs: DataFrame) -> DataFrame:
         return docs
     described = F.struct("location", "city", "country", "coordinates", _elements().alias("m"))
     times = F.transform("measurements", lambda m: F.coalesce(m["lastUpdated"], F.lit("")))
+    # Adding zero makes one number of -0.0 and 0.0, which are equal.
+    place = [F.col(f"coordinates.{c}") + F.lit(0.0) for c in ("latitude", "longitude")]
+    station = F.xxhash64("location", "city", "country", *place)
     return docs.withColumns(
         {
             "content": F.sha2(F.to_json(described), 256),
             "content_size": F.coalesce(F.size(F.array_distinct("measurements")), F.lit(0)),
             "first_updated": F.array_min(times),
             "last_updated": F.array_max(times),
+            "station": station,
+            "bucket": F.pmod(station, F.lit(BUCKETS)).cast("int"),
         }
     )
 
@@ -76,41 +91,57 @@ def _keyed_elements(docs: DataFrame, *columns) -> DataFrame:
     return exploded.select(*names, key.alias("key"))
 
 
+def nearby_history(stored: DataFrame, sets: DataFrame) -> DataFrame:
+    """The stored documents that could contain one of ``sets``: by station and time.
+
+    The batch's buckets, at most ``BUCKETS`` numbers, become a filter, which a
+    history stored by bucket answers by not listing other folders; row groups are
+    passed over by their range of times. The stations meet in a semi-join, before
+    any reading is unfolded.
+    """
+    bounds = sets.agg(F.min("last_updated").alias("lo"), F.max("first_updated").alias("hi"))
+    buckets = sorted(row.bucket for row in sets.select("bucket").distinct().collect())
+    return (
+        content_columns(stored)
+        .filter(
+            F.col("bucket").isin(buckets)
+            & (F.col("content_size") > 0)
+            & (F.col("last_updated") >= bounds.select("lo").scalar())
+            & (F.col("first_updated") <= bounds.select("hi").scalar())
+        )
+        .join(sets.select("station").distinct(), "station", "left_semi")
+    )
+
+
 def drop_contained(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """Incoming documents that no stored document of the same station contains.
 
     A stored document contains a new one when it has every reading of it, all
     four fields equal; a stored superset suppresses too. A document without
     readings is always new. Only the store is looked at, not the batch itself.
+    Documents that carry their ``content_columns`` are not described again.
+    """
+    described = "content" in incoming.columns
+    new = incoming if described else materialise(content_columns(incoming), "described")
+    return new.join(contained_contents(new, stored), "content", "left_anti").select(*incoming.columns)
+
 
-    No step pairs up the documents of a station:
+def contained_contents(new: DataFrame, stored: DataFrame) -> DataFrame:
+    """Addresses (``content``) of the documents in ``new`` that a stored one contains.
 
     1. Equal documents meet on their content address.
     2. For the rest, each reading is counted in the store; a document with a
        reading never stored is new, a single stored reading decides alone.
-    3. What remains is looked up by its rarest reading only (its pivot). Stored
-       documents that hold a pivot are numbered next to others of their station,
-       and each reading gets its holders as 64-bit words; a document is
-       contained when the words of all its readings have a common bit. A reading
-       that a station repeats in all documents costs one bit per document there,
-       and only in the words the pivot occurs in.
+    3. What remains is looked up rarest reading first, see ``_rarest_first``.
 
     Copies are combined before they move. Where one reading may be in very many
     documents, the other side of its join is written first: adaptive execution
     splits a hot partition only if both sides come straight from a shuffle.
     """
-    described = "content" in incoming.columns
-    new = incoming if described else materialise(content_columns(incoming), "described")
-    bounds = new.filter("content_size > 0").agg(
-        F.min("last_updated").alias("lo"), F.max("first_updated").alias("hi")
-    )
-    history = content_columns(stored).filter(
-        (F.col("content_size") > 0)
-        & (F.col("last_updated") >= bounds.select("lo").scalar())
-        & (F.col("first_updated") <= bounds.select("hi").scalar())
-    )
-    columns = ["content", "content_size", "location", "city", "country", "coordinates"]
-    sets = new.filter("content_size > 0").select(*columns, _elements().alias("measurements"))
+    columns = ["content", "content_size", "station", "bucket", "first_updated", "last_updated"]
+    station = ["location", "city", "country", "coordinates"]
+    sets = new.filter("content_size > 0").select(*columns, *station, _elements().alias("measurements"))
+    history = nearby_history(stored, sets)
 
     # 1. equal documents
     addresses = sets.select("content").distinct()
@@ -128,47 +159,83 @@ def drop_contained(incoming: DataFrame, stored: DataFrame) -> DataFrame:
         "held",
     )
     holders = materialise(held.groupBy("key").agg(F.count(F.lit(1)).alias("holders")), "holders")
-    pivots = materialise(
+    known = materialise(
         wanted.join(holders, "key")
         .groupBy("content", "content_size")
-        .agg(F.count(F.lit(1)).alias("found"), F.min(F.struct("holders", "key")).alias("rarest"))
+        .agg(F.count(F.lit(1)).alias("found"))
         .filter("found = content_size")
-        .select("content", "content_size", F.col("rarest.key").alias("pivot")),
-        "pivots",
+        .select("content", "content_size"),
+        "known",
     )
-    contained = equal.unionByName(pivots.filter("content_size = 1").select("content"))
-    several = pivots.filter("content_size > 1")
+    contained = equal.unionByName(known.filter("content_size = 1").select("content"))
+    several = known.filter("content_size > 1")
     if not several.isEmpty():
-        contained = contained.unionByName(_commonly_held(several, wanted, held))
-    return new.join(contained, "content", "left_anti").select(*incoming.columns)
-
-
-def _commonly_held(several: DataFrame, wanted: DataFrame, held: DataFrame) -> DataFrame:
-    """Addresses of the sets in ``several`` of which one holder has all readings (step 3)."""
-    looked_up = materialise(several.select(F.col("pivot").alias("key")).distinct(), "looked-up")
-    candidates = held.join(looked_up, "key", "left_semi")
-    slots = number_rows(
-        candidates.select(F.col("key.location").alias("station"), "holder").distinct(),
-        ["station", "holder"],
-        "slot",
-        first=0,
-    )
-    words = materialise(
-        held.join(slots.select("holder", "slot"), "holder")
-        .groupBy("key", F.shiftright("slot", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits")),
-        "words",
-    )
-    at_pivot = several.join(
-        words.select(F.col("key").alias("pivot"), "word", F.col("bits").alias("pivot_bits")), "pivot"
-    )
-    return (
-        at_pivot.join(wanted.select("content", "key"), "content")
-        .filter(F.col("key") != F.col("pivot"))
-        .join(words, ["key", "word"])
-        .groupBy("content", "content_size", "word", "pivot_bits")
-        .agg(F.count(F.lit(1)).alias("found"), F.bit_and("bits").alias("bits"))
-        .filter("found = content_size - 1 AND (bits & pivot_bits) <> 0")
-        .select("content")
-        .distinct()
-    )
+        contained = contained.unionByName(_rarest_first(several, wanted, held, holders))
+    return contained
+
+
+def _rarest_first(several: DataFrame, wanted: DataFrame, held: DataFrame, holders: DataFrame) -> DataFrame:
+    """Addresses of the sets in ``several`` of which one holder has all readings (step 3).
+
+    Readings are numbered from the rarest. Sets that begin with the same readings
+    share a node, and a node's candidates, the holders of all those readings, are
+    found once, out of the candidates of the node before it. A set leaves as soon
+    as it is settled: no candidate is left; all its readings are matched; few
+    candidates are left, which are compared one by one; or one of two candidates of
+    a large node holds it. So a reading that a station repeats in all documents is
+    looked at last, and mostly never. After ``SINGLE_STEPS`` readings the depth
+    doubles, which bounds the number of rounds by the logarithm of the set size.
+
+    Exact set containment has no known way that is always far below the number of
+    pairs. Here the rows of a round are nodes times candidates; both shrink with
+    every reading that is not in all sets.
+    """
+    ranks = materialise(number_rows(holders, ["holders", "key"], "rank").select("key", "rank"), "ranks")
+    chosen = wanted.join(several.select("content"), "content", "left_semi")
+    sets = chosen.join(ranks, "key").groupBy("content").agg(F.sort_array(F.collect_list("rank")).alias("ranks"))
+    sets = materialise(sets.withColumn("node", F.col("ranks")[0].cast("string")), "rank-sets")
+    used = materialise(sets.select(F.explode("ranks").alias("rank")).distinct(), "used-ranks")
+    rows = held.join(ranks, "key").select("holder", "rank").join(used, "rank", "left_semi")
+    stored = materialise(rows.groupBy("holder").agg(F.collect_list("rank").alias("stored")), "holder-sets")
+    rows = stored.select("holder", F.size("stored").alias("width"), F.explode("stored").alias("rank"))
+    rows = materialise(rows, "holder-ranks")
+    # A holder with fewer readings than the least of a node's sets can hold none of them.
+    least = F.min(F.size("ranks")).alias("least")
+    nodes = materialise(sets.groupBy("node", F.col("ranks")[0].alias("rank")).agg(least), "nodes")
+    candidates = rows.join(nodes, "rank").filter("width >= least").select("node", "holder")
+    candidates = materialise(candidates, "candidates")
+    depth, results = 1, []
+    while True:
+        seen = candidates.groupBy("node").agg(
+            F.count(F.lit(1)).alias("n"), F.min("holder").alias("low"), F.max("holder").alias("high")
+        )
+        # A set whose node has no candidate is new.
+        live = sets.join(materialise(seen, "node-sizes"), "node")
+        rest = live.filter(F.size("ranks") > depth)
+        compared = rest.filter(F.col("n") <= DIRECT).join(candidates, "node").select("content", "ranks", "holder")
+        probed = rest.filter(F.col("n") > DIRECT)
+        probes = probed.select("content", "ranks", F.explode(F.array("low", "high")).alias("holder"))
+        inside = (
+            compared.unionByName(probes)
+            .join(stored, "holder")
+            .filter(F.size(F.array_except("ranks", "stored")) == 0)
+            .select("content")
+        )
+        matched = live.filter(F.size("ranks") <= depth).select("content")
+        results.append(materialise(inside.unionByName(matched).distinct(), "contained"))
+        sets = probed.select("content", "ranks", "node").join(results[-1], "content", "left_anti")
+        step = 1 if depth < SINGLE_STEPS else depth
+        following = F.slice("ranks", depth + 1, step)
+        child = F.md5(F.concat_ws(",", "node", following.cast("array<string>")))
+        sets = materialise(sets.withColumns({"following": following, "child": child}), "open-sets")
+        if sets.isEmpty():
+            return reduce(DataFrame.unionByName, results)
+        children = materialise(sets.groupBy("node", "child", "following").agg(least), "children")
+        many = F.size("following").alias("many")
+        wanted_ranks = children.select("node", "child", "least", many, F.explode("following").alias("rank"))
+        found = candidates.join(wanted_ranks, "node").join(rows, ["holder", "rank"]).filter("width >= least")
+        if step > 1:
+            found = found.groupBy("child", "holder", "many").agg(F.count(F.lit(1)).alias("found")).filter("found = many")
+        candidates = materialise(found.select(F.col("child").alias("node"), "holder"), "candidates")
+        sets = sets.select("content", "ranks", F.col("child").alias("node"))
+        depth += step

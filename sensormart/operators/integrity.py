@@ -15,7 +15,12 @@ def _repeated(table: DataFrame, keys: list[str]) -> DataFrame:
     return table.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-def _dangling(facts: DataFrame, dimension: DataFrame, id_column: str) -> DataFrame:
+def repeated_keys(table: DataFrame, keys: list[str], reason: str) -> DataFrame:
+    """Keys found more than once, as ``raw`` (JSON) and ``reject_reason``."""
+    return _repeated(table, keys).select(F.to_json(F.struct(*keys)).alias("raw"), F.lit(reason).alias("reject_reason"))
+
+
+def dangling_ids(facts: DataFrame, dimension: DataFrame, id_column: str) -> DataFrame:
     """Rows whose id is not in the dimension. Counted per id first: ids are few, facts many."""
     used = facts.filter(F.col(id_column).isNotNull()).groupBy(id_column)
     return used.agg(F.count(F.lit(1)).alias("n")).join(
@@ -44,6 +49,6 @@ def integrity_violations(star: dict[str, DataFrame]) -> DataFrame:
         add(table, "primary key unique", _repeated(star[table], [id_column]), one_each)
     for table in NATURAL_KEYS:
         id_column = ID_COLUMNS[table]
-        dangling = _dangling(star[FACT_TABLE], star[table], id_column)
+        dangling = dangling_ids(star[FACT_TABLE], star[table], id_column)
         add(FACT_TABLE, f"{id_column} resolves", dangling, F.sum("n"))
     return reduce(DataFrame.unionByName, results)

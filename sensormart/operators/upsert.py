@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensormart.functions import (
+    clamp,
+    converted_value,
+    epoch_seconds,
+    harmonised_unit,
+)
+from sensormart.functions.units import PRESSURE_BAND
+
 # Which of several readings under one key in one batch is kept: the latest
 # instant, then the greatest value, then the greatest unit.
 LATEST = ["observed_utc", "value", "unit"]
@@ -21,6 +29,52 @@ def latest_per_key(rows: DataFrame, key: str = "measurement_id", order: list[str
     return rows.groupBy(key).agg(best).select(key, "_best.*").select(*rows.columns)
 
 
+def mark_latest(docs: DataFrame, strict: bool = False) -> DataFrame:
+    """Give every reading of ``measurements`` a flag ``latest``: does it win its key?
+
+    A key is a document's id and a parameter as spelled, so it never leaves its
+    document, and its winner is found inside the array, without a shuffle: the
+    readings are sorted by parameter, instant, clean value and clean unit (the order
+    of ``latest_per_key``), and the last of each parameter wins. Only documents that
+    name a parameter twice are sorted. No reading is dropped; a missing parameter
+    has one winner too, as has a missing time that stands alone.
+    """
+    _, value, unit = LATEST
+
+    def placed(m: Column) -> Column:
+        name = F.lower(m["parameter"])
+        converted = converted_value(name, m["unit"], m["value"])
+        clean = F.when(name == "pressure", clamp(converted, *PRESSURE_BAND)).otherwise(converted)
+        return F.struct(
+            m["parameter"].alias("parameter"),
+            epoch_seconds(m["lastUpdated"]).alias("at"),
+            clean.alias(value),
+            harmonised_unit(name, m["unit"], strict).alias(unit),
+            m.alias("m"),
+        )
+
+    def flagged(m: Column, latest: Column) -> Column:
+        fields = ("parameter", "value", "unit", "lastUpdated")
+        return F.struct(*[m[f].alias(f) for f in fields], latest.alias("latest"))
+
+    named = F.array_distinct(F.transform("measurements", lambda m: m["parameter"]))
+    repeats = F.size(named) < F.size("measurements")
+    # A column of its own, so that it is sorted once and not for every element.
+    ordered = docs.withColumn("_sorted", F.when(repeats, F.array_sort(F.transform("measurements", placed))))
+
+    def wins(x: Column, i: Column) -> Column:
+        following = F.get("_sorted", i + 1)
+        last = i == F.size("_sorted") - 1
+        return flagged(x["m"], last | ~x["parameter"].eqNullSafe(following["parameter"]))
+
+    return ordered.withColumn(
+        "measurements",
+        F.when(F.col("_sorted").isNotNull(), F.transform("_sorted", wins)).otherwise(
+            F.transform("measurements", lambda m: flagged(m, F.lit(True)))
+        ),
+    ).drop("_sorted")
+
+
 def first_per_reading(clean: DataFrame) -> DataFrame:
     """One row per (key, parameter, time): the one with the smallest value, then unit."""
     keys = ["measurement_id", "parameter_name", "timestamp"]

@@ -2,12 +2,13 @@
 
 from sensormart.plans.increment import run_increment
 from sensormart.plans.landing import land_documents, land_messages
-from sensormart.plans.load import load_pending
+from sensormart.plans.load import IntegrityError, load_pending
 from sensormart.plans.serving import trend_by_hour
 from sensormart.plans.star import DIMENSIONS, for_each_dimension, fresh_star
 
 __all__ = [
     "DIMENSIONS",
+    "IntegrityError",
     "for_each_dimension",
     "fresh_star",
     "land_documents",

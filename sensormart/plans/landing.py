@@ -5,68 +5,62 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sensormart.operators import content_columns, drop_contained, drop_repeats
-from sensormart.session import materialise
-from sensormart.sources.messages import parse_messages
-from sensormart.sources.store import ADD, RAW_TABLE, REJECT_TABLE, SKIP, StarStore
+from sensormart.operators import contained_contents, content_columns
+from sensormart.session import materialise, scratch
+from sensormart.sources.messages import parse_messages, rejects_of
+from sensormart.sources.store import RAW_TABLE, REJECT_TABLE, StarStore
 
 
-def land_messages(store: StarStore, messages: DataFrame, batch: str) -> None:
+def land_messages(store: StarStore, messages: DataFrame, batch: str) -> dict[str, int]:
     """Decode a batch of messages, keep the new documents, put bad records aside.
 
-    The decoded batch is written once: it is used several times, and its file
-    size tells Spark which joins to broadcast. It is read back in the store's
-    session, because the session of a streaming batch runs without adaptive
-    execution.
+    The decoded batch is written once, with what containment needs: it is used
+    several times, and its file size tells Spark which joins to broadcast. It is
+    read back in the store's session, because the session of a streaming batch
+    runs without adaptive execution. Returns what was counted: ``messages``,
+    ``rejects`` and ``new`` documents; empty if the batch has landed before.
     """
-    if store.committed(f"land-{batch}"):
-        return
-    seen = Observation()
-    watched = parse_messages(messages).observe(seen, F.count("reject_reason").alias("rejects"))
-    parsed = materialise(watched, "parsed", store.spark)
-    rejects = parsed.filter("reject_reason IS NOT NULL").select("raw", "reject_reason")
-    documents = parsed.filter("reject_reason IS NULL").drop("reject_reason", "raw")
-    _land(store, documents, rejects if seen.get["rejects"] else None, batch)
+    return _land(store, parse_messages(messages), batch)
 
 
-def land_documents(store: StarStore, documents: DataFrame, batch: str) -> None:
+def land_documents(store: StarStore, documents: DataFrame, batch: str) -> dict[str, int]:
     """Land decoded documents (MESSAGE columns)."""
-    if not store.committed(f"land-{batch}"):
-        _land(store, documents, None, batch)
+    none = {"reject_reason": "string", "raw": "string", "bad_readings": "array<string>"}
+    return _land(store, documents.withColumns({c: F.lit(None).cast(t) for c, t in none.items()}), batch)
 
 
-def _land(store: StarStore, documents: DataFrame, rejects: DataFrame | None, batch: str) -> None:
+def _land(store: StarStore, parsed: DataFrame, batch: str) -> dict[str, int]:
     step = f"land-{batch}"
-    described = content_columns(documents)
-    # The id follows from batch and content: a repeated batch gets the same ids.
-    # The batch comes first, so the keys of a batch lie together. Equal documents
-    # without readings stay apart, by their place in the batch.
-    place = F.when(F.col("content_size") == 0, F.concat(F.lit("-"), F.monotonically_increasing_id()))
-    oid = F.concat(F.lit(f"{batch}-"), F.col("content"), F.coalesce(place, F.lit("")))
-    named = described.withColumns({"_id": F.struct(oid.alias("oid")), "processed": F.lit(False)})
-    times = Observation()
-    arrived = materialise(
-        drop_repeats(named).observe(
-            times, F.min("last_updated").alias("least"), F.max("first_updated").alias("greatest")
-        ),
-        "arrived",
-        store.spark,
-    )
-    history = store.overlapping(RAW_TABLE, times.get["least"], times.get["greatest"])
-    new = drop_contained(arrived, store.read(RAW_TABLE, history)) if history else arrived
-
-    kept = Observation()
-    watched = new.observe(
-        kept,
-        F.count(F.lit(1)).alias("rows"),
-        F.min("first_updated").alias("least"),
-        F.max("last_updated").alias("greatest"),
-    )
-    store.write(RAW_TABLE, step, watched)
-    # Without a new document there is nothing to load: the step is only noted.
-    action = ADD if kept.get["rows"] else SKIP
-    changes = [(RAW_TABLE, step, action, kept.get["least"], kept.get["greatest"])]
-    if rejects is not None:
-        store.write(REJECT_TABLE, step, rejects)
-        changes.append((REJECT_TABLE, step, ADD))
-    store.commit(step, changes)
+    if store.committed(step):
+        return {}
+    store.begin(step)
+    with scratch():
+        seen, kept = Observation(), Observation()
+        described = content_columns(parsed).withColumn("place", F.monotonically_increasing_id())
+        rejects = (F.count("reject_reason") + F.count("bad_readings")).alias("rejects")
+        watched = described.observe(seen, F.count(F.lit(1)).alias("messages"), rejects)
+        arrived = materialise(watched, "arrived", store.spark)
+        documents = arrived.filter("reject_reason IS NULL")
+        # Equal documents are one, the first; documents without readings stay apart. Only
+        # addresses and places are shuffled, and copies are combined before that.
+        apart = F.when(F.col("content_size") == 0, F.col("place"))
+        first = documents.groupBy("content", apart.alias("_apart")).agg(F.min("place").alias("place"))
+        first = materialise(first.select("place"), "first-places")
+        documents = documents.join(first, "place", "left_semi")
+        known = contained_contents(documents, store.visible(RAW_TABLE))
+        # The id follows from batch and content: a repeated batch gets the same ids. The batch
+        # comes first, so the keys of a batch lie together.
+        tail = F.when(F.col("content_size") == 0, F.concat(F.lit("-"), F.col("place")))
+        oid = F.concat(F.lit(f"{batch}-"), F.col("content"), F.coalesce(tail, F.lit("")))
+        new = documents.join(known, "content", "left_anti").withColumns(
+            {"_id": F.struct(oid.alias("oid")), "processed": F.lit(False)}
+        )
+        # Rebalancing keeps a bucket's rows together and splits a bucket that is too large.
+        # It is counted after that: adaptive execution drops what lies below an empty shuffle.
+        store.write(RAW_TABLE, step, new.hint("rebalance", "bucket").observe(kept, F.count(F.lit(1)).alias("new")))
+        if seen.get["rejects"]:
+            store.write(REJECT_TABLE, step, rejects_of(arrived))
+        # Without a new document there is nothing to load: the step is only noted.
+        counts = {**seen.get, **kept.get}
+        store.publish(step, counts, lands=counts["new"] > 0)
+        return counts

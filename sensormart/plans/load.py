@@ -8,63 +8,76 @@ from pyspark.sql import functions as F
 from sensormart.operators import (
     build_facts,
     clean_measurements,
-    latest_readings,
     resolve_ids,
+    settled_readings,
     split_unusable,
     unprocessed,
     unusable_reason,
 )
+from sensormart.operators.integrity import dangling_ids, repeated_keys
 from sensormart.plans.star import DIMENSIONS, for_each_dimension
 from sensormart.schemas import FACT_TABLE, ID_COLUMNS, NATURAL_KEYS
-from sensormart.sources.store import ADD, PROCESS, RAW_TABLE, REJECT_TABLE, REMOVE, StarStore
+from sensormart.session import materialise, scratch
+from sensormart.sources.store import RAW_TABLE, REJECT_TABLE, REPLACED_TABLE, StarStore
+
+
+class IntegrityError(ValueError):
+    """A step broke a rule of the star schema, and was not published."""
 
 
 def load_pending(store: StarStore) -> dict[str, int | float | None]:
-    """Load every raw segment that is not processed yet, as one atomic step.
+    """Load every landing that is not loaded yet, as one atomic step.
 
     The clean readings are not cached. Each dimension reads only its own columns
     of the landed Parquet, so the four passes together scan little more than one
-    full pass would, and nothing is lost with an executor.
+    full pass would, and nothing is lost with an executor. A key's readings are
+    settled inside its document, so facts are joined without a shuffle by key.
     Returns what the load observed: ``readings``, ``max_pressure``, ``unusable``, and
     for each dimension the rows of the batch (``<table>_rows``) and those of them
     that were new (``<table>_new``). Empty when nothing was pending.
+
+    Before the step is published, the rules of the star are checked (see
+    ``_faults``). If one is broken, only the rows at fault are published, as
+    rejects, and ``IntegrityError`` is raised; the landings stay pending.
     """
-    segments = store.pending()
-    if not segments:
+    landings = store.pending()
+    if not landings:
         return {}
-    step = f"load-{segments[0]}-{segments[-1]}"
-    documents = unprocessed(store.read(RAW_TABLE, segments).drop("segment"))
-    clean = clean_measurements(documents)
+    step = f"load-{landings[0]}-{landings[-1]}"
+    store.begin(step)
+    with scratch():
+        documents = unprocessed(store.read(RAW_TABLE, landings))
+        clean = clean_measurements(documents)
+
+        loaded = for_each_dimension(
+            lambda table, extract: _load_dimension(store, table, extract(clean), step)
+        )
+        dimensions = {table: resolved for table, (resolved, _) in loaded.items()}
+        seen = {f"{table}_{name}": n for table, (_, found) in loaded.items() for name, n in found.items()}
 
-    loaded = for_each_dimension(
-        lambda table, extract: _load_dimension(store, table, extract(clean), step)
-    )
-    dimensions = {table: resolved for table, (resolved, _) in loaded.items()}
-    seen = {f"{table}_{name}": n for table, (_, found) in loaded.items() for name, n in found.items()}
-    # A dimension without new rows gets no segment.
-    changes = [(table, step, ADD) for table in DIMENSIONS if seen[f"{table}_new"]]
-
-    flat_counts, clean_counts = Observation(), Observation()
-    watched = clean_measurements(documents, watch=flat_counts).observe(
-        clean_counts, F.count(unusable_reason()).alias("unusable")
-    )
-    # An unusable reading never wins against a usable one: a missing time is the
-    # least. So it is enough to look at the winners, after the aggregation.
-    usable = latest_readings(watched).filter(unusable_reason().isNull())
-    keys = Observation()
-    facts = build_facts(usable, *dimensions.values()).observe(
-        keys, F.min("measurement_id").alias("least"), F.max("measurement_id").alias("greatest")
-    )
-    store.write(FACT_TABLE, step, facts)
-    changes += _replace_older(store, step, keys.get["least"], keys.get["greatest"])
+        flat_counts, clean_counts = Observation(), Observation()
+        watched = settled_readings(documents, watch=flat_counts).observe(
+            clean_counts, F.count(unusable_reason()).alias("unusable")
+        )
+        # An unusable reading never wins against a usable one: a missing time is the least.
+        usable = watched.filter(F.col("latest") & unusable_reason().isNull())
+        usable = usable.withColumn("month", F.year("timestamp") * 100 + F.month("timestamp"))
+        keys = Observation()
+        facts = build_facts(usable, *dimensions.values(), extra=["month"]).observe(
+            keys,
+            F.min("measurement_id").alias("least"),
+            F.max("measurement_id").alias("greatest"),
+        )
+        # Each task writes a month's facts as one file, in the order they are asked for.
+        store.write(FACT_TABLE, step, facts.sortWithinPartitions("month", "time_id", "location_id"))
+        _refuse_faults(store, step, documents)
+        _replace_older(store, step, keys.get["least"], keys.get["greatest"])
 
-    counts = {**flat_counts.get, **clean_counts.get, **seen}
-    if counts["unusable"]:
-        store.write(REJECT_TABLE, step, _as_rejects(split_unusable(clean)[1]))
-        changes.append((REJECT_TABLE, step, ADD))
-    changes += [(RAW_TABLE, s, PROCESS) for s in segments]
-    store.commit(step, changes)
-    return counts
+        counts = {**flat_counts.get, **clean_counts.get, **seen}
+        if counts["unusable"]:
+            store.write(REJECT_TABLE, step, _as_rejects(split_unusable(clean)[1]))
+        store.publish(step, loads=landings, least=keys.get["least"], greatest=keys.get["greatest"], counts=counts)
+        return counts
 
 
 def _load_dimension(
@@ -77,38 +90,59 @@ def _load_dimension(
     found = Observation()
     watched = resolved.observe(found, F.count(F.lit(1)).alias("rows"), F.count_if("is_new").alias("new"))
     store.write(table, step, watched.filter("is_new"))
+    if not found.get["new"]:
+        store.discard(table, step)
     return resolved, found.get
 
 
-def _replace_older(
-    store: StarStore, step: str, least: str | None, greatest: str | None
-) -> list[tuple]:
-    """Take the keys just written out of older segments.
+def _refuse_faults(store: StarStore, step: str, documents: DataFrame) -> None:
+    """Publish the step's faults as rejects and raise, if there are any."""
+    faults = materialise(_faults(store, step, documents), "faults")
+    found = {row.reject_reason: row["count"] for row in faults.groupBy("reject_reason").count().collect()}
+    if found:
+        store.write(REJECT_TABLE, f"refused-{step}", faults)
+        store.publish(f"refused-{step}", counts={reason: n for reason, n in found.items()})
+        raise IntegrityError(f"{step} is not published: {found}")
+
+
+def _faults(store: StarStore, step: str, documents: DataFrame) -> DataFrame:
+    """What would break the star if ``step`` were published: ``raw``, ``reject_reason``, a row a key.
+
+    Natural keys and ids of dimensions must be unique over stored and new rows, and
+    ids of the step's facts must be there. Facts need no check by key: a key is
+    settled inside its document, and unique natural keys multiply no row, so it is
+    enough that the ids of documents are unique, which are far fewer.
+    """
+    faults = repeated_keys(documents.select(F.col("_id.oid").alias("document_id")), ["document_id"], "repeated document id")
+    facts = store.read(FACT_TABLE, [step])
+    for table, keys in NATURAL_KEYS.items():
+        id_column = ID_COLUMNS[table]
+        columns = [*keys, id_column]
+        rows = store.visible(table).select(*columns).unionByName(store.read(table, [step]).select(*columns))
+        faults = faults.unionByName(repeated_keys(rows, keys, f"repeated natural key in {table}"))
+        faults = faults.unionByName(repeated_keys(rows, [id_column], f"repeated id in {table}"))
+        missing = dangling_ids(facts, rows, id_column)
+        faults = faults.unionByName(
+            missing.select(F.to_json(F.struct(id_column)).alias("raw"), F.lit(f"{id_column} does not resolve").alias("reject_reason"))
+        )
+    return faults
+
+
+def _replace_older(store: StarStore, step: str, least: str | None, greatest: str | None) -> None:
+    """Note which stored facts the step replaces: those with a key it brings again.
 
     A document lands once and its keys start with its batch, so the key ranges of
-    loads are normally apart, and the log alone tells that nothing is to be done.
-    Otherwise only the segments that hold one of the keys are written again,
-    without those rows.
+    loads are normally apart, and the notes alone tell that nothing is to be done.
     """
-    changes = [(FACT_TABLE, step, ADD, least, greatest)]
-    near = store.overlapping(FACT_TABLE, least, greatest)
-    if not near:
-        return changes
-    keys = store.read(FACT_TABLE, [step]).select("measurement_id")
-    stored = store.read(FACT_TABLE, near).filter(F.col("measurement_id").between(least, greatest))
-    touched = stored.join(keys, "measurement_id", "left_semi").select("segment").distinct()
-    old = [row.segment for row in touched.collect()]
-    if old:
-        kept = f"{step}-kept"
-        range_ = Observation()
-        rest = store.read(FACT_TABLE, old).join(keys, "measurement_id", "left_anti")
-        rest = rest.observe(
-            range_, F.min("measurement_id").alias("least"), F.max("measurement_id").alias("greatest")
+    near = store.notes().filter((F.col("least") <= F.lit(greatest)) & (F.col("greatest") >= F.lit(least)))
+    steps = [row.step for row in near.select("step").collect()] if least is not None else []
+    if steps:
+        keys = store.read(FACT_TABLE, [step]).select("measurement_id")
+        stored = store.visible(FACT_TABLE).filter(
+            F.col("step").isin(steps) & F.col("measurement_id").between(least, greatest)
         )
-        store.write(FACT_TABLE, kept, rest)
-        added = (FACT_TABLE, kept, ADD, range_.get["least"], range_.get["greatest"])
-        changes += [added, *[(FACT_TABLE, s, REMOVE) for s in old]]
-    return changes
+        replaced = stored.join(keys, "measurement_id", "left_semi")
+        store.write(REPLACED_TABLE, step, replaced.select("measurement_id", F.col("step").alias("replaced_step")))
 
 
 def _as_rejects(unusable: DataFrame) -> DataFrame:

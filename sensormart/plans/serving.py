@@ -12,7 +12,7 @@ def _ten_digits(number: Column) -> Column:
     return F.when(number.isNotNull(), F.format_string("%.9e", number).cast("double"))
 
 
-def trend_by_hour(star: dict[str, DataFrame]) -> DataFrame:
+def trend_by_hour(star: dict[str, DataFrame], months: list[tuple[int, int]] | None = None) -> DataFrame:
     """Readings per parameter, unit and local hour: count, average, least, greatest.
 
     Facts are summed per id pair before any join: the map tasks combine the rows
@@ -21,11 +21,19 @@ def trend_by_hour(star: dict[str, DataFrame]) -> DataFrame:
     average is over all finite values, in doubles. Such a sum depends in its last
     bits on the order in which partitions arrive, so the average is given to ten
     significant digits.
+
+    ``months``: only these (year, month). Facts that are stored by month
+    (``StarStore.star``) are then read from those folders only.
     """
+    facts, time = star[FACT_TABLE], star[TIME_TABLE].select("time_id", "year", "month", "day", "hour")
+    if months is not None:
+        wanted = [year * 100 + month for year, month in months]
+        time = time.filter((F.col("year") * 100 + F.col("month")).isin(wanted))
+        if "month" in facts.columns:
+            facts = facts.filter(F.col("month").isin(wanted))
     finite = F.when(F.abs("value") < F.lit(float("inf")), F.col("value"))
     per_second = (
-        star[FACT_TABLE]
-        .filter("parameter_id IS NOT NULL AND time_id IS NOT NULL")
+        facts.filter("parameter_id IS NOT NULL AND time_id IS NOT NULL")
         .groupBy("parameter_id", "time_id", "unit")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -35,7 +43,6 @@ def trend_by_hour(star: dict[str, DataFrame]) -> DataFrame:
             F.max("value").alias("greatest"),
         )
     )
-    time = star[TIME_TABLE].select("time_id", "year", "month", "day", "hour")
     return (
         per_second.join(time, "time_id")
         .groupBy("parameter_id", "unit", "year", "month", "day", "hour")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +51,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/sensormart/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it wants it."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
+
+
+#: Copies written inside the innermost ``scratch`` block.
+_written: contextvars.ContextVar[list | None] = contextvars.ContextVar("written", default=None)
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[None]:
+    """Remove the copies that the block has written when it ends.
+
+    For steps that leave nothing lazy behind: their result lies elsewhere. Threads
+    the block starts are not followed; they inherit the list by ``copy_context``.
+    """
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        copies = _written.get()
+        _written.reset(token)
+        for spark, path in copies:
+            files, target = file_system(spark, path)
+            files.delete(target, True)
+
+
 def materialise(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and continue from the copy.
 
@@ -58,5 +90,7 @@ def materialise(df: DataFrame, name: str, spark: SparkSession | None = None) ->
     """
     spark = spark or df.sparkSession
     path = scratch_path(spark, name)
+    if _written.get() is not None:
+        _written.get().append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from sensormart.schemas import MESSAGE
+from sensormart.schemas import COORDINATES, MEASUREMENT, MESSAGE
 
 TOPIC = "air_quality"  # fixed value
 
+BAD_READING = "badly typed reading"
+
 _CORRUPT = "_corrupt"
 _PARSED = StructType([*MESSAGE.fields, StructField(_CORRUPT, StringType(), True)])
 
@@ -22,37 +24,113 @@ def encode_messages(docs: DataFrame) -> DataFrame:
     )
 
 
+def _given(value: Column) -> Column:
+    """Whether a variant is there and no JSON null."""
+    return value.isNotNull() & ~F.is_variant_null(value)
+
+
+def _number(value: Column) -> Column:
+    """A variant's number, by its text, so that no digit is lost; NULL if it is none."""
+    return F.try_variant_get(value, "$", "string").try_cast("double")
+
+
+def _read_one(reading: Column) -> Column:
+    """(reading, its text if it is badly typed) of a variant.
+
+    A reading is an object whose value is a number, a number's text or null.
+    """
+    value = F.try_variant_get(reading, "$.value", "variant")
+    bad = ~F.schema_of_variant(reading).startswith("OBJECT") | (_given(value) & _number(value).isNull())
+    fields = [
+        (_number(value) if f.name == "value" else F.try_variant_get(reading, f"$.{f.name}", "string")).alias(f.name)
+        for f in MEASUREMENT.fields
+    ]
+    missing = F.lit(None).cast(MEASUREMENT)
+    return F.struct(
+        F.when(F.is_variant_null(reading) | bad, missing).otherwise(F.struct(*fields)).alias("reading"),
+        F.when(bad & ~F.is_variant_null(reading), F.to_json(reading)).alias("bad"),
+    )
+
+
+def _salvaged(broken: Column) -> dict[str, Column]:
+    """For texts that do not fit the schema as a whole: the document, reading by reading.
+
+    NULL where the text is no JSON object, or its coordinates or measurements are of
+    another kind: such a text is lost as a whole.
+    """
+    tree = F.when(broken, F.try_parse_json("raw"))
+    place, list_of = (F.try_variant_get(tree, f"$.{f}", "variant") for f in ("coordinates", "measurements"))
+    parts = [F.try_variant_get(place, f"$.{f.name}", "variant") for f in COORDINATES.fields]
+    fits = F.schema_of_variant(tree).startswith("OBJECT") & (~_given(place) | F.schema_of_variant(place).startswith("OBJECT"))
+    for part in parts:
+        fits = fits & (~_given(part) | _number(part).isNotNull())
+    fits = fits & _given(list_of)
+    readings = F.transform(F.try_variant_get(list_of, "$", "array<variant>"), _read_one)
+    numbers = [_number(part).alias(f.name) for part, f in zip(parts, COORDINATES.fields)]
+    return {
+        "readings": F.when(fits, readings),
+        "coordinates": F.when(_given(place), F.struct(*numbers)),
+        **{f: F.try_variant_get(tree, f"$.{f}", "string") for f in ("location", "city", "country")},
+    }
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Decode ``value``; ``reject_reason`` is NULL for good documents.
 
     A document must have every field of a message; a null is a value, except for
     the station's name and the measurements. The raw text is kept for rejects only.
+
+    A text that does not fit the schema as a whole is read once more as a variant:
+    its badly typed readings go to ``bad_readings``, as text, and the others make up
+    the document. If none is left, the whole document is put aside.
     """
     text = F.col("value").cast("string")
     parsed = messages.select(
         text.alias("raw"),
         F.from_json(text, _PARSED, {"columnNameOfCorruptRecord": _CORRUPT}).alias("doc"),
     )
+    broken = F.col("doc").isNull() | F.col(f"doc.{_CORRUPT}").isNotNull()
+    found = F.struct(*[column.alias(name) for name, column in _salvaged(broken).items()])
+    parsed = parsed.withColumn("saved", F.when(broken, found))
+    bad = F.filter(F.transform("saved.readings", lambda r: r["bad"]), lambda text: text.isNotNull())
+    kept = F.filter("saved.readings", lambda r: r["bad"].isNull())
+    parsed = parsed.withColumns({"_kept": F.transform(kept, lambda r: r["reading"]), "_bad": bad})
+    usable = broken & F.col("_kept").isNotNull() & ((F.size("_kept") > 0) | (F.size("_bad") == 0))
+    saved = {f: F.col(f"saved.{f}") for f in ("location", "city", "country", "coordinates")} | {"measurements": F.col("_kept")}
+    fields = {f.name: F.when(broken, F.when(usable, saved[f.name])).otherwise(F.col(f"doc.{f.name}")) for f in MESSAGE.fields}
     needed = F.array(*[F.lit(f.name) for f in MESSAGE.fields])
     missing = F.get(F.array_except(needed, F.json_object_keys("raw")), 0)
+    whole = F.when(broken & ~F.coalesce(usable, F.lit(False)), F.when(F.size("_bad") > 0, "badly typed readings").otherwise("malformed json"))
+    judged = parsed.select("raw", "_bad", missing.alias("_missing"), whole.alias("_whole"), *[c.alias(n) for n, c in fields.items()])
     reason = (
-        F.when(F.col("doc").isNull() | F.col(f"doc.{_CORRUPT}").isNotNull(), "malformed json")
-        .when(missing.isNotNull(), F.concat(F.lit("missing "), missing))
-        .when(F.col("doc.location").isNull(), "missing location")
-        .when(F.col("doc.measurements").isNull(), "missing measurements")
+        F.when(F.col("_whole").isNotNull(), F.col("_whole"))
+        .when(F.col("_missing").isNotNull(), F.concat(F.lit("missing "), F.col("_missing")))
+        .when(F.col("location").isNull(), "missing location")
+        .when(F.col("measurements").isNull(), "missing measurements")
     )
-    return parsed.select("doc.*", reason.alias("reject_reason"), "raw").select(
+    none = F.lit(None).cast("array<string>")
+    return judged.withColumn("reject_reason", reason).select(
         *[f.name for f in MESSAGE.fields],
         "reject_reason",
         F.when(F.col("reject_reason").isNotNull(), F.col("raw")).alias("raw"),
+        F.when(F.col("reject_reason").isNull(), F.when(F.size("_bad") > 0, F.col("_bad"))).otherwise(none).alias("bad_readings"),
+    )
+
+
+def rejects_of(parsed: DataFrame) -> DataFrame:
+    """``raw`` and ``reject_reason`` of what ``parse_messages`` put aside: whole messages, single readings."""
+    whole = parsed.filter("reject_reason IS NOT NULL").select("raw", "reject_reason")
+    readings = parsed.filter("bad_readings IS NOT NULL").select(
+        F.explode_outer("bad_readings").alias("raw"), F.lit(BAD_READING).alias("reject_reason")
     )
+    return whole.unionByName(readings)
 
 
 def decode_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, rejects with their text and reason)."""
     parsed = parse_messages(messages)
-    good = parsed.filter("reject_reason IS NULL").drop("reject_reason", "raw")
-    return good, parsed.filter("reject_reason IS NOT NULL").select("raw", "reject_reason")
+    good = parsed.filter("reject_reason IS NULL").select(*[f.name for f in MESSAGE.fields])
+    return good, rejects_of(parsed)
 
 
 def read_message_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

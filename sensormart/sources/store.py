@@ -1,21 +1,36 @@
-"""Star schema and raw history as Parquet segments under one folder.
+"""Star schema and raw history as Parquet tables under one folder.
 
-A step writes its results as new segments and then appends one line set to the
-log. Readers follow the log, so a failed step leaves nothing visible, all
-changes of a step appear together, and a repeated step is recognised by name.
-One writer at a time.
+Every table is partitioned by the step that wrote it. A step's rows count once
+its note is there: one row under ``published``, written last, which also says
+what the step has landed or loaded. So a failed step leaves nothing visible, all
+tables change together, and a repeated step is recognised by name. Everything
+else is Spark's: tables are read by joining the notes. One writer at a time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+)
 
-from sensormart.schemas import RAW_DOCUMENT, STAR, empty_frame
+from sensormart.schemas import FACT, FACT_TABLE, RAW_DOCUMENT, STAR, empty_frame
+from sensormart.session import file_system
 
 RAW_TABLE = "raw_data"
 REJECT_TABLE = "rejects"
+#: Facts that a later step has replaced.
+REPLACED_TABLE = "replaced_facts"
+PUBLISHED = "published"
 
 RAW_STORED = StructType(
     [
@@ -24,152 +39,122 @@ RAW_STORED = StructType(
         StructField("content_size", IntegerType(), True),
         StructField("first_updated", StringType(), True),
         StructField("last_updated", StringType(), True),
+        StructField("station", LongType(), True),
+        StructField("bucket", IntegerType(), True),
     ]
 )
+FACT_STORED = StructType([*FACT.fields, StructField("month", IntegerType(), True)])
 REJECTED = StructType().add("raw", StringType()).add("reject_reason", StringType())
-
-SCHEMAS = {**STAR, RAW_TABLE: RAW_STORED, REJECT_TABLE: REJECTED}
-LOG_COLUMNS = ["table_name", "segment", "action", "least", "greatest"]
-LOG_SCHEMA = ", ".join(f"{c} string" for c in [*LOG_COLUMNS, "step"])
-
-ADD, REMOVE, PROCESS, SKIP = "add", "remove", "process", "skip"
+REPLACED = StructType().add("measurement_id", StringType()).add("replaced_step", StringType())
+
+SCHEMAS = {**STAR, FACT_TABLE: FACT_STORED, RAW_TABLE: RAW_STORED, REJECT_TABLE: REJECTED, REPLACED_TABLE: REPLACED}
+#: Folders inside a step's folder: the history by station, facts by month.
+FOLDERS = {RAW_TABLE: ["bucket"], FACT_TABLE: ["month"]}
+#: A note: has the step landed documents, which landings has it loaded, its range of fact keys,
+#: and what it counted.
+NOTE = (
+    StructType()
+    .add("lands", BooleanType())
+    .add("loads", ArrayType(StringType()))
+    .add("least", StringType())
+    .add("greatest", StringType())
+    .add("counts", MapType(StringType(), DoubleType()))
+    .add("step", StringType())
+)
 
 
 class StarStore:
-    """Paths, log and segment reads of one store."""
+    """Paths, notes and tables of one store."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._entries: list[Row] | None = None
-
-    # -- log -----------------------------------------------------------------
-    def refresh(self) -> StarStore:
-        """Forget the log as last read, to see what another writer has logged."""
-        self._entries = None
-        return self
-
-    def _log(self) -> list[Row]:
-        """All log lines: a few per step, names only. Read once and kept."""
-        if self._entries is None:
-            log = f"{self.root}/_log"
-            found = self._exists(log)
-            self._entries = (
-                self.spark.read.schema(LOG_SCHEMA).json(log).collect()
-                if found
-                else []
-            )
-        return self._entries
 
     def _exists(self, path: str) -> bool:
-        context = self.spark.sparkContext
-        target = context._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
+        files, target = file_system(self.spark, path)
+        return files.exists(target)
 
+    # -- steps ---------------------------------------------------------------
     def committed(self, step: str) -> bool:
-        """Has this step been logged?"""
-        return any(row.step == step for row in self._log())
+        """Is this step published?"""
+        return self._exists(f"{self.root}/{PUBLISHED}/step={step}/_SUCCESS")
 
-    def commit(self, step: str, changes: list[tuple]) -> None:
-        """Log ``(table, segment, action)`` changes: the point where a step takes effect.
+    def publish(self, step: str, counts: dict | None = None, **note) -> None:
+        """Write the step's note: the point where all it has written takes effect.
 
-        An added segment may carry the range of its keys, ``(..., least, greatest)``.
-        One task writes one small file, renamed into place as a whole.
-        """
-        lines = [
-            F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(LOG_COLUMNS, c)])
-            for c in ((*change, None, None)[: len(LOG_COLUMNS)] for change in changes)
-        ]
-        rows = self.spark.range(1).coalesce(1).select(F.inline(F.array(*lines)))
-        rows.write.mode("overwrite").json(f"{self.root}/_log/step={step}")
-        self.refresh()
-
-    def segments(self, table: str, action: str = ADD) -> list[str]:
-        """Names of a table's segments with this action, less those removed."""
-        rows = [row for row in self._log() if row.table_name == table]
-        removed = {row.segment for row in rows if row.action == REMOVE}
-        return sorted({row.segment for row in rows if row.action == action} - removed)
-
-    def overlapping(self, table: str, least: str | None, greatest: str | None) -> list[str]:
-        """Live segments whose key range meets ``least`` to ``greatest``.
-
-        Settled from the log, no file is opened. An unknown range always meets.
+        ``note`` holds ``lands``, ``loads``, ``least`` and ``greatest``, where they apply;
+        ``counts`` are numbers that the step has observed.
         """
-        if least is None or greatest is None:
-            return []
-        ranges = {r.segment: r for r in self._log() if r.table_name == table and r.action == ADD}
-        return [
-            name
-            for name in self.segments(table)
-            if ranges[name].least is None
-            or (ranges[name].least <= greatest and least <= ranges[name].greatest)
-        ]
+        known = [v for name, n in (counts or {}).items() if n is not None for v in (F.lit(name), F.lit(float(n)))]
+        values = {f.name: F.lit(note.get(f.name)) for f in NOTE.fields[:-2]} | {"counts": F.create_map(*known)}
+        columns = [values[f.name].cast(f.dataType).alias(f.name) for f in NOTE.fields[:-1]]
+        one = self.spark.range(1).coalesce(1).select(*columns)
+        one.write.mode("overwrite").parquet(f"{self.root}/{PUBLISHED}/step={step}")
+
+    def notes(self) -> DataFrame:
+        """One row per published step."""
+        if not self._exists(f"{self.root}/{PUBLISHED}"):
+            return empty_frame(self.spark, NOTE)
+        return self.spark.read.schema(NOTE).parquet(f"{self.root}/{PUBLISHED}")
+
+    def counts(self) -> DataFrame:
+        """What every step has counted: ``step``, ``name``, ``value``."""
+        return self.notes().select("step", F.explode("counts").alias("name", "value"))
+
+    def loaded_steps(self) -> DataFrame:
+        """The landings that are loaded (``step``)."""
+        return self.notes().select(F.explode("loads").alias("step"))
 
     def pending(self) -> list[str]:
-        """Raw segments not processed yet."""
-        return sorted(set(self.segments(RAW_TABLE)) - set(self.segments(RAW_TABLE, PROCESS)))
-
-    # -- segments ------------------------------------------------------------
-    def path(self, table: str, segment: str) -> str:
-        return f"{self.root}/{table}/segment={segment}"
+        """Landings not loaded yet, in order: what is outstanding, however long the history is."""
+        landed = self.notes().filter("lands").select("step")
+        return sorted(row.step for row in landed.join(self.loaded_steps(), "step", "left_anti").collect())
 
-    def write(self, table: str, segment: str, rows: DataFrame) -> None:
-        """Write a segment; it stays invisible until it is logged."""
+    # -- tables --------------------------------------------------------------
+    def write(self, table: str, step: str, rows: DataFrame) -> None:
+        """Write a step's rows of a table; they stay invisible until it is published."""
         columns = [f.name for f in SCHEMAS[table].fields]
-        rows.select(*columns).write.mode("overwrite").parquet(self.path(table, segment))
+        writer = rows.select(*columns).write.mode("overwrite").partitionBy(*FOLDERS.get(table, []))
+        writer.parquet(f"{self.root}/{table}/step={step}")
+
+    def begin(self, step: str) -> None:
+        """Remove what an earlier attempt at the step has left, before any table is read."""
+        for table in SCHEMAS:
+            self.discard(table, step)
+
+    def discard(self, table: str, step: str) -> None:
+        """Remove what a step has written of a table, if anything."""
+        files, target = file_system(self.spark, f"{self.root}/{table}/step={step}")
+        files.delete(target, True)
+
+    def read(self, table: str, steps: list[str]) -> DataFrame:
+        """The rows of some steps, published or not, with a ``step`` column."""
+        return self._all(table).filter(F.col("step").isin(steps))
+
+    def _all(self, table: str) -> DataFrame:
+        schema = StructType(list(SCHEMAS[table].fields)).add("step", "string")
+        if not self._exists(f"{self.root}/{table}"):
+            return empty_frame(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
 
-    def read(self, table: str, segments: list[str] | None = None) -> DataFrame:
-        """A table, or some of its segments, with a ``segment`` column.
+    def visible(self, table: str) -> DataFrame:
+        """The published rows of a table, with a ``step`` column.
 
-        Raw documents show in ``processed`` whether their segment has been loaded.
+        Raw documents show in ``processed`` whether their landing is loaded. Facts
+        replaced by a later step are left out.
         """
-        segments = self.segments(table) if segments is None else segments
+        rows = self._all(table).join(self.notes().select("step"), "step", "left_semi")
         if table == RAW_TABLE:
-            done = set(self.segments(RAW_TABLE, PROCESS))
-            loaded = self._read(table, [s for s in segments if s in done])
-            return self._read(table, [s for s in segments if s not in done]).unionByName(
-                loaded.withColumn("processed", F.lit(True))
-            )
-        return self._read(table, segments)
-
-    def _read(self, table: str, segments: list[str]) -> DataFrame:
-        schema = StructType(list(SCHEMAS[table].fields)).add("segment", "string")
-        if not segments:
-            return empty_frame(self.spark, schema)
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}")
-        return reader.parquet(*[self.path(table, s) for s in segments])
+            done = self.loaded_steps().distinct().withColumn("_done", F.lit(True))
+            rows = rows.join(done, "step", "left").withColumn("processed", F.coalesce("_done", "processed")).drop("_done")
+        if table == FACT_TABLE and self._exists(f"{self.root}/{REPLACED_TABLE}"):
+            replaced = self.visible(REPLACED_TABLE).select("measurement_id", F.col("replaced_step").alias("step"))
+            rows = rows.join(replaced, ["measurement_id", "step"], "left_anti")
+        return rows
 
     def table(self, table: str) -> DataFrame:
-        """A table's rows."""
-        return self.read(table).drop("segment")
+        """A table's rows, in the order of its columns."""
+        return self.visible(table).select(*[f.name for f in SCHEMAS[table].fields])
 
     def star(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in STAR}
-
-    def compact(self, table: str, step: str) -> None:
-        """Rewrite a table's many small segments as one.
-
-        Raw segments that are loaded and those still pending are merged apart, so
-        that nothing is loaded again.
-        """
-        if self.committed(step):
-            return
-        done = set(self.segments(table, PROCESS))
-        live = self.segments(table)
-        rest = f"{step}-open" if table == RAW_TABLE else step
-        groups = {step: [s for s in live if s in done]}
-        groups[rest] = [s for s in live if s not in done]
-        changes = []
-        for name, old in groups.items():
-            if len(old) < 2:
-                continue
-            self.write(table, name, self.read(table, old))
-            known = [r for r in self._log() if r.table_name == table and r.action == ADD and r.segment in old]
-            covered = all(r.least is not None for r in known)
-            least = min(r.least for r in known) if covered else None
-            greatest = max(r.greatest for r in known) if covered else None
-            changes += [(table, name, ADD, least, greatest), *[(table, s, REMOVE) for s in old]]
-            if old[0] in done:
-                changes.append((table, name, PROCESS))
-        if changes:
-            self.commit(step, changes)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -17,6 +19,7 @@ def start_stream(
     name: str = "increment",
     every: str | None = None,
     land_only: bool = False,
+    after: Callable[[str], None] | None = None,
 ) -> StreamingQuery:
     """Feed a stream of messages (a ``value`` column) into the store.
 
@@ -27,7 +30,11 @@ def start_stream(
     which Spark keeps in the checkpoint: another source, or the same one after its
     checkpoint was lost, has another id and is never taken for it. Errors end the
     query.
-    ``land_only`` leaves the load to a separate ``load_pending``.
+    ``land_only`` leaves the load to a separate ``load_pending``. ``after`` is called
+    with the batch's label once it has landed (and loaded), before Spark notes the
+    micro-batch as done: if it raises, the micro-batch is delivered again. Bound the
+    micro-batches at the source (``max_files``, ``per_trigger``): a run takes all that
+    has arrived, in as many of them as needed.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
@@ -39,6 +46,8 @@ def start_stream(
             land_messages(store, batch, label)
         else:
             run_increment(store, batch, label)
+        if after is not None:
+            after(label)
 
     writer = messages.writeStream.queryName(name).foreachBatch(handle)
     writer = writer.option("checkpointLocation", checkpoint)

@@ -1,9 +1,12 @@
 import random
+import re
 
 import pytest
 
 from helpers import document, documents, reading, rows_of
-from sensormart.operators import drop_contained
+from sensormart.operators import containment, content_columns, drop_contained
+from sensormart.operators.containment import nearby_history
+from sensormart.session import materialise
 
 
 def _brute(incoming, stored):
@@ -88,6 +91,74 @@ def test_many_holders_of_one_pivot(spark):
     _check(spark, [document("n", [a, b])], [*stored, document("z", [a, b, reading("c")])])
 
 
+def _subsets(rng, prefix, n, universe, least, most):
+    return [
+        document(f"{prefix}{i}", [reading(f"p{x}") for x in rng.sample(range(universe), rng.randint(least, most))])
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("direct,single", [(64, 8), (1, 8), (1, 1)])
+def test_sets_of_common_readings(spark, monkeypatch, direct, single):
+    """All readings are common, sets are large or small, nothing can be told by one reading."""
+    monkeypatch.setattr(containment, "DIRECT", direct)
+    monkeypatch.setattr(containment, "SINGLE_STEPS", single)
+    rng = random.Random(11)
+    stored = _subsets(rng, "s", 150, 12, 4, 9) + _subsets(rng, "t", 10, 12, 11, 12)
+    incoming = _subsets(rng, "n", 120, 12, 2, 8) + _subsets(rng, "m", 20, 12, 9, 12)
+    _check(spark, incoming, stored)
+
+
+def _common(rng, prefix, n):
+    """Nearly all of a station's 40 readings in each document, and often one of its own kind."""
+    rows = []
+    for i in range(n):
+        m = [reading(f"p{x}") for x in rng.sample(range(40), rng.randint(36, 40))]
+        if rng.random() < 0.7:
+            m.append(reading(f"own{rng.randrange(n)}"))
+        rows.append(document(f"{prefix}{i}", m))
+    return rows
+
+
+def _halves(rng, prefix, n):
+    return _subsets(rng, prefix, n, 40, 20, 20)
+
+
+@pytest.mark.parametrize("make,most", [(_common, 5), (_halves, 7)])
+def test_rows_grow_with_the_documents_not_with_their_pairs(spark, monkeypatch, make, most):
+    """One station, 40 readings that are all common, four times the documents: sixteen times the pairs."""
+    written = []
+
+    def counting(df, name, *args):
+        copy = materialise(df, name, *args)
+        written.append(copy.count())
+        return copy
+
+    monkeypatch.setattr(containment, "materialise", counting)
+    rows = []
+    for n in (250, 1000):
+        rng = random.Random(5)
+        written.clear()
+        stored, incoming = make(rng, "s", n), make(rng, "n", n)
+        _check(spark, incoming, stored)
+        rows.append(sum(written))
+    assert rows[1] <= most * rows[0]
+
+
+def test_a_batch_of_one_station_reads_one_bucket(spark, tmp_path):
+    rng = random.Random(3)
+    many = [document(f"s{i}", [reading(f"p{rng.randrange(5)}")], location=f"station {i}") for i in range(200)]
+    path = str(tmp_path / "history")
+    content_columns(documents(spark, many)).write.partitionBy("bucket").parquet(path)
+    stored = spark.read.parquet(path)
+    sets = content_columns(documents(spark, many[:1]))
+    history = nearby_history(stored, sets)
+    bucket = sets.first().bucket
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"PartitionFilters: \[[^\]]*bucket#\d+ = {bucket}\)?[,\]]", plan), plan
+    assert {r.location for r in history.collect()} == {"station 0"}
+
+
 def test_no_pairing_joins(spark):
     incoming = documents(spark, [document("n", [reading("a"), reading("b")])])
     stored = documents(spark, [document("s", [reading("a"), reading("b"), reading("c")])])

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from sensormart.operators import (
     first_per_reading,
     integrity_violations,
     latest_readings,
+    mark_latest,
+    settled_readings,
     upsert_facts,
 )
 from sensormart.plans import fresh_star, trend_by_hour
@@ -46,6 +49,38 @@ def test_latest_reading_wins(spark):
     assert rows_of(latest_readings(clean_measurements(docs)), "measurement_id", "value") == [("a_CO", 5.0), ("a_co", 2.0), ("b_co", 4.0)]
 
 
+def _random_documents(rng, n):
+    """Parameters twice under one spelling, other spellings, equal instants in other zones, odd values."""
+    times = [LATER, "2024-07-01T15:00:00+02:00", "2024-07-01T12:00:00Z", "garbage", None, "2024-07-01T12:00:00.500Z"]
+    values = [None, float("nan"), float("inf"), 1.0, 2.0, 850.0, 900.0, 1013.0, 101300.0, -5.0]
+    names, units = ["co", "CO", "pressure", "Pressure", "pm25", None], ["ppm", "ppb", "hpa", "mb", "pa", "x", None]
+    pick = lambda options: options[rng.randrange(len(options))]
+    rows = [
+        document(f"d{i}", [(pick(names), pick(values), pick(units), pick(times)) for _ in range(rng.randrange(12))])
+        for i in range(n)
+    ]
+    return [*rows, document("null", None), document("holes", [None, reading("co"), None, reading("co", 2.0)])]
+
+
+def test_settled_inside_documents_as_by_key(spark):
+    docs = documents(spark, _random_documents(random.Random(7), 150))
+    columns = ["measurement_id", "parameter_name", "value", "unit", "timestamp", "observed_utc"]
+    for strict in (False, True):
+        clean = clean_measurements(docs, strict=strict).filter("measurement_id IS NOT NULL")
+        settled = settled_readings(docs, strict).filter("measurement_id IS NOT NULL")
+        wanted = latest_readings(clean)
+        got = settled.filter("latest").select(*wanted.columns)
+        texts = [sorted(map(str, t.select(*columns).collect())) for t in (got, wanted, settled, clean)]
+        assert texts[0] == texts[1] and texts[2] == texts[3]
+
+
+def test_settling_needs_no_shuffle_and_sorts_once(spark):
+    docs = documents(spark, _random_documents(random.Random(8), 5))
+    plan = settled_readings(docs).filter("latest")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan and plan.count("array_sort(") == 1
+    assert mark_latest(docs).schema["measurements"].dataType.elementType.names[-1] == "latest"
+
+
 def test_first_per_reading(spark):
     docs = documents(spark, [document("a", [reading("co", 9.0), reading("co", 1.0), reading("co", 5.0, at=LATER)])])
     assert rows_of(first_per_reading(clean_measurements(docs)), "measurement_id", "value") == [("a_co", 1.0), ("a_co", 5.0)]
@@ -68,7 +103,7 @@ def _star(spark):
             document("b", [reading("co", 4.0), reading("no2", 2.0, at=LATER)], at=(3.0, 3.0)),
         ],
     )
-    return fresh_star(clean_measurements(docs))
+    return fresh_star(docs)
 
 
 def test_integrity(spark):
@@ -93,13 +128,13 @@ def test_trend(spark):
 
 def test_trend_without_numbers(spark):
     docs = documents(spark, [document("a", [reading("co", None)]), document("b", [reading("no2", float("nan")), reading("NO2", 4.0)])])
-    trend = trend_by_hour(fresh_star(clean_measurements(docs)))
+    trend = trend_by_hour(fresh_star(docs))
     assert rows_of(trend, "parameter_name", "readings", "avg_value", "min_value") == [("co", 1, None, None), ("no2", 2, 4.0, 4.0)]
 
 
 def test_trend_of_very_large_and_small_values(spark):
     docs = [document(f"{p}{n}", [reading(p, v)]) for p, values in (("bc", (1e21, 3e21)), ("no", (1e-9, 3e-9))) for n, v in enumerate(values)]
-    trend = trend_by_hour(fresh_star(clean_measurements(documents(spark, docs))))
+    trend = trend_by_hour(fresh_star(documents(spark, docs)))
     assert rows_of(trend, "parameter_name", "readings", "avg_value") == [("bc", 2, 2e21), ("no", 2, 2e-9)]
 
 

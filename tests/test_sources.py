@@ -49,14 +49,47 @@ def test_bad_messages_become_rejects(spark):
     good, rejects = decode_messages(spark.createDataFrame([(t,) for t in texts], "value string"))
     assert good.isEmpty()
     assert sorted((r.reject_reason, r.raw) for r in rejects.collect() if r.raw) == [
+        ("badly typed readings", '{"location": "s", "measurements": [{"value": "x"}]}'),
         ("malformed json", '{"a":'),
-        ("malformed json", '{"location": "s", "measurements": [{"value": "x"}]}'),
         ("missing city", '{"location": "s"}'),
         ("missing location", '{"city": "c"}'),
     ]
     assert rejects.count() == 6
 
 
+def test_a_bad_reading_does_not_cost_its_document(spark):
+    head = '"location": "s", "city": null, "country": "k", "coordinates": {"latitude": 1.5, "longitude": 2}'
+    good = '{"parameter": "co", "value": 0.30000000000000004, "unit": "ppm", "lastUpdated": "t"}'
+    bad = ['{"parameter":"no2","value":"x"}', "5", '{"parameter":"no","value":{"a":1}}', '{"parameter":"no","value":true}']
+    text = f'{{{head}, "measurements": [{good}, {", ".join(bad)}, null, {{"parameter": 7, "value": "2.5"}}, {{"value": 1e300}}]}}'
+    found, rejects = decode_messages(spark.createDataFrame([(text,)], "value string"))
+    assert [tuple(r) for r in rejects.orderBy("raw").collect()] == sorted((b, "badly typed reading") for b in bad)
+    (row,) = found.collect()
+    assert (row.location, row.city, row.country, tuple(row.coordinates)) == ("s", None, "k", (1.5, 2.0))
+    assert [m and tuple(m) for m in row.measurements] == [
+        ("co", 0.30000000000000004, "ppm", "t"),
+        None,
+        ("7", 2.5, None, None),
+        (None, 1e300, None, None),
+    ]
+
+
+def test_what_is_lost_as_a_whole(spark):
+    head = '"location": "s", "city": "c", "country": "k"'
+    texts = {
+        f'{{{head}, "coordinates": null, "measurements": [{{"value": "x"}}]}}': "badly typed readings",
+        f'{{{head}, "coordinates": {{"latitude": "north"}}, "measurements": [{{"value": 1}}]}}': "malformed json",
+        f'{{{head}, "coordinates": 7, "measurements": []}}': "malformed json",
+        f'{{{head}, "coordinates": null, "measurements": "none"}}': "malformed json",
+        f'{{{head}, "measurements": [{{"value": "x"}}, {{"value": 1}}]}}': "missing coordinates",
+        '{"city": "c", "country": "k", "coordinates": null, "location": null, "measurements": [{"value": "x"}, {"value": 1}]}': "missing location",
+        "[1, 2]": "malformed json",
+        "7": "malformed json",
+    }
+    good, rejects = decode_messages(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert good.isEmpty() and {r.raw: r.reject_reason for r in rejects.collect()} == texts
+
+
 def test_kafka_options():
     assert kafka_source_options("h:1") == {
         "kafka.bootstrap.servers": "h:1",

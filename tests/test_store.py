@@ -1,13 +1,17 @@
 import json
+import re
+import shutil
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import documents, document, reading, rows_of
 from sensormart import operators
-from sensormart.plans import land_documents, load_pending, run_increment
+from sensormart.plans import IntegrityError, land_documents, load_pending, run_increment, trend_by_hour
 from sensormart.schemas import FACT_TABLE, LOCATION_TABLE, MESSAGE, PARAMETER_TABLE, TIME_TABLE
 from sensormart.sources import StarStore, read_message_files
-from sensormart.sources.store import RAW_TABLE, REJECT_TABLE
+from sensormart.sources.store import RAW_TABLE, REJECT_TABLE, REPLACED_TABLE
 from sensormart.streaming import start_stream
 
 LATER = "2024-07-01T13:00:00Z"
@@ -29,6 +33,10 @@ def _messages(spark, docs):
     return spark.createDataFrame([(line,) for line in lines], "value string")
 
 
+def landings(store):
+    return sorted(r.step for r in store.notes().filter("lands").collect())
+
+
 def _natural(store):
     star = store.star()
     joined = (
@@ -92,7 +100,7 @@ def test_split_gives_the_same_star(spark, tmp_path):
 def test_failed_load_leaves_nothing_and_can_be_repeated(spark, tmp_path, monkeypatch):
     store = StarStore(spark, str(tmp_path))
     with monkeypatch.context() as patch:
-        patch.setattr("sensormart.plans.load.build_facts", lambda *a: 1 / 0)
+        patch.setattr("sensormart.plans.load.build_facts", lambda *a, **k: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             run_increment(store, _messages(spark, FIRST), "b1")
     assert all(table.isEmpty() for table in store.star().values())
@@ -102,26 +110,23 @@ def test_failed_load_leaves_nothing_and_can_be_repeated(spark, tmp_path, monkeyp
 
 
 def test_reloaded_keys_replace_stored_facts(spark, tmp_path):
-    """A document with a stored id, as a changed copy: only its segment is rewritten."""
+    """A document with a stored id, as a changed copy: its older facts are left out."""
     store = StarStore(spark, str(tmp_path))
 
     def land(segment, value, oid):
         docs = documents(spark, [document(oid, [reading("co", value)])])
         store.write(RAW_TABLE, segment, operators.content_columns(docs))
-        store.commit(segment, [(RAW_TABLE, segment, "add")])
+        store.publish(segment, lands=True)
         load_pending(store)
 
     land("l1", 1.0, "a")
     land("l2", 2.0, "b")
-    segments = set(store.segments(FACT_TABLE))
     land("l3", 7.0, "a")
     assert rows_of(store.table(FACT_TABLE), "measurement_id", "value") == [("a_co", 7.0), ("b_co", 2.0)]
-    assert "load-l2-l2" in store.segments(FACT_TABLE) and "load-l1-l1" not in store.segments(FACT_TABLE)
-    assert segments == {"load-l1-l1", "load-l2-l2"}
-
-    store.compact(FACT_TABLE, "compact-1")
-    assert store.segments(FACT_TABLE) == ["compact-1"]
-    assert rows_of(store.table(FACT_TABLE), "measurement_id", "value") == [("a_co", 7.0), ("b_co", 2.0)]
+    replaced = store.visible(REPLACED_TABLE)
+    assert rows_of(replaced, "measurement_id", "replaced_step", "step") == [("a_co", "load-l1-l1", "load-l3-l3")]
+    land("l4", 8.0, "a")
+    assert rows_of(store.table(FACT_TABLE), "measurement_id", "value") == [("a_co", 8.0), ("b_co", 2.0)]
 
 
 def test_stream_resumes_where_it_ended(spark, tmp_path):
@@ -133,14 +138,14 @@ def test_stream_resumes_where_it_ended(spark, tmp_path):
         (source / name).write_text("\n".join(d if isinstance(d, str) else json.dumps(d) for d in docs))
         stream = read_message_files(spark, str(source), max_files=1)
         start_stream(stream, store, str(tmp_path / "checkpoint")).awaitTermination()
-        return store.refresh().segments(RAW_TABLE)
+        return landings(store)
 
     first = deliver("1.json", FIRST)
     second = deliver("2.json", SECOND)
     assert len(first) == 1 and len(second) == 2
     stream = read_message_files(spark, str(source))
     start_stream(stream, store, str(tmp_path / "checkpoint")).awaitTermination()
-    assert store.refresh().segments(RAW_TABLE) == second
+    assert landings(store) == second
     assert len(_natural(store)) == 5
 
 
@@ -150,7 +155,7 @@ def test_landing_only(spark, tmp_path):
     store = StarStore(spark, str(tmp_path / "store"))
     stream = read_message_files(spark, str(tmp_path / "in"))
     start_stream(stream, store, str(tmp_path / "cp"), land_only=True).awaitTermination()
-    assert len(store.refresh().pending()) == 1 and store.table(FACT_TABLE).isEmpty()
+    assert len(store.pending()) == 1 and store.table(FACT_TABLE).isEmpty()
     load_pending(store)
     assert len(_natural(store)) == 2
 
@@ -163,26 +168,77 @@ def test_streams_with_one_name_do_not_hide_each_other(spark, tmp_path):
         (tmp_path / folder / "1.json").write_text(json.dumps(docs[0]))
         stream = read_message_files(spark, str(tmp_path / folder))
         start_stream(stream, store, str(tmp_path / f"cp-{folder}")).awaitTermination()
-    assert store.refresh().table(RAW_TABLE).count() == 2
+    assert store.table(RAW_TABLE).count() == 2
     (tmp_path / "a" / "2.json").write_text(json.dumps(_doc("w", reading("no2"))))
     stream = read_message_files(spark, str(tmp_path / "a"))
     start_stream(stream, store, str(tmp_path / "cp-new")).awaitTermination()
-    assert rows_of(store.refresh().table(RAW_TABLE), "location") == [("s",), ("t",), ("w",)]
+    assert rows_of(store.table(RAW_TABLE), "location") == [("s",), ("t",), ("w",)]
 
 
-def test_compaction_keeps_what_is_loaded_and_what_is_pending(spark, tmp_path):
+def test_a_repeated_natural_key_publishes_nothing(spark, tmp_path):
+    """Another writer has stored a station's coordinates a second time."""
     store = StarStore(spark, str(tmp_path))
-    for n, doc in enumerate([_doc(f"s{n}", reading("co", float(n))) for n in range(4)]):
-        land_documents(store, spark.createDataFrame([doc], MESSAGE), f"d{n}")
-        if n == 1:
-            load_pending(store)
-    store.compact(RAW_TABLE, "compact-1")
-    assert store.segments(RAW_TABLE) == ["compact-1", "compact-1-open"] and store.pending() == ["compact-1-open"]
-    assert rows_of(operators.processed(store.table(RAW_TABLE)), "location") == [("s0",), ("s1",)]
+    run_increment(store, _messages(spark, FIRST), "b1")
+    before = _natural(store)
+    again = store.table(LOCATION_TABLE).filter("location_name = 's'").withColumn("location_id", F.col("location_id") + 100)
+    store.write(LOCATION_TABLE, "foreign", again)
+    store.publish("foreign")
+    for _ in range(2):
+        with pytest.raises(IntegrityError, match="repeated natural key in dimension_location"):
+            run_increment(store, _messages(spark, SECOND), "b2")
+    assert store.table(FACT_TABLE).count() == 3 and store.pending() == ["land-b2"]
+    reasons = [r[0] for r in rows_of(store.table(REJECT_TABLE), "reject_reason")]
+    assert reasons == ["malformed json", "repeated natural key in dimension_location"]
+    # Once the foreign step is gone, the same landing loads.
+    shutil.rmtree(tmp_path / "published" / "step=foreign")
     load_pending(store)
-    assert load_pending(store) == {} and len(_natural(store)) == 4
-    store.compact(RAW_TABLE, "compact-2")
-    assert load_pending(store) == {} and operators.unprocessed(store.table(RAW_TABLE)).isEmpty()
+    assert len(_natural(store)) == 5 and set(before) <= set(_natural(store)) and store.pending() == []
+
+
+def test_a_repeated_document_id_publishes_nothing(spark, tmp_path):
+    store = StarStore(spark, str(tmp_path))
+    docs = documents(spark, [document("a", [reading("co")]), document("a", [reading("no2")])])
+    store.write(RAW_TABLE, "l1", operators.content_columns(docs))
+    store.publish("l1", lands=True)
+    with pytest.raises(IntegrityError):
+        load_pending(store)
+    assert rows_of(store.table(REJECT_TABLE), "raw") == [('{"document_id":"a"}',)] and store.table(FACT_TABLE).isEmpty()
+
+
+def test_steps_count_what_they_saw_and_leave_no_scratch(spark, tmp_path):
+    store = StarStore(spark, str(tmp_path))
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"), "sensormart", spark.conf.get("spark.app.id"))
+    before = set(scratch.iterdir()) if scratch.exists() else set()
+    run_increment(store, _messages(spark, FIRST), "b1")
+    run_increment(store, _messages(spark, []), "b2")
+    assert set(scratch.iterdir()) == before
+    counts = {(r.step, r.name): r.value for r in store.counts().collect()}
+    assert counts["land-b1", "messages"] == 3 and counts["land-b1", "rejects"] == 1 and counts["land-b1", "new"] == 2
+    assert counts["load-land-b1-land-b1", "readings"] == 3 and counts["land-b2", "messages"] == 0
+    assert store.pending() == [] and len({s for s, _ in counts}) == 3
+
+
+def test_facts_of_a_month_are_read_alone(spark, tmp_path):
+    store = StarStore(spark, str(tmp_path))
+    times = ["2024-07-01T12:00:00Z", "2024-07-31T23:00:00Z", "2024-08-02T00:00:00Z", "2023-07-05T00:00:00Z"]
+    run_increment(store, _messages(spark, [_doc("s", *[reading(f"p{i}", float(i), at=t) for i, t in enumerate(times)])]), "b1")
+    star = store.star()
+    trend = trend_by_hour(star, months=[(2024, 8), (2023, 7)])
+    plan = trend._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*month#\d+ IN \(202408,202307\)", plan), re.findall("PartitionFilters.{90}", plan)
+    # Local time: the last of July, 23:00 UTC, is the first of August in the local zone.
+    assert rows_of(trend, "parameter_name", "month", "day") == [("p1", 8, 1), ("p2", 8, 2), ("p3", 7, 5)]
+    assert trend_by_hour(star).count() == 4
+
+
+def test_increments_stay_alike(spark, tmp_path):
+    """A later increment writes as many files as an earlier one."""
+    store, written = StarStore(spark, str(tmp_path)), []
+    for n in range(6):
+        run_increment(store, _messages(spark, [_doc("s", reading("co", float(n)))]), f"b{n}")
+        written.append(sum(1 for _ in tmp_path.rglob("*.parquet")))
+    steps = [b - a for a, b in zip(written, written[1:])]
+    assert len(set(steps)) == 1
 
 
 def test_equal_documents_without_readings_stay(spark, tmp_path):
@@ -194,8 +250,9 @@ def test_equal_documents_without_readings_stay(spark, tmp_path):
     assert raw.count() == 3 and raw.select("_id.oid").distinct().count() == 3
 
 
-def test_dimension_without_new_rows_gets_no_segment(spark, tmp_path):
+def test_dimension_without_new_rows_gets_no_folder(spark, tmp_path):
     store = StarStore(spark, str(tmp_path))
     for n in range(3):
         run_increment(store, _messages(spark, [_doc("s", reading("co", float(n)))]), f"b{n}")
-    assert len(store.segments(PARAMETER_TABLE)) == 1 and len(store.segments(FACT_TABLE)) == 3
+    written = {t: len(list((tmp_path / t).glob("step=*"))) for t in (PARAMETER_TABLE, FACT_TABLE)}
+    assert written == {PARAMETER_TABLE: 1, FACT_TABLE: 3}
