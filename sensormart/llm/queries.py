@@ -15,7 +15,7 @@ from sensormart.llm.oracles import CLUSTERS, MINHASH, MIXING, SEARCH, VECTORS, W
 from sensormart.llm.packing import pack_documents
 from sensormart.llm.quality import judge_documents
 from sensormart.llm.search import search
-from sensormart.llm.suffixes import find_repeats
+from sensormart.llm.suffixes import PASSAGE, find_repeats
 from sensormart.llm.token_counts import count_tokens
 from sensormart.llm.token_files import read_token_files, write_token_files
 from sensormart.llm.vectors import near_vectors
@@ -44,7 +44,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_repeats(table(spark, sf_dir, "documents")).drop("spans")
+    return find_repeats(table(spark, sf_dir, "documents"), passage=PASSAGE).drop("spans", "passages")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

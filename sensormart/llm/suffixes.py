@@ -23,7 +23,7 @@ another base, so that at any later digit 128 bits agree.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,9 @@ from sensormart.llm.common import few_rows, slices, text_or_empty
 from sensormart.session import materialise
 
 THRESHOLD = 400
+#: Bytes of a passage of some 50 words: with the shortest words that occur in prose, five
+#: characters with the space, a passage of 50 words has this many.
+PASSAGE = 250
 ANCHOR = 120
 BLOCK = 16
 #: Suffixes hashed at a time; longer texts are cut into such segments.
@@ -131,14 +134,20 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _runs(docs: DataFrame, threshold: int) -> DataFrame:
+def _runs(texts: DataFrame, threshold: int) -> DataFrame:
+    """The runs of texts given by ``key`` and either ``text`` or ``packed``."""
+    source = "packed" if "packed" in texts.columns else "text"
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "n_bytes", "first", "number", "distance", "anchor", "whole"]
         for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
+            for part in slices(batch, source, 1 << 20):
                 columns = [[] for _ in names]
-                for text, key in zip(part.column("text").to_pylist(), part.column("key").to_pylist(), strict=True):
-                    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+                for text, key in zip(part.column(source).to_pylist(), part.column("key").to_pylist(), strict=True):
+                    if source == "packed":
+                        data = _unpacked(text)
+                    else:
+                        data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
                     if len(data) >= threshold:
                         found = find_runs(data, threshold)
                         n = len(found[0])
@@ -148,7 +157,7 @@ def _runs(docs: DataFrame, threshold: int) -> DataFrame:
                     [pa.array(np.concatenate([*c, np.zeros(0, np.int64)]), pa.int64()) for c in columns], names
                 )
 
-    return docs.mapInArrow(find, "key long, n_bytes long, first long, number long, distance long, anchor long, whole long")
+    return texts.select("key", source).mapInArrow(find, "key long, n_bytes long, first long, number long, distance long, anchor long, whole long")
 
 
 def _twice(rows: DataFrame, keys: list[str], spot: Column) -> DataFrame:
@@ -304,23 +313,55 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     texts that lose something. A text held by several documents is found elsewhere
     as a whole.
     """
+    return _first_sort(docs, threshold)[0]
+
+
+def repeated_spans_at(docs: DataFrame, low: int, high: int) -> tuple[DataFrame, DataFrame]:
+    """``repeated_spans`` at two depths for little more than the cost of the lower one.
+
+    A string of ``high`` bytes that is found twice lies, both times, inside a run of
+    bytes found at ``low``. So the sort goes on to the greater depth only in texts
+    with such a run of ``high`` bytes or more, which are at hand, compressed.
+    """
+    spans, texts, touched = _first_sort(docs, low)
+    deep = texts.filter(F.col("n_bytes") >= high)
+    if touched is None:
+        return spans, spans.filter(F.col("n_bytes") >= high)
+    long = spans.filter(F.exists("spans", lambda s: s["end"] - s["start"] >= high)).select("key", "n_bytes")
+    near = materialise(touched.drop("runs").join(long, ["key", "n_bytes"], "left_semi"), "texts-going-on")
+    runs = materialise(_runs(near, high), "runs")
+    return spans, _sort(deep, runs, lambda asked: near.join(asked.drop("least_id"), ["key", "n_bytes"]), high)[0]
+
+
+def _first_sort(docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The spans, the distinct texts, and the compressed texts that were looked into (None: not one)."""
+    if threshold < ANCHOR + 2 * BLOCK:
+        raise ValueError(f"a repeated string must have {ANCHOR + 2 * BLOCK} bytes at least")
     named = docs.select("doc_id", text_or_empty().alias("text")).withColumn("key", text_key(F.col("text")))
     texts = named.groupBy("key", F.octet_length("text").cast("long").alias("n_bytes")).agg(
         F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies")
     )
     texts = materialise(texts.filter(F.col("n_bytes") >= threshold), "texts")
+    runs = materialise(_runs(named.filter(F.octet_length("text") >= threshold), threshold), "runs")
+    spans, touched = _sort(texts, runs, lambda asked: _packed(docs, asked, threshold), threshold)
+    return spans, texts, touched
+
+
+def _sort(
+    texts: DataFrame, runs: DataFrame, fetch: Callable[[DataFrame], DataFrame], threshold: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """The spans of ``texts`` by all digits; ``fetch`` brings the compressed texts of those asked for."""
     copied = texts.filter("copies > 1").select(
         "key",
         "n_bytes",
         F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))).alias("spans"),
         F.sha2(F.lit(b""), 256).alias("kept_sha256"),
     )
-    runs = materialise(_runs(named.filter(F.octet_length("text") >= threshold).select("text", "key"), threshold), "runs")
     spot = F.xxhash64("key", "n_bytes", F.col("first") + F.col("distance"))
     # First digit.
     anchors = materialise(_twice(runs, ["anchor"], spot), "anchors")
     if anchors.isEmpty():
-        return materialise(copied, "spans")
+        return materialise(copied, "spans"), None
     together = materialise(runs.join(anchors, "anchor").distinct(), "runs-together")
     # Second digit.
     run_key = ["anchor", "distance", "number", "whole"]
@@ -329,7 +370,7 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         F.collect_list(F.struct("first", "number", "distance", "anchor", "repeated", "compared")).alias("runs")
     )
     asked = materialise(lists.join(texts.select("key", "n_bytes", "least_id"), ["key", "n_bytes"]), "run-lists")
-    touched = materialise(_packed(docs, asked, threshold), "touched-texts")
+    touched = materialise(fetch(asked), "touched-texts")
     # Third digit.
     blocks = materialise(_blocks(touched.filter(F.exists("runs", lambda r: r["compared"])), threshold), "blocks")
     spot = F.xxhash64("key", "n_bytes", "at")
@@ -352,33 +393,45 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     found = found.groupBy("key", "n_bytes").agg(F.collect_set(F.struct("low", "high")).alias("found"))
     cut = _cut_texts(touched.join(found, ["key", "n_bytes"], "left"), threshold)
     alone = cut.join(texts.filter("copies = 1").select("key", "n_bytes"), ["key", "n_bytes"], "left_semi")
-    return materialise(alone.unionByName(copied).dropDuplicates(["key", "n_bytes"]), "spans")
+    return materialise(alone.unionByName(copied).dropDuplicates(["key", "n_bytes"]), "spans"), touched
 
 
-def find_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def find_repeats(docs: DataFrame, threshold: int = THRESHOLD, passage: int | None = None) -> DataFrame:
     """What every document loses: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans.
 
     Removed are the bytes covered by a string of ``threshold`` bytes that also
     starts anywhere else, in another document or the same, overlaps included;
-    strings are judged on the input. A null text is empty: 0 bytes, nothing
-    removed. Texts shorter than the threshold lose nothing. Repeated rows count
-    as documents of their own and so lose their whole text; null doc_ids keep a
-    row each. An empty table gives no rows.
+    strings are judged on the input. With ``passage``, a smaller number of bytes,
+    n_passage_bytes and passages (their spans) tell the same at that depth. A null
+    text is empty: 0 bytes, nothing removed. Texts shorter than the threshold lose
+    nothing. Repeated rows count as documents of their own and so lose their whole
+    text; null doc_ids keep a row each. An empty table gives no rows. A long text
+    is hashed in segments; it is never cut short.
     """
-    spans = repeated_spans(docs, threshold)
+    if passage is None:
+        spans = repeated_spans(docs, threshold)
+    else:
+        shorter, spans = repeated_spans_at(docs, passage, threshold)
+        shorter = shorter.select("key", "n_bytes", F.col("spans").alias("passages"))
+        spans = materialise(shorter.join(spans, ["key", "n_bytes"], "left"), "spans-at-depths")
     text = text_or_empty()
     known = docs.select(
         "doc_id", text_key(text).alias("key"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(F.encode(text, "UTF-8"), 256).alias("sha256")
     )
     joined = known.join(spans, ["key", "n_bytes"], "left")
-    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+
+    def covered(column: str) -> Column:
+        return F.coalesce(F.aggregate(column, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]), F.lit(0).cast("long"))
+
+    more = [] if passage is None else [covered("passages").alias("n_passage_bytes"), "passages"]
     return joined.select(
         "doc_id",
         "n_bytes",
-        F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"),
+        covered("spans").alias("n_removed"),
         F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("kept_sha256", "sha256").alias("kept_sha256"),
         "spans",
+        *more,
     )
 
 
@@ -386,7 +439,9 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with the repeated strings cut out of the texts, every row kept.
 
     A character goes if all its bytes are removed. Untouched texts, null ones
-    included, stay as they are; an n_chars column follows the text.
+    included, stay as they are; an n_chars column follows the text. Null and
+    repeated doc_ids are rows like others, and rows with one text lose all of it.
+    An empty table gives no rows.
     """
     spans = repeated_spans(docs, threshold).select("key", "n_bytes", "spans")
     text = text_or_empty()

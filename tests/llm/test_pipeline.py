@@ -12,6 +12,7 @@ from test_suffixes import _brute as brute_repeats
 import corpus_pipeline
 from sensormart.llm.common import tokenizer_path
 from sensormart.llm.pieces import load_tokenizer
+from sensormart.llm.suffixes import PASSAGE
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -57,7 +58,7 @@ def test_stages(spark, sf_dir):
     assert cut.columns == docs.columns
     got = {r[0]: r for r in _rows(cut)}
     assert len(got) == len(expected)
-    for row, (_, removed, _, _) in zip(expected, brute_repeats([r[1] for r in expected], 400), strict=True):
+    for row, (_, removed, _, _) in zip(expected, brute_repeats([r[1] for r in expected], PASSAGE), strict=True):
         text = got[row[0]][1]
         left = len(row[1].encode()) - removed
         assert text == row[1] if not removed else left <= len(text.encode()) <= left + 6

@@ -30,6 +30,13 @@ def _check(docs, threshold=suffixes.THRESHOLD):
     expected = [(i, *x) for (i, _), x in zip(rows, _brute([t for _, t in rows], threshold), strict=True)]
     got = [tuple(r)[:5] for r in suffixes.find_repeats(docs, threshold).collect()]
     assert sorted(got, key=str) == sorted(expected, key=str)
+    # At two depths at once.
+    for passage in (suffixes.PASSAGE, suffixes.ANCHOR + 2 * suffixes.BLOCK):
+        lower = _brute([t for _, t in rows], passage)
+        expected = [(*row, less[1]) for row, less in zip(expected, lower, strict=True)]
+        both = suffixes.find_repeats(docs, threshold, passage).drop("spans", "passages").collect()
+        assert sorted(map(tuple, both), key=str) == sorted(expected, key=str)
+        expected = [row[:-1] for row in expected]
 
 
 def test_table(spark, sf_dir):
@@ -91,6 +98,13 @@ def F_len():
     return F.length("text").cast("long")
 
 
+def test_depths_are_bounded(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        suffixes.find_repeats(docs, suffixes.ANCHOR)
+    _check(spark.createDataFrame([(1, "x" * 300), (2, "x" * 300), (3, "y" * 260 + "z" * 260)], docs.schema))
+
+
 def test_cut_keeps_whole_characters():
     assert suffixes.cut_text("aébcéd", [{"start": 2, "end": 6}]) == "aéd"[:2] + "éd"
     assert suffixes.cut_text("日本", [{"start": 1, "end": 5}]) == "日本"
