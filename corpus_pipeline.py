@@ -8,7 +8,7 @@ from sensormart.llm.minhash import drop_near_duplicates
 from sensormart.llm.mixing import take_mix
 from sensormart.llm.packing import pack_documents
 from sensormart.llm.quality import judge_documents
-from sensormart.llm.suffixes import remove_repeats
+from sensormart.llm.suffixes import PASSAGE, remove_repeats
 from sensormart.session import materialise
 
 
@@ -24,8 +24,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings that occur elsewhere too; emptied documents stay as rows."""
-    return remove_repeats(docs)
+    """Texts without the passages that occur elsewhere too; emptied documents stay as rows.
+
+    A passage has ``PASSAGE`` bytes, about 50 short words: the 400 bytes that a
+    string needs by default would leave passages of 50 words alone. Null texts stay
+    null; null and repeated ids are documents like others; no rows, no rows.
+    """
+    return remove_repeats(docs, PASSAGE)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
