@@ -139,9 +139,13 @@ def scan_text(text: str) -> dict:
     normal = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
     base, other, doubt, tagged = [], set(), 1.0, False
     evidence = set()
+    place, before = 0, 0  # how many spaces lie before a place, counted on from the last one
     for end, (length, kind, label) in automaton().iter(normal):
         if kind == "base":
-            base.append((normal.count(" ", 0, end - length + 1), label))
+            first = end - length + 1
+            step = normal.count(" ", place, first) if first >= place else -normal.count(" ", first, place)
+            place, before = first, before + step
+            base.append((before, label))
             evidence.add(("name", label))
         elif kind == "tag":
             tagged = True

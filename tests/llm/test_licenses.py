@@ -46,6 +46,18 @@ def test_texts(spark, sf_dir):
     assert rows[7].labels == "gpl,lgpl" and rows[12].labels == "" and rows[12].permissive is None
 
 
+def test_a_very_long_text_costs_in_proportion():
+    import time
+
+    seconds = []
+    for n in (50_000, 400_000):
+        start = time.process_time()
+        found = licenses.scan_text("mit license and the apache license " * n)
+        seconds.append(time.process_time() - start)
+        assert (found["n_base"], found["first_word"], found["last_word"]) == (2 * n, 0, 6 * n - 2)
+    assert seconds[1] < 40 * seconds[0]
+
+
 @pytest.mark.parametrize(
     ("text", "expected"),
     [
