@@ -14,8 +14,8 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 #: Documents in one bucket of a queue, about.
 BUCKET_ROWS = 4_000
-#: Copies in one slot of finish times, about.
-SLOT_ROWS = 200_000
+#: Slots that a range of finish times is cut into, and the copies that are put in order.
+SLOTS, SLOT_ROWS = 256, 2_000
 _BITS = 60
 
 
@@ -23,9 +23,12 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
-def shuffle_place(doc_id: Column, seed: str) -> Column:
-    """A place in [0, 2 ** 60) that depends on the doc_id and the seed alone."""
-    digest = F.md5(F.concat_ws(":", F.lit(seed), doc_id.cast("string")))
+def shuffle_place(doc_id: Column, text: Column, seed: str) -> Column:
+    """A place in [0, 2 ** 60) that depends on doc_id, text and seed alone.
+
+    The text keeps many documents under one id, or without one, from sharing a place.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(seed), doc_id.cast("string"), F.md5(text.cast("binary"))))
     return F.conv(F.substring(digest, 1, _BITS // 4), 16, 10).cast("long")
 
 
@@ -104,7 +107,7 @@ def mix_documents(
 ) -> DataFrame:
     """Choose how often each document is taken, so that sources meet their targets.
 
-    Documents of a source queue in an order shuffled by a hash of doc_id and seed.
+    Documents of a source queue in an order shuffled by a hash of doc_id, text and seed.
     A document finishes at the words of its source up to it, those of earlier
     rounds included, divided by the source's weight. All copies in the order of
     finish time (ties: source, round, place, doc_id) are taken while their words
@@ -114,16 +117,17 @@ def mix_documents(
     Returns doc_id, source, size, source_size, target, copies, taken (size times
     copies), and with ``whole_rows`` the row of ``docs`` as a struct ``row``. A null
     text has size 0; a document without words is never taken. A null source is a
-    source of its own, the last. Null doc_ids share one place and queue by size.
-    Equal copies on the bound are taken all or not at all. Reruns agree. An empty
-    table gives no rows.
+    source of its own, the last. Null and repeated doc_ids are documents like
+    others, told apart by their texts; rows equal in both share a place, and on the
+    bound are taken all or not at all. Reruns agree. An empty table gives no rows.
+    A very long text is counted and hashed whole, in one pass of its row.
     """
     key = docs.select(
         F.struct("*").alias("row"),
         "doc_id",
         "source",
         word_count(text_or_empty()).alias("size"),
-        shuffle_place(F.col("doc_id"), seed).alias("place"),
+        shuffle_place(F.col("doc_id"), text_or_empty(), seed).alias("place"),
     )
     narrow = materialise(key.drop("row"), "sizes")
     sources = source_targets(narrow, weights, most)
@@ -156,7 +160,10 @@ def mix_documents(
 
 
 def take_mix(docs: DataFrame) -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as it has copies."""
+    """``docs`` as the mix takes them: each row as often as it has copies.
+
+    Documents without words are not taken; see ``mix_documents`` for the rest.
+    """
     taken = mix_documents(docs, whole_rows=True).filter("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
 
@@ -164,11 +171,11 @@ def take_mix(docs: DataFrame) -> DataFrame:
 def _bound(placed: DataFrame, finishes: Column, sources: DataFrame) -> Column | None:
     """The last copy that is taken, as a struct; None if nothing is.
 
-    Copies are dealt into buckets by finish time. Whole buckets in front are taken
-    by their totals; only the bucket in which the budget ends is put in order.
+    Copies are dealt into slots by finish time. Whole slots in front are taken by
+    their totals, ``SLOTS`` numbers a round; only when the slot in which the budget
+    ends holds at most ``SLOT_ROWS`` copies, or copies of one time, is it put in order.
     """
-    known = sources.agg(F.sum("source_size").alias("total"), F.sum("docs").alias("docs"), F.max("level").alias("level"))
-    total, docs, level = known.first()
+    total, level = sources.agg(F.sum("source_size").alias("total"), F.max("level").alias("level")).first()
     if not total:
         return None
     copies = placed.filter("size > 0").select("rank", "place", "doc_id", "size", F.explode(finishes).alias("f"))
@@ -180,19 +187,28 @@ def _bound(placed: DataFrame, finishes: Column, sources: DataFrame) -> Column |
         if reached >= total or left.isEmpty():
             break
         horizon *= 2
-    parts = max(1, -(-docs // SLOT_ROWS))
-    slot = F.floor(F.col("finish") / F.lit(horizon) * parts).cast("long")
-    totals = near.groupBy(slot.alias("slot")).agg(F.sum("size").alias("total"))
-    upto = F.sum("total").over(Window.orderBy("slot"))
-    last = totals.select("slot", (upto - F.col("total")).alias("before"), upto.alias("upto")).filter(
-        F.col("before") < total
-    )
-    crossing = last.orderBy(F.desc("slot")).first()
+    # The range in which the budget ends is cut into slots, and the slot in which it
+    # ends again, until what is left to put in order is small.
     names = ["finish", "rank", "round", "place", "doc_id", "size"]
-    inside = near.filter(slot == crossing.slot).withColumn("upto", F.sum("size").over(Window.orderBy(*names)))
-    taken = inside.filter(F.col("upto") + crossing.before <= total).agg(F.max(F.struct(*names)).alias("last")).first().last
+    low, high, before = 0.0, horizon, 0
+    while True:
+        here = near.filter(F.col("finish").between(low, high))
+        slot = F.least(F.floor((F.col("finish") - low) / F.lit((high - low) / SLOTS)), F.lit(SLOTS - 1))
+        totals = here.groupBy(slot.alias("slot")).agg(
+            F.sum("size").alias("total"), F.count(F.lit(1)).alias("n"), F.min("finish").alias("low"), F.max("finish").alias("high")
+        )
+        for crossing in sorted(totals.collect()):
+            if before + crossing.total >= total:
+                break
+            before += crossing.total
+        low, high = crossing.low, crossing.high
+        if crossing.n <= SLOT_ROWS or low == high:
+            break
+    inside = near.filter(F.col("finish").between(low, high))
+    inside = inside.withColumn("upto", F.sum("size").over(Window.orderBy(*names)))
+    taken = inside.filter(F.col("upto") + before <= total).agg(F.max(F.struct(*names)).alias("last")).first().last
     if taken is None:
-        earlier = near.filter(slot < crossing.slot).agg(F.max(F.struct(*names)).alias("last")).first().last
+        earlier = near.filter(F.col("finish") < low).agg(F.max(F.struct(*names)).alias("last")).first().last
         if earlier is None:
             return None
         taken = earlier

@@ -16,7 +16,7 @@ FROM f
 MIXING = r"""
 WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-           ('0x' || substr(md5(concat_ws(':', 'mix', doc_id::VARCHAR)), 1, 15))::BIGINT AS place
+           ('0x' || substr(md5(concat_ws(':', 'mix', doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 15))::BIGINT AS place
     FROM documents
 ), totals AS (
     SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
