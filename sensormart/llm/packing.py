@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from sensormart.llm.common import slices, text_or_empty, tokenizer_path
-from sensormart.llm.pieces import IdEncoder
+from sensormart.llm.pieces import IdEncoder, worker_encoder
 
 #: Bits of a sequence id: bucket, partition, number within both.
 _PARTITION_BITS, _SLOT_BITS = 22, 36
@@ -50,8 +50,10 @@ def pack_documents(
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = IdEncoder(tokenizer_path(tokenizer))
+        encoder = worker_encoder(IdEncoder, tokenizer_path(tokenizer))
         partition = TaskContext.get().partitionId()
+        if partition >> _PARTITION_BITS:
+            raise ValueError("too many partitions for sequence ids; repartition the documents")
         used = [0] * max_tokens.bit_length()
         for batch in batches:
             for part in slices(batch, "text"):

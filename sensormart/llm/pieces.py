@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import sys
 from collections.abc import Iterable
 
 import numpy as np
@@ -22,9 +23,14 @@ SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _PIECES = re.compile(f"[{SPACES}]?[^{SPACES}]+|[{SPACES}]+(?=[{SPACES}][^{SPACES}])|[{SPACES}]+")
 #: In front of a key: encode the piece as it stands, without a space before it.
 _AS_IS = "\0"
-#: Entries of one of the two generations of a worker's cache.
-ROOM = 600_000
-_CUT = ".,;:!?"
+#: Bytes of a worker's cache, about, in two generations; longer pieces are not kept.
+ROOM = 192 << 20
+KEPT = 40
+#: What an entry takes beside its piece and its value.
+_ENTRY = 120
+_CUT = frozenset(".,;:!?")
+#: Letters below it are Latin.
+_LATIN = "ɐ"
 
 
 @functools.cache
@@ -80,17 +86,29 @@ def is_plain(key: str) -> bool:
     return bool(body) and not body[0].isspace() and not body[-1].isspace()
 
 
+class _Generation(dict):
+    """Values by piece; pieces looked up in vain are noted, in order."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.missed: list[str] = []
+
+    def __missing__(self, key: str) -> None:
+        self.missed.append(key)
+
+
 class PieceEncoder:
     """Values made of the ids of whole texts; subclasses say which.
 
-    ``known`` holds values by piece that all workers share.
+    ``known`` holds values by piece that all workers share. ``room`` bounds the
+    bytes of the cache, whatever the pieces look like.
     """
 
     def __init__(self, path: str, known: dict | None = None, room: int = ROOM) -> None:
         self.tokenizer = load_tokenizer(path)
         self.first, self.last = word_ends(path)
         self.known, self.room = known or {}, room
-        self.new: dict = {}
+        self.new, self.size = _Generation(), 0
         self.old: dict = {}
         self.marks = {mark: self.one(self._library([mark])[0]) for mark in _CUT}
         self.nothing = self.join([])
@@ -108,20 +126,43 @@ class PieceEncoder:
         raise NotImplementedError
 
     def encode(self, texts: list[str]) -> list:
-        keys = [self._keys(text) for text in texts]
-        wanted = set().union(*(k for k in keys if k is not None))
-        rough = self._learn(wanted)
-        if rough:
-            keys = [
-                careful_keys(text) if k is not None and not rough.isdisjoint(k) else k
-                for k, text in zip(keys, texts, strict=True)
-            ]
-            self._learn(set().union(*(k for k in keys if k is not None)), exact=True)
-        found = self.new.__getitem__
-        return [
-            self.one(self._library([text])[0]) if k is None else self.join(map(found, k))
-            for k, text in zip(keys, texts, strict=True)
+        if self.size > self.room // 2:
+            self.old, self.new, self.size = self.new, _Generation(), 0
+        new, missed = self.new, self.new.missed
+        missed.clear()
+        look = new.__getitem__
+        found: list[list | None] = []
+        ends = []
+        for text in texts:
+            keys = self._keys(text)
+            found.append(None if keys is None else list(map(look, keys)))
+            ends.append(len(missed))
+        # Only a copy of the list is safe from further look-ups.
+        asked = missed.copy()
+        rough = self._learn(set(asked)) if asked else set()
+        careful = {}
+        start = 0
+        for n, end in enumerate(ends):
+            if start < end:
+                if rough and not rough.isdisjoint(asked[start:end]):
+                    careful[n] = careful_keys(texts[n])
+                else:
+                    values, at = found[n], -1
+                    for key in asked[start:end]:
+                        at = values.index(None, at + 1)
+                        values[at] = new[key]
+            start = end
+        if careful:
+            self._learn(set().union(*careful.values()).difference(new), exact=True)
+            for n, keys in careful.items():
+                found[n] = list(map(look, keys))
+        result = [
+            self.one(self._library([text])[0]) if values is None else self.join(values)
+            for text, values in zip(texts, found, strict=True)
         ]
+        for key in [key for key in {*asked, *(k for keys in careful.values() for k in keys)} if len(key) > KEPT]:
+            new.pop(key, None)
+        return result
 
     def _keys(self, text: str) -> list[str] | None:
         return None if "<|" in text or _AS_IS in text else keys_of(text)
@@ -131,36 +172,35 @@ class PieceEncoder:
 
         ``exact``: the keys come from ``careful_keys`` and complete an earlier call.
         """
-        if not exact and len(self.new) + len(wanted) > self.room and self.new:
-            self.old, self.new = self.new, {}
-        new, old, known = self.new, self.old, self.known
-        words, marked, others, rough = set(), [], [], set()
-        for key in wanted.difference(new):
-            value = known.get(key) if known else None
-            if value is None:
-                value = old.get(key)
-            if value is not None:
-                new[key] = value
-                continue
-            if key.isalpha():
-                words.add(key)
-            elif key[-1:] in _CUT and key[:-1].isalpha() and _is_latin(key[:-1]):
-                marked.append(key)
-            elif key == _AS_IS:
+        before = set(wanted)
+        new = self.new
+        for shared in (self.known, self.old):
+            hits = shared.keys() & wanted
+            new.update((key, shared[key]) for key in hits)
+            wanted -= hits
+        words = [key for key in wanted if key.isalpha() and (key.isascii() or max(key) < _LATIN)]
+        rest = wanted.difference(words)
+        # A mark after a letter is always a token of its own.
+        marked = [
+            key
+            for key in rest
+            if key and key[-1] in _CUT and key[:-1].isalpha() and (key.isascii() or max(key) < _LATIN)
+        ]
+        rest.difference_update(marked)
+        others, rough = [], set()
+        for key in rest:
+            if key == _AS_IS:
                 new[key] = self.nothing
-            elif not exact and not is_plain(key):
-                rough.add(key)
-            else:
+            elif exact or key.isalpha() or is_plain(key):
                 others.append(key)
-        # A mark after a letter is always a token of its own.
-        bases = {key[:-1] for key in marked}.difference(new)
-        for key in bases:
-            if key in old:
-                new[key] = old[key]
             else:
-                words.add(key)
-        others += [key for key in words if not _is_latin(key)]
-        words = [key for key in words if _is_latin(key)]
+                rough.add(key)
+        bases = {key[:-1] for key in marked}.difference(new, words)
+        for shared in (self.known, self.old):
+            hits = shared.keys() & bases
+            new.update((key, shared[key]) for key in hits)
+            bases -= hits
+        words += bases
         for start in range(0, len(words), 1024):
             part = words[start : start + 1024]
             values = self._words(part)
@@ -174,6 +214,8 @@ class PieceEncoder:
                 new[key] = self.one(ids)
         for key in marked:
             new[key] = self.join((new[key[:-1]], self.marks[key[-1]]))
+        kept = [key for key in before if len(key) <= KEPT and key in new]
+        self.size += sum(map(sys.getsizeof, kept)) + sum(sys.getsizeof(new[key]) for key in kept) + _ENTRY * len(kept)
         return rough
 
     def _words(self, words: list[str]) -> list | None:
@@ -194,19 +236,26 @@ class PieceEncoder:
         return [np.array(e.ids, "<u4") for e in encoded]
 
 
-def _is_latin(word: str) -> bool:
-    return word.isascii() or max(word) < "ɐ"
-
-
 def _piece(key: str) -> str:
     if key[0] == _AS_IS:
         return key[1:]
     return key if key[0] == "\n" else " " + key
 
 
+@functools.cache
+def worker_encoder(kind: type[PieceEncoder], path: str) -> PieceEncoder:
+    """The encoder of this worker process: its cache outlives a task, not the process."""
+    return kind(path)
+
+
 class IdEncoder(PieceEncoder):
     """The ids themselves, as 16-bit numbers in bytes; the vocabulary must fit."""
 
+    def __init__(self, path: str, known: dict | None = None, room: int = ROOM) -> None:
+        if max(load_tokenizer(path).get_vocab(with_added_tokens=True).values()) >= 1 << 16:
+            raise ValueError(f"{path} has ids beyond 16 bits")
+        super().__init__(path, known, room)
+
     def cut(self, ids, starts):
         data = ids.astype("<u2").tobytes()
         ends = [*starts[1:], len(ids)]

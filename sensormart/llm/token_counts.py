@@ -10,31 +10,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensormart.llm.common import slices, text_or_empty, tokenizer_path
-from sensormart.llm.pieces import CountEncoder, keys_of, load_tokenizer
+from sensormart.llm.pieces import CountEncoder, keys_of, load_tokenizer, worker_encoder
 
-#: What the table of frequent pieces is made from: this many texts, so much of each.
-#: The table only saves work; every text is counted whole with or without it.
-SAMPLE_TEXTS = 1_000
-SAMPLE_CHARS = 4_000
-#: Entries of the table.
+#: Entries of the table of frequent pieces.
 TABLE = 32_768
+#: Counters that a task keeps at most while it looks for frequent pieces.
+COUNTERS = 8 * TABLE
 
 
-def frequent_lengths(docs: DataFrame, tokenizer: str, texts: int = SAMPLE_TEXTS) -> tuple[str, bytes]:
-    """The most frequent pieces of a few texts and their token counts, packed.
+def frequent_pieces(docs: DataFrame, most: int = TABLE) -> list[str]:
+    """The most frequent words of all texts, by partial counts of the map tasks.
 
-    At most ``TABLE`` pieces: their text joined by NUL, and one byte for each.
+    A task counts in a bounded table: when it is full, the rarer half is dropped.
+    It passes on its ``most`` most frequent words, and only these are added up, so
+    no piece of a text is shuffled. Which words come out affects the work that is
+    saved and never a token count.
     """
-    rows = docs.select(F.substring(text_or_empty(), 1, SAMPLE_CHARS).alias("text")).limit(texts)
-    seen: Counter = Counter()
-    for row in rows.collect():
-        if "\0" not in row.text and "<|" not in row.text:
-            # The last piece may be cut, the first has no space in front of it.
-            seen.update(k for k in keys_of(row.text)[1:-1] if k.isalpha())
-    pieces = [piece for piece, _ in seen.most_common(TABLE)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for text in part.column("text").to_pylist():
+                    if "\0" not in text and "<|" not in text:
+                        # The first piece has no space in front of it.
+                        seen.update(keys_of(text)[1:])
+                if len(seen) > COUNTERS:
+                    seen = Counter(dict(seen.most_common(COUNTERS // 2)))
+        kept = [(piece, n) for piece, n in seen.most_common(2 * most) if piece.isalpha()][:most]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p for p, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["piece", "n"]
+        )
+
+    counted = docs.select(text_or_empty().alias("text")).mapInArrow(count, "piece string, n long")
+    top = counted.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(most)
+    return [row.piece for row in top.collect()]
+
+
+def frequent_lengths(docs: DataFrame, tokenizer: str) -> tuple[str, bytes]:
+    """The frequent pieces and their token counts, packed: at most ``TABLE`` words of one byte each beside the text."""
+    pieces = frequent_pieces(docs)
     library = load_tokenizer(tokenizer_path(tokenizer))
-    counts = [library.encode(" " + p, add_special_tokens=False).ids for p in pieces]
-    kept = [(p, len(ids)) for p, ids in zip(pieces, counts, strict=True) if len(ids) < 256]
+    encoded = library.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)
+    kept = [(p, len(e.ids)) for p, e in zip(pieces, encoded, strict=True) if len(e.ids) < 256]
     return "\0".join(p for p, _ in kept), bytes(n for _, n in kept)
 
 
@@ -42,7 +60,8 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
     """Token counts of every whole text, without any shuffle.
 
     Returns doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
-    The first tier is a broadcast table of frequent pieces, bounded by ``TABLE``;
+    The first tier is a broadcast table of the pieces that are frequent in all
+    texts, bounded by ``TABLE``;
     what it lacks is encoded by the tokenizers library and kept in a bounded
     cache of the worker. A null text counts as empty: 0 bytes, 0 tokens. Null
     and repeated doc_ids keep a row each; other columns are not read. An empty
@@ -55,7 +74,8 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, lengths = tier.value
         known = dict(zip(pieces.split("\0"), lengths, strict=True)) if lengths else {}
-        encoder = CountEncoder(tokenizer_path(tokenizer), known)
+        encoder = worker_encoder(CountEncoder, tokenizer_path(tokenizer))
+        encoder.known = known
         for batch in batches:
             for part in slices(batch, "text"):
                 counts = encoder.encode(part.column("text").to_pylist())

@@ -26,12 +26,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensormart.llm.common import open_store, slices, text_or_empty, tokenizer_path
-from sensormart.llm.pieces import IdEncoder
+from sensormart.llm.pieces import IdEncoder, worker_encoder
 from sensormart.session import materialise, scratch_path
 
 BLOCK = 1024
 #: Blocks encoded and written, or read and decoded, at a time.
 GROUP = 512
+#: Ids and documents of a file, about.
+FILE_IDS, FILE_DOCS = 1 << 25, 1 << 20
 MAGIC = b"PFB1"
 _LANES = 16
 _TRAILER = struct.Struct("<QQQ4s")
@@ -189,11 +191,13 @@ def write_token_files(
 ) -> DataFrame:
     """Encode whole texts and write them in ascending doc_id order.
 
-    Documents are range-partitioned by doc_id and sorted inside partitions, so
+    Documents are range-partitioned by doc_id and a hash of the text, which splits
+    an id (or the null id) that many rows share, and sorted inside partitions, so
     the files, taken by ``shard``, hold all documents in order; null ids come
-    first, equal ids in any order. A block's width fits its ids up to
-    ``percentile``, the rest become exceptions. Returns the written manifest:
-    shard, path, n_docs, n_tokens. A file whose task failed is in no manifest. A
+    first, equal ids in the order of the hash. A file ends at ``FILE_IDS`` ids or
+    ``FILE_DOCS`` documents. A block's width fits its ids up to ``percentile``, the
+    rest become exceptions. Returns the written manifest: shard, path, n_docs,
+    n_tokens. A file whose task failed is in no manifest. A
     null text is empty and gets the end id alone. An empty table gives no file.
     The folder is new under the shared scratch folder unless given.
     """
@@ -201,25 +205,33 @@ def write_token_files(
     narrow = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = IdEncoder(tokenizer_path(tokenizer))
-        shard, writer = TaskContext.get().partitionId(), None
+        encoder = worker_encoder(IdEncoder, tokenizer_path(tokenizer))
+        # Shards count on inside a partition.
+        shard, writer = TaskContext.get().partitionId() << 20, None
+        store, root = open_store(folder)
         for batch in batches:
             for part in slices(batch, "text"):
-                if writer is None:
-                    store, root = open_store(folder)
-                    store.create_dir(root, recursive=True)
-                    name = f"shard-{shard:06d}-{uuid.uuid4().hex}.pfb"
-                    writer = FileWriter(store.open_output_stream(f"{root}/{name}", compression=None), percentile)
                 texts = encoder.encode(part.column("text").to_pylist())
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), texts, strict=True):
+                    if writer is None:
+                        store.create_dir(root, recursive=True)
+                        name = f"shard-{shard:012d}-{uuid.uuid4().hex}.pfb"
+                        writer = FileWriter(store.open_output_stream(f"{root}/{name}", compression=None), percentile)
                     writer.add(doc_id, np.append(np.frombuffer(ids, "<u2").astype(np.uint32), np.uint32(end_id)))
+                    if writer.ids >= FILE_IDS or len(writer.docs) >= FILE_DOCS:
+                        yield closed(writer, shard, name)
+                        shard, writer = shard + 1, None
         if writer is not None:
-            writer.close()
-            yield pa.RecordBatch.from_pylist(
-                [{"shard": shard, "path": f"{folder}/{name}", "n_docs": len(writer.docs), "n_tokens": writer.ids}]
-            )
+            yield closed(writer, shard, name)
 
-    ordered = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    def closed(writer: FileWriter, shard: int, name: str) -> pa.RecordBatch:
+        writer.close()
+        return pa.RecordBatch.from_pylist(
+            [{"shard": shard, "path": f"{folder}/{name}", "n_docs": len(writer.docs), "n_tokens": writer.ids}]
+        )
+
+    keys = ["doc_id", "_hash"]
+    ordered = narrow.withColumn("_hash", F.xxhash64("text")).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_hash")
     manifest = ordered.mapInArrow(write, "shard long, path string, n_docs long, n_tokens long")
     return materialise(manifest, "token-manifest")
 

@@ -56,3 +56,24 @@ def test_tables(spark, sf_dir):
     odd = spark.createDataFrame([(*r, 1, "x") for r in odd], "doc_id long, text string, shard int, path string")
     _check(odd)
     _check(odd.limit(0))
+
+
+def test_hot_ids_are_split_and_files_end(spark, monkeypatch):
+    """A third of the rows without an id, a third under one: several files, all in order."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text number {i} " * 5) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(token_files, "FILE_DOCS", 50)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_token_files(docs)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = manifest.collect()
+    assert max(f.n_docs for f in files) <= 50 and len({f.shard >> 20 for f in files}) >= 6
+    read = sorted(token_files.read_token_files(manifest).collect(), key=lambda r: r.start)
+    ids = [r.doc_id for r in read]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i))
+    assert [r.start for r in read] == [0, *np.cumsum([r.n_tokens for r in read])[:-1].tolist()]
+    tokenizer = load_tokenizer(tokenizer_path("byte_bpe_50k.json"))
+    expected = [(d, np.array(tokenizer.encode(t, add_special_tokens=False).ids + [2], "<u4").tobytes()) for d, t in rows]
+    assert sorted(map(str, expected)) == sorted(str((r.doc_id, bytes(r.ids))) for r in read)

@@ -78,3 +78,16 @@ def test_counts(odd_docs, spark, sf_dir):
 def test_empty_tables(odd_docs):
     none = odd_docs.limit(0)
     assert count_tokens(none).collect() == [] and pack_documents(none).collect() == []
+
+
+def test_frequent_pieces_are_those_of_all_texts(spark, monkeypatch):
+    """Not those of the first texts or of their first characters."""
+    from sensormart.llm import token_counts
+
+    rows = [(i, f"first{chr(97 + i % 20)}a " + "the " * 5 + f" tail{chr(97 + i % 7)} last") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert token_counts.frequent_pieces(docs, 2) == ["the", "last"]
+    monkeypatch.setattr(token_counts, "COUNTERS", 4)
+    assert token_counts.frequent_pieces(docs, 1) == ["the"]
+    packed, lengths = token_counts.frequent_lengths(docs, "byte_bpe_50k.json")
+    assert len(packed.split("\0")) == len(lengths)
