@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensormart.llm.common import few_rows, slices, text_or_empty
+from sensormart.llm.common import slices, text_or_empty
 from sensormart.session import materialise
 
 THRESHOLD = 400
@@ -114,18 +114,21 @@ def find_runs(data: np.ndarray, threshold: int = THRESHOLD, anchor: int = ANCHOR
 
 
 def block_hashes(
-    windows: Windows, n: int, first: int, number: int, distance: int, threshold: int
+    windows: Windows, n: int, first: np.ndarray, number: np.ndarray, distance: np.ndarray, threshold: int
 ) -> tuple[np.ndarray, ...]:
-    """Blocks of a run: index, first and last suffix, hash of what all share, of what all cover, whether that fits."""
-    at = first + distance
+    """Blocks of runs: run, index, first and last suffix, hash of what all share, of what all cover, whether that fits."""
     near = distance - number + 1
-    index = np.arange(near // BLOCK, distance // BLOCK + 1)
-    low, high = np.maximum(near, BLOCK * index), np.minimum(distance, BLOCK * index + BLOCK - 1)
+    least = near // BLOCK
+    counts = distance // BLOCK + 1 - least
+    run = np.repeat(np.arange(len(first)), counts)
+    index = np.arange(len(run)) - np.repeat(np.cumsum(counts) - counts, counts) + least[run]
+    at = (first + distance)[run]
+    low, high = np.maximum(near[run], BLOCK * index), np.minimum(distance[run], BLOCK * index + BLOCK - 1)
     last_start, first_start = at - BLOCK * index, at - BLOCK * index - BLOCK + 1
     fits = (first_start >= 0) & (last_start + threshold <= n)
     inner = windows.hashes(last_start, first_start + threshold, 1)
     outer = windows.hashes(np.maximum(first_start, 0), np.minimum(last_start + threshold, n), 1)
-    return index, at - high, at - low, inner.view(np.int64), outer.view(np.int64), fits
+    return run, index, at - high, at - low, inner.view(np.int64), outer.view(np.int64), fits
 
 
 # -- passes ------------------------------------------------------------------
@@ -183,32 +186,44 @@ def _judged(rows: DataFrame, key: list[str], part: list[str], spot: Column, name
     )
 
 
+def _lists(batch: pa.RecordBatch, column: str) -> list[dict[str, np.ndarray]]:
+    """For each row, the fields of a list of structs as arrays; a null list is empty."""
+    lists = batch.column(column)
+    ends = np.cumsum(pa.compute.list_value_length(lists).fill_null(0).to_numpy())
+    flat = lists.flatten()
+    fields = {f.name: v.to_numpy(zero_copy_only=False) for f, v in zip(flat.type, flat.flatten(), strict=True)}
+    starts = ends - np.diff(ends, prepend=0)
+    return [{name: v[s:e] for name, v in fields.items()} for s, e in zip(starts, ends, strict=True)]
+
+
+def _texts_of(batch: pa.RecordBatch, most: int = 64) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, most):
+        yield batch.slice(start, most)
+
+
 def _blocks(texts: DataFrame, threshold: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "n_bytes", "anchor", "at", "index", "low", "high", "inner", "outer"]
         for batch in batches:
-            rows = [[] for _ in names]
-            for row in few_rows(batch):
-                windows = Windows(_unpacked(row["packed"]))
-                for run in row["runs"]:
-                    if not run["compared"]:
-                        continue
-                    index, low, high, inner, outer, fits = block_hashes(
-                        windows, row["n_bytes"], run["first"], run["number"], run["distance"], threshold
+            for part in _texts_of(batch):
+                columns, known = [[] for _ in names], []
+                keys, sizes = part.column("key").to_pylist(), part.column("n_bytes").to_pylist()
+                for key, n_bytes, packed, runs in zip(keys, sizes, part.column("packed").to_pylist(), _lists(part, "runs"), strict=True):
+                    runs = {name: values[runs["compared"]] for name, values in runs.items()}
+                    run, index, low, high, inner, outer, fits = block_hashes(
+                        Windows(_unpacked(packed)), n_bytes, runs["first"], runs["number"], runs["distance"], threshold
                     )
-                    n, at = len(index), run["first"] + run["distance"]
-                    fixed = [[row["key"]] * n, [row["n_bytes"]] * n, [run["anchor"]] * n, [at] * n]
-                    known = [h if ok else None for h, ok in zip(outer.tolist(), fits.tolist(), strict=True)]
-                    for column, values in zip(
-                        rows, (*fixed, index.tolist(), low.tolist(), high.tolist(), inner.tolist(), known), strict=True
-                    ):
-                        column.extend(values)
-                if len(rows[0]) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names)
-                    rows = [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names)
-
-    return texts.mapInArrow(
+                    n, at = len(run), (runs["first"] + runs["distance"])[run]
+                    values = (np.full(n, key), np.full(n, n_bytes), runs["anchor"][run], at, index, low, high, inner, outer)
+                    for column, more in zip(columns, values, strict=True):
+                        column.append(more)
+                    known.append(fits)
+                arrays = [pa.array(np.concatenate([*c, np.zeros(0, np.int64)]), pa.int64()) for c in columns]
+                if known:
+                    arrays[-1] = pa.array(np.concatenate(columns[-1]), pa.int64(), mask=~np.concatenate(known))
+                yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return texts.select("key", "n_bytes", "packed", "runs").mapInArrow(
         cut, "key long, n_bytes long, anchor long, at long, index long, low long, high long, inner long, outer long"
     )
 
@@ -217,21 +232,21 @@ def _suffixes(texts: DataFrame, threshold: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "n_bytes", "anchor", "distance", "start", "hash_a", "hash_b"]
         for batch in batches:
-            for row in few_rows(batch):
-                windows = Windows(_unpacked(row["packed"]))
-                spans = row["blocks"]
-                counts = np.array([b["high"] - b["low"] + 1 for b in spans])
-                starts = np.concatenate([np.arange(b["low"], b["high"] + 1) for b in spans])
-                order = np.argsort(starts, kind="stable")
-                anchors = np.repeat([b["anchor"] for b in spans], counts)[order]
-                ats = np.repeat([b["at"] for b in spans], counts)[order]
-                starts = starts[order]
-                hashes = [windows.hashes(starts, starts + threshold, base).view(np.int64) for base in (0, 1)]
-                n = len(starts)
-                columns = [np.full(n, row["key"]), np.full(n, row["n_bytes"]), anchors, ats - starts, starts, *hashes]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
-
-    return texts.mapInArrow(
+            for part in _texts_of(batch):
+                keys, sizes = part.column("key").to_pylist(), part.column("n_bytes").to_pylist()
+                for key, n_bytes, packed, spans in zip(keys, sizes, part.column("packed").to_pylist(), _lists(part, "blocks"), strict=True):
+                    windows, low = Windows(_unpacked(packed)), spans["low"]
+                    counts = spans["high"] - low + 1
+                    block = np.repeat(np.arange(len(low)), counts)
+                    starts = np.arange(len(block)) - np.repeat(np.cumsum(counts) - counts, counts) + low[block]
+                    order = np.argsort(starts, kind="stable")
+                    block, starts = block[order], starts[order]
+                    hashes = [windows.hashes(starts, starts + threshold, base).view(np.int64) for base in (0, 1)]
+                    n, anchors = len(starts), spans["anchor"][block]
+                    columns = [np.full(n, key), np.full(n, n_bytes), anchors, spans["at"][block] - starts, starts, *hashes]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+    return texts.select("key", "n_bytes", "packed", "blocks").mapInArrow(
         cut, "key long, n_bytes long, anchor long, distance long, start long, hash_a long, hash_b long"
     )
 
@@ -276,24 +291,29 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _cut_texts(texts: DataFrame, threshold: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row in few_rows(batch):
-                found = [(r["first"], r["first"] + r["number"] - 1) for r in row["runs"] if r["repeated"]]
-                found += [(s["low"], s["high"]) for s in row["found"] or []]
-                if not found:
-                    continue
-                low, high = np.array(found).T
-                starts, ends = merged(low, high + threshold)
-                data, kept, place = zstandard.decompress(row["packed"]), hashlib.sha256(), 0
-                for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
-                    kept.update(data[place:start])
-                    place = end
-                kept.update(data[place:])
-                spans = [{"start": s, "end": e} for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-                out.append({"key": row["key"], "n_bytes": row["n_bytes"], "spans": spans, "kept_sha256": kept.hexdigest()})
-            yield pa.RecordBatch.from_pylist(out, _CUT)
-
-    return texts.mapInArrow(cut, "key long, n_bytes long, spans array<struct<start: long, end: long>>, kept_sha256 string")
+            for part in _texts_of(batch):
+                out = []
+                keys, sizes, packed = (part.column(c).to_pylist() for c in ("key", "n_bytes", "packed"))
+                for key, n_bytes, data, runs, found in zip(
+                    keys, sizes, packed, _lists(part, "runs"), _lists(part, "found"), strict=True
+                ):
+                    whole = runs["repeated"]
+                    low = np.concatenate([runs["first"][whole], found["low"]])
+                    if not len(low):
+                        continue
+                    high = np.concatenate([(runs["first"] + runs["number"] - 1)[whole], found["high"]])
+                    starts, ends = merged(low, high + threshold)
+                    text, kept, place = zstandard.decompress(data), hashlib.sha256(), 0
+                    for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
+                        kept.update(text[place:start])
+                        place = end
+                    kept.update(text[place:])
+                    spans = [{"start": s, "end": e} for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+                    out.append({"key": key, "n_bytes": n_bytes, "spans": spans, "kept_sha256": kept.hexdigest()})
+                yield pa.RecordBatch.from_pylist(out, _CUT)
+
+    chosen = texts.select("key", "n_bytes", "packed", "runs", "found")
+    return chosen.mapInArrow(cut, "key long, n_bytes long, spans array<struct<start: long, end: long>>, kept_sha256 string")
 
 
 _CUT = pa.schema(
@@ -343,14 +363,21 @@ def _first_sort(docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame,
     )
     texts = materialise(texts.filter(F.col("n_bytes") >= threshold), "texts")
     runs = materialise(_runs(named.filter(F.octet_length("text") >= threshold), threshold), "runs")
-    spans, touched = _sort(texts, runs, lambda asked: _packed(docs, asked, threshold), threshold)
+    spans, touched = _sort(texts, runs, lambda asked: _packed(docs, asked, threshold), threshold, True)
     return spans, texts, touched
 
 
 def _sort(
-    texts: DataFrame, runs: DataFrame, fetch: Callable[[DataFrame], DataFrame], threshold: int
+    texts: DataFrame,
+    runs: DataFrame,
+    fetch: Callable[[DataFrame], DataFrame],
+    threshold: int,
+    repeated_texts: bool = False,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """The spans of ``texts`` by all digits; ``fetch`` brings the compressed texts of those asked for."""
+    """The spans of ``texts`` by all digits; ``fetch`` brings the compressed texts of those asked for.
+
+    ``repeated_texts``: the runs of a text are listed once for each of its copies.
+    """
     copied = texts.filter("copies > 1").select(
         "key",
         "n_bytes",
@@ -362,7 +389,11 @@ def _sort(
     anchors = materialise(_twice(runs, ["anchor"], spot), "anchors")
     if anchors.isEmpty():
         return materialise(copied, "spans"), None
-    together = materialise(runs.join(anchors, "anchor").distinct(), "runs-together")
+    # Copies of a text are dropped after the join and by themselves: a join that deals rows for
+    # the step after it cannot be split where one anchor is in very many texts.
+    together = materialise(runs.join(anchors, "anchor"), "runs-together")
+    if repeated_texts:
+        together = materialise(together.distinct(), "distinct-runs")
     # Second digit.
     run_key = ["anchor", "distance", "number", "whole"]
     judged = _judged(together, run_key, ["anchor"], spot, "whole-runs")
