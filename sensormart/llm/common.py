@@ -50,12 +50,6 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         yield batch.slice(start)
 
 
-def few_rows(batch: pa.RecordBatch, most: int = 16) -> Iterator[dict]:
-    """The rows of a batch as Python values, a few at a time: nested lists take much room."""
-    for start in range(0, batch.num_rows, most):
-        yield from batch.slice(start, most).to_pylist()
-
-
 def open_store(uri: str):
     """The file system and path behind a folder of the shared scratch space."""
     from pyarrow import fs

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensormart.llm.common import few_rows
 from sensormart.llm.components import connected_components
 from sensormart.session import materialise
 
@@ -281,36 +278,56 @@ def _build(shards: DataFrame) -> DataFrame:
     )
 
 
-def _compare(pairs: DataFrame) -> DataFrame:
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in few_rows(batch, 1):
-                sides = []
-                for side in (row, {k: row[f"other_{k}"] for k in ("nodes", "copies", "vectors")}):
-                    nodes, copies = (np.frombuffer(side[k], "<i8") for k in ("nodes", "copies"))
-                    sides.append((nodes, copies, np.frombuffer(side["vectors"], "<f8").reshape(len(nodes), -1)))
-                (nodes, copies, exact), (others, other_copies, queries) = sides
-                graph = Graph.unpack(exact.astype(np.float32), row["graph"], row["entry"])
-                same = row["shard"] == row["other_shard"]
-                found = linked(graph, exact, queries, same)
-                parts = [(others, found @ copies)]
-                if not same:
-                    parts.append((nodes, found.T @ other_copies))
-                linking = found.any(axis=1)
-                if same:
-                    # Row i and column i are one vector: tied, or pairs, paths and stars would fall apart.
-                    np.fill_diagonal(found, True)
-                query_roots, vector_roots = roots(found)
-                query_roots[~linking] = -1
-                parts = [(*part, root) for part, root in zip(parts, (query_roots, vector_roots), strict=False)]
-                for ids, links, root in parts:
-                    kept = np.flatnonzero(root >= 0)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[kept]), pa.array(links[kept].astype(np.int64)), pa.array(others[root[kept]])],
-                        ["node", "links", "root"],
-                    )
-
-    return pairs.mapInArrow(compare, "node long, links long, root long")
+def _compare(sides: DataFrame) -> DataFrame:
+    """Links of each pair of shards (rows of one label, size, shard and other_shard; ``asked`` tells which asks)."""
+
+    def compare(group: pa.Table) -> pa.Table:
+        rows = {row["asked"]: row for row in group.to_pylist()}
+        asked = rows[False]
+        same = asked["shard"] == asked["other_shard"]
+        sides = []
+        for side in (asked, rows.get(True, asked)):
+            nodes, copies = (np.frombuffer(side[k], "<i8") for k in ("nodes", "copies"))
+            sides.append((nodes, copies, np.frombuffer(side["vectors"], "<f8").reshape(len(nodes), -1)))
+        (nodes, copies, exact), (others, other_copies, queries) = sides
+        graph = Graph.unpack(exact.astype(np.float32), asked["graph"], asked["entry"])
+        found = linked(graph, exact, queries, same)
+        query, vector = np.nonzero(found)
+        parts = [(others, np.bincount(query, copies[vector], len(others)))]
+        if not same:
+            parts.append((nodes, np.bincount(vector, other_copies[query], len(nodes))))
+        linking = found.any(axis=1)
+        if same:
+            # Row i and column i are one vector: tied, or pairs, paths and stars would fall apart.
+            np.fill_diagonal(found, True)
+        query_roots, vector_roots = roots(found)
+        query_roots[~linking] = -1
+        columns = [[], [], []]
+        for (ids, links), root in zip(parts, (query_roots, vector_roots), strict=False):
+            kept = np.flatnonzero(root >= 0)
+            for column, values in zip(columns, (ids[kept], links[kept], others[root[kept]]), strict=True):
+                column.append(values.astype(np.int64))
+        return pa.table({n: np.concatenate(c) for n, c in zip(("node", "links", "root"), columns, strict=True)})
+
+    return sides.groupBy("label", "size", "shard", "other_shard").applyInArrow(compare, "node long, links long, root long")
+
+
+def _sides(shards: DataFrame) -> DataFrame:
+    """Both shards of every pair to be compared, under the pair's key, so that pairs of one label spread.
+
+    The pairs are listed by number first; a shard against itself has one row.
+    """
+    numbers = shards.select("label", "size", "shard")
+    later = numbers.withColumnRenamed("shard", "other_shard")
+    pairs = materialise(numbers.join(later, ["label", "size"]).filter("shard <= other_shard"), "shard-pairs")
+    payload = ["nodes", "copies", "vectors", "graph", "entry"]
+    columns = ["label", "size", "shard", "other_shard"]
+    asked = shards.join(pairs, ["label", "size", "shard"]).select(*columns, *payload, F.lit(False).alias("asked"))
+    # The asking side needs no graph.
+    bare = [F.lit(None).cast(kind).alias(name) for name, kind in (("graph", "binary"), ("entry", "long"))]
+    asking = shards.drop("graph", "entry").withColumnRenamed("shard", "other_shard")
+    asking = asking.join(pairs.filter("shard < other_shard"), ["label", "size", "other_shard"])
+    return asked.unionByName(asking.select(*columns, *payload[:3], *bare, F.lit(True).alias("asked")))
 
 
 def near_vectors(vectors: DataFrame) -> DataFrame:
@@ -318,7 +335,9 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
 
     Equal vectors are one class. Classes of a label are dealt into shards of about
     ``SHARD``; each shard gets a graph, stored as a row, and every shard is asked
-    for all classes of its own and of later shards, in blocks of one shard.
+    for all classes of its own and of later shards, in blocks of one shard. Each
+    pair of shards is a group of its own, so those of one large label run side by
+    side; their number grows with the square of the label's shards.
 
     Returns vec_id, n_links (other vectors linked directly), component_id (the
     smallest vec_id reachable, itself included), kept (vec_id = component_id).
@@ -340,11 +359,7 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     counts = materialise(counts, "label-sizes")
     dealt = sized.join(counts, ["label", "size"]).withColumn("shard", F.pmod(F.xxhash64("node"), F.col("shards")))
     shards = materialise(_build(dealt.select("label", "size", "shard", "node", "copies", "embedding")), "shard-graphs")
-    asked = shards.select(
-        "label", "size", *[F.col(c).alias(f"other_{c}") for c in ("shard", "nodes", "copies", "vectors")]
-    )
-    pairs = shards.join(asked, ["label", "size"]).filter("shard <= other_shard")
-    found = materialise(_compare(pairs), "vector-links")
+    found = materialise(_compare(_sides(shards)), "vector-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     components = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     known = classes.join(links, "node", "left").join(components, "node", "left")

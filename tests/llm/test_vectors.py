@@ -3,6 +3,7 @@
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sensormart.llm import vectors
 from sensormart.llm.oracles import VECTORS
@@ -118,3 +119,23 @@ def test_hot_cluster_does_not_hide_lost_links(share):
     exact, queries = vectors._unit(data), vectors._unit(data + rng.normal(size=data.shape) * 0.005)
     found = vectors.linked(_Narrow(exact, hot), exact, queries, False)
     assert (found == (queries @ exact.T >= vectors.COSINE)).all()
+
+
+def test_pairs_of_one_label_spread(spark, monkeypatch):
+    """Ten shards of one label: every pair once, dealt over many tasks, links as by brute force."""
+    monkeypatch.setattr(vectors, "SHARD", 20)
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(90, 16))
+    data = np.concatenate([base, base + rng.normal(size=base.shape) * 0.03, base[:15]])
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(data)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    _check(table)
+    shards = spark.createDataFrame(
+        [(1, 16, n, b"", b"", b"", b"", 0) for n in range(10)],
+        "label int, size int, shard long, nodes binary, copies binary, vectors binary, graph binary, entry long",
+    )
+    keys = ["label", "size", "shard", "other_shard"]
+    dealt = vectors._sides(shards).repartition(16, *keys).withColumn("task", F.spark_partition_id()).collect()
+    pairs = {(r.shard, r.other_shard): r.task for r in dealt}
+    assert set(pairs) == {(i, j) for i in range(10) for j in range(i, 10)} and len(dealt) == 100
+    assert len(set(pairs.values())) > 10
