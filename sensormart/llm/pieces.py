@@ -11,9 +11,11 @@ special tokens or NUL characters are handed to the library whole.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 import sys
+from collections import deque
 from collections.abc import Iterable
 
 import numpy as np
@@ -24,7 +26,7 @@ _PIECES = re.compile(f"[{SPACES}]?[^{SPACES}]+|[{SPACES}]+(?=[{SPACES}][^{SPACES
 #: In front of a key: encode the piece as it stands, without a space before it.
 _AS_IS = "\0"
 #: Bytes of a worker's cache, about, in two generations; longer pieces are not kept.
-ROOM = 192 << 20
+ROOM = 384 << 20
 KEPT = 40
 #: What an entry takes beside its piece and its value.
 _ENTRY = 120
@@ -87,7 +89,7 @@ def is_plain(key: str) -> bool:
 
 
 class _Generation(dict):
-    """Values by piece; pieces looked up in vain are noted, in order."""
+    """Values by piece. A piece looked up in vain is noted once and holds None until it is learnt."""
 
     def __init__(self) -> None:
         super().__init__()
@@ -95,6 +97,7 @@ class _Generation(dict):
 
     def __missing__(self, key: str) -> None:
         self.missed.append(key)
+        self[key] = None
 
 
 class PieceEncoder:
@@ -110,6 +113,7 @@ class PieceEncoder:
         self.known, self.room = known or {}, room
         self.new, self.size = _Generation(), 0
         self.old: dict = {}
+        self.passing: list[str] = []
         self.marks = {mark: self.one(self._library([mark])[0]) for mark in _CUT}
         self.nothing = self.join([])
 
@@ -128,56 +132,45 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list:
         if self.size > self.room // 2:
             self.old, self.new, self.size = self.new, _Generation(), 0
-        new, missed = self.new, self.new.missed
-        missed.clear()
-        look = new.__getitem__
-        found: list[list | None] = []
-        ends = []
-        for text in texts:
-            keys = self._keys(text)
-            found.append(None if keys is None else list(map(look, keys)))
-            ends.append(len(missed))
-        # Only a copy of the list is safe from further look-ups.
-        asked = missed.copy()
-        rough = self._learn(set(asked)) if asked else set()
-        careful = {}
-        start = 0
-        for n, end in enumerate(ends):
-            if start < end:
-                if rough and not rough.isdisjoint(asked[start:end]):
-                    careful[n] = careful_keys(texts[n])
-                else:
-                    values, at = found[n], -1
-                    for key in asked[start:end]:
-                        at = values.index(None, at + 1)
-                        values[at] = new[key]
-            start = end
-        if careful:
-            self._learn(set().union(*careful.values()).difference(new), exact=True)
-            for n, keys in careful.items():
-                found[n] = list(map(look, keys))
-        result = [
-            self.one(self._library([text])[0]) if values is None else self.join(values)
-            for text, values in zip(texts, found, strict=True)
-        ]
-        for key in [key for key in {*asked, *(k for keys in careful.values() for k in keys)} if len(key) > KEPT]:
-            new.pop(key, None)
-        return result
+        new = self.new
+        try:
+            keys = [self._keys(text) for text in texts]
+            rough = self._learn(keys)
+            if rough:
+                for n, own in enumerate(keys):
+                    if own is not None and not rough.isdisjoint(own):
+                        keys[n] = careful_keys(texts[n])
+                self._learn(keys, exact=True)
+            look = new.__getitem__
+            return [
+                self.one(self._library([text])[0]) if own is None else self.join(map(look, own))
+                for text, own in zip(texts, keys, strict=True)
+            ]
+        except BaseException:
+            # Nothing half learnt stays behind.
+            self.new, self.size = _Generation(), 0
+            raise
+        finally:
+            for key in self.passing:
+                new.pop(key, None)
+            self.passing = []
 
     def _keys(self, text: str) -> list[str] | None:
         return None if "<|" in text or _AS_IS in text else keys_of(text)
 
-    def _learn(self, wanted: set[str], exact: bool = False) -> set[str]:
-        """Bring the values of all keys into ``new``; return those cut wrongly.
+    def _learn(self, texts: list[list[str] | None], exact: bool = False) -> set[str]:
+        """Bring the values of all keys of the texts into ``new``; return those cut wrongly.
 
-        ``exact``: the keys come from ``careful_keys`` and complete an earlier call.
+        ``exact``: some keys come from ``careful_keys``, and all are to be encoded as they are.
         """
-        before = set(wanted)
-        new = self.new
-        for shared in (self.known, self.old):
-            hits = shared.keys() & wanted
-            new.update((key, shared[key]) for key in hits)
-            wanted -= hits
+        new, look = self.new, self.new.__getitem__
+        new.missed = []
+        for keys in texts:
+            if keys is not None:
+                deque(map(look, keys), maxlen=0)
+        wanted = set(new.missed)
+        self.passing += [key for key in wanted if len(key) > KEPT]
+        wanted -= self._shared(wanted)
         words = [key for key in wanted if key.isalpha() and (key.isascii() or max(key) < _LATIN)]
         rest = wanted.difference(words)
         # A mark after a letter is always a token of its own.
@@ -195,29 +188,36 @@ class PieceEncoder:
                 others.append(key)
             else:
                 rough.add(key)
-        bases = {key[:-1] for key in marked}.difference(new, words)
-        for shared in (self.known, self.old):
-            hits = shared.keys() & bases
-            new.update((key, shared[key]) for key in hits)
-            bases -= hits
-        words += bases
+        bases = {key[:-1] for key in marked}.difference(new)
+        words += bases.difference(self._shared(bases))
         for start in range(0, len(words), 1024):
             part = words[start : start + 1024]
             values = self._words(part)
             if values is None:
                 others += part
             else:
-                new.update(zip(part, values, strict=True))
+                self._keep(part, values)
         for start in range(0, len(others), 1024):
             part = others[start : start + 1024]
-            for key, ids in zip(part, self._library([_piece(k) for k in part]), strict=True):
-                new[key] = self.one(ids)
-        for key in marked:
-            new[key] = self.join((new[key[:-1]], self.marks[key[-1]]))
-        kept = [key for key in before if len(key) <= KEPT and key in new]
-        self.size += sum(map(sys.getsizeof, kept)) + sum(sys.getsizeof(new[key]) for key in kept) + _ENTRY * len(kept)
+            self._keep(part, list(map(self.one, self._library([_piece(k) for k in part]))))
+        self._keep(marked, [self.join((new[key[:-1]], self.marks[key[-1]])) for key in marked])
+        for key in rough:
+            del new[key]
         return rough
 
+    def _shared(self, wanted: set[str]) -> set[str]:
+        """Take over what is known to all workers or from the generation before."""
+        taken = set()
+        for shared in (self.known, self.old):
+            hits = shared.keys() & wanted
+            self._keep(list(hits), [shared[key] for key in hits])
+            taken |= hits
+        return taken
+
+    def _keep(self, keys: list[str], values: list) -> None:
+        self.new.update(zip(keys, values, strict=True))
+        self.size += sum(map(sys.getsizeof, keys)) + sum(map(sys.getsizeof, values)) + _ENTRY * len(keys)
+
     def _words(self, words: list[str]) -> list | None:
         """The values of words of Latin letters, encoded as one text.
 
@@ -258,8 +258,8 @@ class IdEncoder(PieceEncoder):
 
     def cut(self, ids, starts):
         data = ids.astype("<u2").tobytes()
-        ends = [*starts[1:], len(ids)]
-        return [data[2 * s : 2 * e] for s, e in zip(starts, ends, strict=True)]
+        places = (2 * np.append(starts, len(ids))).tolist()
+        return [data[s:e] for s, e in itertools.pairwise(places)]
 
     def one(self, ids):
         return ids.astype("<u2").tobytes()
