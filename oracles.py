@@ -113,6 +113,36 @@ docs AS (
   FROM flat GROUP BY doc_id, location, country)"""
 
 
+# Sums of doubles that do not depend on their order: whole numbers in bins of eight exponents.
+TREND = """, binned AS (
+  SELECT f.*, CASE WHEN isfinite(f.value) AND f.value <> 0
+      THEN greatest(CAST(floor((log2(abs(f.value)) + 1e-9) / 8) AS INTEGER), -121) END AS k
+  FROM facts f),
+hours AS (
+  SELECT p.parameter_name, b.unit, t."year", t."month", t."day", t."hour", b.value, b.k,
+    CAST(CAST(b.value * pow(2.0::DOUBLE, 53 - 8 * b.k) AS BIGINT) AS HUGEINT) AS whole
+  FROM binned b JOIN parameter p ON p.parameter_id = b.parameter_id
+  JOIN clock t ON t.time_id = b.time_id),
+parts AS (
+  SELECT parameter_name, unit, "year", "month", "day", "hour", k, sum(whole) AS s,
+    ((sum(whole) % 1073741824) + 1073741824) % 1073741824 AS low
+  FROM hours WHERE k IS NOT NULL GROUP BY ALL),
+totals AS (
+  SELECT parameter_name, unit, "year", "month", "day", "hour",
+    sum((CAST(CAST((s - low) // 1073741824 AS BIGINT) AS DOUBLE) * 1073741824::DOUBLE + CAST(low AS DOUBLE))
+        * pow(2.0::DOUBLE, 8 * k - 53) ORDER BY k DESC) AS total
+  FROM parts GROUP BY ALL),
+counted AS (
+  SELECT parameter_name, unit, "year", "month", "day", "hour", count(*) AS readings,
+    count(*) FILTER (isfinite(value)) AS finite, min(value) AS min_value, max(value) AS max_value
+  FROM hours GROUP BY ALL)
+SELECT c.parameter_name, c.unit, c."year", c."month", c."day", c."hour", c.readings,
+  CASE WHEN c.finite > 0 THEN coalesce(x.total, 0) / c.finite END AS avg_value, c.min_value, c.max_value
+FROM counted c LEFT JOIN totals x ON x.parameter_name = c.parameter_name AND x.unit IS NOT DISTINCT FROM c.unit
+  AND x."year" = c."year" AND x."month" = c."month" AND x."day" = c."day" AND x."hour" = c."hour"
+"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
@@ -236,13 +266,8 @@ def all_queries() -> dict[str, str]:
             WHERE parameter_id IS NOT NULL AND parameter_id NOT IN (SELECT parameter_id FROM parameter)
           UNION ALL SELECT 'air_quality_measurements', 'time_id resolves', count(*) FROM facts
             WHERE time_id IS NOT NULL AND time_id NOT IN (SELECT time_id FROM tim)""",
-        "trend_by_hour": _STAR
-        + """SELECT p.parameter_name, f.unit, t."year", t."month", t."day", t."hour",
-            count(*) AS readings,
-            CAST(printf('%.9e', avg(f.value) FILTER (isfinite(f.value))) AS DOUBLE) AS avg_value,
-            min(f.value) AS min_value, max(f.value) AS max_value
-          FROM facts f JOIN parameter p ON p.parameter_id = f.parameter_id
-          JOIN clock t ON t.time_id = f.time_id GROUP BY ALL""",
+        "trend_by_hour": _STAR + TREND,
+        "trend_maintained": _STAR + TREND,
         "containment_new_docs": _RAW
         + """, variant(suffix) AS (VALUES ('-v0'), ('-v1'), ('-v2')),
           heads AS (SELECT DISTINCT doc_id || suffix AS doc_id, user_id FROM flat, variant),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Protocol
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -15,10 +17,11 @@ from sensormart.operators import (
     unusable_reason,
 )
 from sensormart.operators.integrity import dangling_ids, repeated_keys
+from sensormart.plans.serving import hourly_sums
 from sensormart.plans.star import DIMENSIONS, for_each_dimension
-from sensormart.schemas import FACT_TABLE, ID_COLUMNS, NATURAL_KEYS
+from sensormart.schemas import FACT_TABLE, ID_COLUMNS, NATURAL_KEYS, STAR, TIME_TABLE
 from sensormart.session import materialise, scratch
-from sensormart.sources.store import RAW_TABLE, REJECT_TABLE, REPLACED_TABLE, StarStore
+from sensormart.sources.store import HOURLY_TABLE, RAW_TABLE, REJECT_TABLE, REPLACED_TABLE, StarStore
 
 
 class IntegrityError(ValueError):
@@ -72,6 +75,7 @@ def load_pending(store: StarStore) -> dict[str, int | float | None]:
         store.write(FACT_TABLE, step, facts.sortWithinPartitions("month", "time_id", "location_id"))
         _refuse_faults(store, step, documents)
         _replace_older(store, step, keys.get["least"], keys.get["greatest"])
+        store.write(HOURLY_TABLE, step, _sums_of(store, step))
 
         counts = {**flat_counts.get, **clean_counts.get, **seen}
         if counts["unusable"]:
@@ -80,6 +84,44 @@ def load_pending(store: StarStore) -> dict[str, int | float | None]:
         return counts
 
 
+class StarTarget(Protocol):
+    """Star tables that lie elsewhere, see ``sources.jdbc.JdbcStar``."""
+
+    def keys(self, table: str) -> DataFrame:
+        """Natural keys and ids of a dimension as stored."""
+
+    def append(self, table: str, rows: DataFrame) -> None:
+        """Add rows to a dimension."""
+
+    def merge_facts(self, facts: DataFrame) -> None:
+        """Add facts, replacing those with the same key."""
+
+
+def load_into(target: StarTarget, documents: DataFrame) -> dict[str, int]:
+    """Load documents (with distinct ids) into star tables that lie elsewhere.
+
+    A dimension's rows are settled, with their ids, before any is appended, and
+    facts come last. So a load that failed can be repeated: what it has appended
+    is found by its natural keys, and facts are merged. Returns the new rows of
+    each dimension.
+    """
+    with scratch():
+        clean = clean_measurements(documents)
+
+        def resolve(table: str, extract) -> tuple[DataFrame, int]:
+            stored = materialise(target.keys(table), "stored-keys")
+            keys, id_column = NATURAL_KEYS[table], ID_COLUMNS[table]
+            resolved = materialise(resolve_ids(extract(clean), stored, keys, id_column, new_flag="is_new"), "resolved")
+            new = resolved.filter("is_new").drop("is_new")
+            target.append(table, new.select(*[f.name for f in STAR[table].fields]))
+            return resolved, new.count()
+
+        loaded = for_each_dimension(resolve)
+        usable = settled_readings(documents).filter(F.col("latest") & unusable_reason().isNull())
+        target.merge_facts(build_facts(usable, *[resolved for resolved, _ in loaded.values()]))
+        return {table: new for table, (_, new) in loaded.items()}
+
+
 def _load_dimension(
     store: StarStore, table: str, rows: DataFrame, step: str
 ) -> tuple[DataFrame, dict[str, int]]:
@@ -95,6 +137,12 @@ def _load_dimension(
     return resolved, found.get
 
 
+def _sums_of(store: StarStore, step: str) -> DataFrame:
+    """What the step adds to the trend: its facts, once more, by their times."""
+    times = store.visible(TIME_TABLE).unionByName(store.read(TIME_TABLE, [step]))
+    return hourly_sums(store.read(FACT_TABLE, [step]), times)
+
+
 def _refuse_faults(store: StarStore, step: str, documents: DataFrame) -> None:
     """Publish the step's faults as rejects and raise, if there are any."""
     faults = materialise(_faults(store, step, documents), "faults")

@@ -30,6 +30,8 @@ RAW_TABLE = "raw_data"
 REJECT_TABLE = "rejects"
 #: Facts that a later step has replaced.
 REPLACED_TABLE = "replaced_facts"
+#: What a load adds to the trend, see ``plans.serving``.
+HOURLY_TABLE = "hourly_sums"
 PUBLISHED = "published"
 
 RAW_STORED = StructType(
@@ -45,9 +47,25 @@ RAW_STORED = StructType(
 )
 FACT_STORED = StructType([*FACT.fields, StructField("month", IntegerType(), True)])
 REJECTED = StructType().add("raw", StringType()).add("reject_reason", StringType())
+HOURLY = StructType(
+    [
+        StructField("parameter_id", LongType(), True),
+        StructField("unit", StringType(), True),
+        *[StructField(c, IntegerType(), True) for c in ("year", "month", "day", "hour", "bin")],
+        *[StructField(c, LongType(), True) for c in ("n", "finite", "high", "low")],
+        *[StructField(c, DoubleType(), True) for c in ("least", "greatest")],
+    ]
+)
 REPLACED = StructType().add("measurement_id", StringType()).add("replaced_step", StringType())
 
-SCHEMAS = {**STAR, FACT_TABLE: FACT_STORED, RAW_TABLE: RAW_STORED, REJECT_TABLE: REJECTED, REPLACED_TABLE: REPLACED}
+SCHEMAS = {
+    **STAR,
+    FACT_TABLE: FACT_STORED,
+    RAW_TABLE: RAW_STORED,
+    REJECT_TABLE: REJECTED,
+    REPLACED_TABLE: REPLACED,
+    HOURLY_TABLE: HOURLY,
+}
 #: Folders inside a step's folder: the history by station, facts by month.
 FOLDERS = {RAW_TABLE: ["bucket"], FACT_TABLE: ["month"]}
 #: A note: has the step landed documents, which landings has it loaded, its range of fact keys,
@@ -147,7 +165,7 @@ class StarStore:
         if table == RAW_TABLE:
             done = self.loaded_steps().distinct().withColumn("_done", F.lit(True))
             rows = rows.join(done, "step", "left").withColumn("processed", F.coalesce("_done", "processed")).drop("_done")
-        if table == FACT_TABLE and self._exists(f"{self.root}/{REPLACED_TABLE}"):
+        if table == FACT_TABLE and self.has_replaced():
             replaced = self.visible(REPLACED_TABLE).select("measurement_id", F.col("replaced_step").alias("step"))
             rows = rows.join(replaced, ["measurement_id", "step"], "left_anti")
         return rows
@@ -156,5 +174,9 @@ class StarStore:
         """A table's rows, in the order of its columns."""
         return self.visible(table).select(*[f.name for f in SCHEMAS[table].fields])
 
+    def has_replaced(self) -> bool:
+        """Has a step replaced facts of an earlier one?"""
+        return self._exists(f"{self.root}/{REPLACED_TABLE}")
+
     def star(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in STAR}

@@ -1,6 +1,8 @@
+import math
 import random
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import document, documents, reading, rows_of
@@ -14,8 +16,8 @@ from sensormart.operators import (
     settled_readings,
     upsert_facts,
 )
-from sensormart.plans import fresh_star, trend_by_hour
-from sensormart.schemas import FACT, FACT_TABLE, LOCATION_TABLE, TIME_TABLE
+from sensormart.plans import fresh_star, hourly_sums, trend_by_hour, trend_of_sums
+from sensormart.schemas import FACT, FACT_TABLE, LOCATION_TABLE, PARAMETER, PARAMETER_TABLE, TIME, TIME_TABLE
 
 T = datetime(2024, 7, 1, 14)
 LATER = "2024-07-01T13:00:00Z"
@@ -138,6 +140,29 @@ def test_trend_of_very_large_and_small_values(spark):
     assert rows_of(trend, "parameter_name", "readings", "avg_value") == [("bc", 2, 2e21), ("no", 2, 2e-9)]
 
 
+def test_trend_sums_do_not_depend_on_order(spark):
+    """Values of all sizes and signs, whose plain sum changes with its order; merged in any portions."""
+    rng = random.Random(4)
+    values = [rng.uniform(-1, 1) * 2.0 ** rng.randrange(-60, 60) for _ in range(3000)]
+    values += [1e300, -1e300, 5e-324, -1e-300, 0.0, -0.0, 256.0, 65536.0, -1.0, 0.1, 0.2]
+    odd = [None, float("nan"), float("inf")]
+    facts = [(f"m{i}", 1, 4, 6, v, "x") for i, v in enumerate([*values, *odd])]
+    parameter = spark.createDataFrame([(4, "co")], PARAMETER)
+    time = spark.createDataFrame([(6, T, 2024, 7, 1, 14, 0, 0)], TIME)
+    star = {PARAMETER_TABLE: parameter, TIME_TABLE: time}
+    seen = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(facts)
+        table = spark.createDataFrame(facts, FACT).repartition(3 + seed)
+        (row,) = trend_by_hour({**star, FACT_TABLE: table}).collect()
+        parts = [hourly_sums(spark.createDataFrame(part, FACT), time) for part in (facts[:1000], facts[1000:])]
+        assert str(trend_of_sums(parts[0].unionByName(parts[1]), parameter).collect()) == str([row])
+        seen.add((row.readings, row.avg_value, row.min_value))
+    ((readings, average, least),) = seen
+    assert readings == len(facts) and least == -1e300
+    assert average == pytest.approx(math.fsum(values) / len(values), rel=1e-15)
+
+
 def test_hot_timestamp_is_split(spark, tmp_path):
     """One timestamp holds most readings; adaptive execution splits its partition."""
     settings = {

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import documents, document, reading, rows_of
 from sensormart import operators
-from sensormart.plans import IntegrityError, land_documents, load_pending, run_increment, trend_by_hour
+from sensormart.plans import IntegrityError, land_documents, load_pending, run_increment, stored_trend, trend_by_hour
 from sensormart.schemas import FACT_TABLE, LOCATION_TABLE, MESSAGE, PARAMETER_TABLE, TIME_TABLE
 from sensormart.sources import StarStore, read_message_files
 from sensormart.sources.store import RAW_TABLE, REJECT_TABLE, REPLACED_TABLE
@@ -125,6 +125,7 @@ def test_reloaded_keys_replace_stored_facts(spark, tmp_path):
     assert rows_of(store.table(FACT_TABLE), "measurement_id", "value") == [("a_co", 7.0), ("b_co", 2.0)]
     replaced = store.visible(REPLACED_TABLE)
     assert rows_of(replaced, "measurement_id", "replaced_step", "step") == [("a_co", "load-l1-l1", "load-l3-l3")]
+    assert rows_of(stored_trend(store), "parameter_name", "readings", "avg_value") == [("co", 2, 4.5)]
     land("l4", 8.0, "a")
     assert rows_of(store.table(FACT_TABLE), "measurement_id", "value") == [("a_co", 8.0), ("b_co", 2.0)]
 
@@ -231,6 +232,18 @@ def test_facts_of_a_month_are_read_alone(spark, tmp_path):
     assert trend_by_hour(star).count() == 4
 
 
+def test_the_trend_is_kept_with_each_load(spark, tmp_path):
+    store = StarStore(spark, str(tmp_path))
+    values = [0.1, 0.2, 0.3, 1e15, -1e15]
+    for n in range(2):
+        run_increment(store, _messages(spark, [_doc(f"s{n}{i}", reading("co", v)) for i, v in enumerate(values)]), f"b{n}")
+    trend = stored_trend(store)
+    assert FACT_TABLE not in " ".join(trend.inputFiles())
+    assert trend.collect() == trend_by_hour(store.star()).collect()
+    assert trend.first().readings == 10 and trend.first().avg_value == pytest.approx(0.12, abs=1e-3)
+    assert stored_trend(store, months=[(2023, 1)]).isEmpty() and stored_trend(store, months=[(2024, 7)]).count() == 1
+
+
 def test_increments_stay_alike(spark, tmp_path):
     """A later increment writes as many files as an earlier one."""
     store, written = StarStore(spark, str(tmp_path)), []

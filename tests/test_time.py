@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from sensormart import functions
 from sensormart.functions import epoch_seconds, local_wall_clock, utc_wall_clock, zoned_text
 
 # text -> clock in Paris
@@ -63,3 +64,18 @@ def test_other_zone(spark):
     frame = spark.createDataFrame([("2024-07-01T12:00:00+00:00",)], "t string")
     local = local_wall_clock(epoch_seconds(F.col("t")), "Asia/Tokyo").alias("x")
     assert frame.select(local).first().x == datetime(2024, 7, 1, 21, 0)
+
+
+def test_text_with_the_offset_of_a_zone(spark, session_zone):
+    """In any session zone: summer, winter, the hour that comes twice, zones behind UTC and with half hours."""
+    session_zone("Asia/Tokyo")
+    rows = [
+        ("2024-07-01T12:00:00Z", "Europe/Paris", "2024-07-01T14:00:00+02:00"),
+        ("2024-01-15T23:30:00Z", "Europe/Paris", "2024-01-16T00:30:00+01:00"),
+        ("2024-07-01T12:00:00Z", "America/St_Johns", "2024-07-01T09:30:00-02:30"),
+        ("2024-07-01T12:00:00Z", "Asia/Kolkata", "2024-07-01T17:30:00+05:30"),
+        ("2024-07-01T12:00:00Z", "UTC", "2024-07-01T12:00:00Z"),
+    ]
+    for text, zone, expected in rows:
+        local = functions.local_wall_clock(functions.epoch_seconds(F.lit(text)), zone)
+        assert spark.range(1).select(functions.zoned_text(local, zone)).first()[0] == expected
