@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from sensormart.llm.common import slices, text_or_empty, tokenizer_path
-from sensormart.llm.pieces import IdEncoder, worker_encoder
+from sensormart.llm.word_table import with_end, worker_table
 
 #: Bits of a sequence id: bucket, partition, number within both.
 _PARTITION_BITS, _SLOT_BITS = 22, 36
@@ -50,7 +49,7 @@ def pack_documents(
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(IdEncoder, tokenizer_path(tokenizer))
+        table = worker_table(tokenizer_path(tokenizer))
         partition = TaskContext.get().partitionId()
         if partition >> _PARTITION_BITS:
             raise ValueError("too many partitions for sequence ids; repartition the documents")
@@ -58,20 +57,21 @@ def pack_documents(
         for batch in batches:
             for part in slices(batch, "text"):
                 row, columns = [], [[] for _ in names]
-                for n, ids in enumerate(encoder.encode(part.column("text").to_pylist())):
-                    ids = np.frombuffer(ids, "<u2").astype("<u4").tobytes() + end_id.to_bytes(4, "little")
-                    total, start = len(ids) // 4, 0
+                ids, totals = with_end(*table.encode(part.column("text")), end_id)
+                data, at = ids.tobytes(), 0
+                for n, total in enumerate(totals.tolist()):
+                    start = 0
                     for length in binary_lengths(total, max_tokens):
                         bucket = length.bit_length() - 1
                         sequence = (bucket << _PARTITION_BITS | partition) << _SLOT_BITS | used[bucket]
                         used[bucket] += 1
-                        piece = ids[4 * start : 4 * (start + length)]
+                        piece = data[at : at + 4 * length]
                         for column, value in zip(
                             columns, (start, length, piece, total, bucket, sequence, 0), strict=True
                         ):
                             column.append(value)
                         row.append(n)
-                        start += length
+                        start, at = start + length, at + 4 * length
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").take(pa.array(row, pa.int64()))]
                     + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensormart.llm.common import open_store, slices, text_or_empty, tokenizer_path
-from sensormart.llm.pieces import IdEncoder, worker_encoder
+from sensormart.llm.word_table import split_ids, with_end, worker_table
 from sensormart.session import materialise, scratch_path
 
 BLOCK = 1024
@@ -205,19 +205,19 @@ def write_token_files(
     narrow = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(IdEncoder, tokenizer_path(tokenizer))
+        table = worker_table(tokenizer_path(tokenizer))
         # Shards count on inside a partition.
         shard, writer = TaskContext.get().partitionId() << 20, None
         store, root = open_store(folder)
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = encoder.encode(part.column("text").to_pylist())
+                texts = split_ids(*with_end(*table.encode(part.column("text")), end_id))
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), texts, strict=True):
                     if writer is None:
                         store.create_dir(root, recursive=True)
                         name = f"shard-{shard:012d}-{uuid.uuid4().hex}.pfb"
                         writer = FileWriter(store.open_output_stream(f"{root}/{name}", compression=None), percentile)
-                    writer.add(doc_id, np.append(np.frombuffer(ids, "<u2").astype(np.uint32), np.uint32(end_id)))
+                    writer.add(doc_id, ids)
                     if writer.ids >= FILE_IDS or len(writer.docs) >= FILE_DOCS:
                         yield closed(writer, shard, name)
                         shard, writer = shard + 1, None
