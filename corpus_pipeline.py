@@ -13,13 +13,21 @@ from sensormart.session import materialise
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules; the labels of the same folder say which text is trusted."""
+    """Documents that pass the rules; the labels of the same folder say which text is trusted.
+
+    A null or empty text fails them. Null and repeated ids are judged row by row; a
+    very long text is judged whole; an empty table gives no rows.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return judge_documents(docs, labels).filter("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates.
+
+    Documents without words belong to no group and stay. Of equal ids, null ones
+    included, one row stays where their texts are alike. No rows, no rows.
+    """
     return drop_near_duplicates(docs)
 
 
@@ -34,12 +42,16 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; those without words are not taken."""
+    """Documents as often as the mix takes them; those without words are not taken.
+
+    A null source is a source of its own; null and repeated ids are documents like
+    others, told apart by their texts. No rows, no rows.
+    """
     return take_mix(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of token ids."""
+    """Sequences of token ids, no piece across documents; a null text has its end id alone."""
     return pack_documents(docs)
 
 
