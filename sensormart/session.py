@@ -80,17 +80,17 @@ def scratch() -> Iterator[None]:
             files.delete(target, True)
 
 
-def materialise(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, spark: SparkSession | None = None, keep: bool = False) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and continue from the copy.
 
     Used where a result feeds several later steps, or where recomputing it could
     give other values (row slots after range sampling). Losing an executor then
     costs a re-read, not a recomputation. ``spark`` reads the copy in another
-    session than the one of ``df``.
+    session than the one of ``df``. ``keep``: a ``scratch`` block leaves the copy alone.
     """
     spark = spark or df.sparkSession
     path = scratch_path(spark, name)
-    if _written.get() is not None:
+    if _written.get() is not None and not keep:
         _written.get().append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
