@@ -9,7 +9,7 @@ from sensormart.llm.mixing import take_mix
 from sensormart.llm.packing import pack_documents
 from sensormart.llm.quality import judge_documents
 from sensormart.llm.suffixes import PASSAGE, remove_repeats
-from sensormart.session import materialise
+from sensormart.session import materialise, scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,8 +68,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each one's rows written and read again for the next."""
+    """All stages over documents, each one's rows written and read again for the next.
+
+    What a stage has written on the way is removed once its rows are written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch():
+            docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"), keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
