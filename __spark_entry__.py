@@ -72,7 +72,7 @@ def message_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is put aside, by region: messages cut short, without a station, with a bad reading.
 
     Where the first reading's value is no number, only that reading is lost; a
-    document that has no other goes as a whole. ``readings``: of the documents kept.
+    document that has no other goes as a whole. ``readings``: of the documents kept, else 0.
     """
     docs = fixtures.documents(spark, sf_dir)
     nameless = docs.withColumn("location", F.when(F.col("country") != "EUROPE", F.col("location")))
@@ -88,7 +88,7 @@ def message_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         rejects.select("reject_reason", F.lit(None).cast("int").alias("n"))
         .unionByName(kept)
         .groupBy("reject_reason")
-        .agg(F.count(F.lit(1)).alias("messages"), F.sum("n").alias("readings"))
+        .agg(F.count(F.lit(1)).alias("messages"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("readings"))
     )
 
 

@@ -169,7 +169,7 @@ def all_queries() -> dict[str, str]:
             FROM docs
             UNION ALL SELECT 'badly typed reading', NULL FROM docs WHERE country = 'AFRICA' AND n > 1)
           SELECT reject_reason, count(*) AS messages,
-            CAST(sum(kept) FILTER (reject_reason = 'accepted') AS BIGINT) AS readings
+            CAST(coalesce(sum(kept) FILTER (reject_reason = 'accepted'), 0) AS BIGINT) AS readings
           FROM told GROUP BY reject_reason""",
         "stored_documents": _RAW + f"SELECT doc_id, {_PLAIN} FROM flat",
         "latest_page": _DOCS
