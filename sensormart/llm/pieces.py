@@ -26,7 +26,7 @@ _PIECES = re.compile(f"[{SPACES}]?[^{SPACES}]+|[{SPACES}]+(?=[{SPACES}][^{SPACES
 #: In front of a key: encode the piece as it stands, without a space before it.
 _AS_IS = "\0"
 #: Bytes of a worker's cache, about, in two generations; longer pieces are not kept.
-ROOM = 384 << 20
+ROOM = 192 << 20
 KEPT = 40
 #: What an entry takes beside its piece and its value.
 _ENTRY = 120

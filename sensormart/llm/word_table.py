@@ -19,8 +19,9 @@ from sensormart.llm.pieces import _AS_IS, IdEncoder, _Generation
 
 #: Bytes of a word that is kept, in eights.
 LONGEST = 40
-#: Words in the table; beyond it, the table starts anew.
-MOST_WORDS = 1 << 21
+#: Words in the table; beyond it, the table starts anew. Its arrays then hold some 60 MB, and they
+#: stay in the worker while it runs other tasks; so do so many bytes of pieces of odd texts.
+MOST_WORDS, ROOM = 1 << 20, 32 << 20
 #: What stands in front of a word: the text's start, a space, a line feed.
 _START, _SPACE, _LINE = 0, 1, 2
 _FRONT = (_AS_IS, "", "\n")
@@ -39,7 +40,7 @@ class WordTable:
     """Ids of texts by a table of words that lives as long as the worker."""
 
     def __init__(self, path: str) -> None:
-        self.words, self.texts = IdEncoder(path), IdEncoder(path)
+        self.words, self.texts = IdEncoder(path), IdEncoder(path, room=ROOM)
         self._clear(16)
 
     def _clear(self, bits: int) -> None:
