@@ -47,14 +47,14 @@ def _land(store: StarStore, parsed: DataFrame, batch: str) -> dict[str, int]:
         first = documents.groupBy("content", apart.alias("_apart")).agg(F.min("place").alias("place"))
         first = materialise(first.select("place"), "first-places")
         documents = documents.join(first, "place", "left_semi")
-        known = contained_contents(documents, store.visible(RAW_TABLE))
+        new = documents
+        if store.has_landed():
+            new = documents.join(contained_contents(documents, store.visible(RAW_TABLE)), "content", "left_anti")
         # The id follows from batch and content: a repeated batch gets the same ids. The batch
         # comes first, so the keys of a batch lie together.
         tail = F.when(F.col("content_size") == 0, F.concat(F.lit("-"), F.col("place")))
         oid = F.concat(F.lit(f"{batch}-"), F.col("content"), F.coalesce(tail, F.lit("")))
-        new = documents.join(known, "content", "left_anti").withColumns(
-            {"_id": F.struct(oid.alias("oid")), "processed": F.lit(False)}
-        )
+        new = new.withColumns({"_id": F.struct(oid.alias("oid")), "processed": F.lit(False)})
         # Rebalancing keeps a bucket's rows together and splits a bucket that is too large.
         # It is counted after that: adaptive execution drops what lies below an empty shuffle.
         store.write(RAW_TABLE, step, new.hint("rebalance", "bucket").observe(kept, F.count(F.lit(1)).alias("new")))

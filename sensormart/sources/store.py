@@ -119,6 +119,10 @@ class StarStore:
         """What every step has counted: ``step``, ``name``, ``value``."""
         return self.notes().select("step", F.explode("counts").alias("name", "value"))
 
+    def has_landed(self) -> bool:
+        """Is there a history at all?"""
+        return not self.notes().filter("lands").isEmpty()
+
     def loaded_steps(self) -> DataFrame:
         """The landings that are loaded (``step``)."""
         return self.notes().select(F.explode("loads").alias("step"))
