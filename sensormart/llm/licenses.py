@@ -36,6 +36,16 @@ SENTENCES = {
     "redistribution and use in source and binary forms with or without modification": "bsd",
     "this is free and unencumbered software released into the public domain": "unlicense",
     "permission to use copy modify and or distribute this software for any purpose": "isc",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products": "bsd",
+    "you may not use this file except in compliance with the license": "apache",
+    "redistribute it and or modify it under the terms of the gnu general public license": "gpl",
+    "redistribute it and or modify it under the terms of the gnu lesser general public license": "lgpl",
+    "redistribute it and or modify it under the terms of the gnu affero general public license": "agpl",
+    "this source code form is subject to the terms of the mozilla public license": "mpl",
+    "made available under the terms of the eclipse public license": "epl",
+    "distributed under the boost software license version 1 0": "bsl",
+    "altered source versions must be plainly marked as such": "zlib",
+    "waived all copyright and related or neighboring rights": "cc0",
 }
 TAG = "spdx license identifier"
 # Families of identifiers, by their first part, that are permissive.

@@ -46,6 +46,46 @@ def test_texts(spark, sf_dir):
     assert rows[7].labels == "gpl,lgpl" and rows[12].labels == "" and rows[12].permissive is None
 
 
+def _labels_and_score(text):
+    """All phrases sought at every word, tags by a search of their own."""
+    words, evidence = _words(text), set()
+    for kind, phrases in (("name", licenses.BASE_PHRASES), ("name", licenses.NAMES), ("sentence", licenses.SENTENCES)):
+        for phrase, label in phrases.items():
+            own = phrase.split()
+            if any(words[i : i + len(own)] == own for i in range(len(words))):
+                evidence.add((kind, label))
+    for line in (text or "").splitlines():
+        for rest in re.split("(?i)spdx-license-identifier", line)[1:]:
+            found = licenses.postfix(rest.split(":", 1)[1]) if rest.lstrip().startswith(":") else None
+            evidence |= {("tag", label) for label in licenses.evaluate(found)[1]} if found else set()
+    left = 1.0
+    for kind, _ in sorted(evidence):
+        left *= licenses.DOUBT[kind]
+    return ",".join(sorted({label for _, label in evidence})), round(1 - left, 6)
+
+
+def test_labels_and_score(sf_dir):
+    import random
+
+    import pyarrow.parquet as pq
+
+    rng = random.Random(3)
+    phrases = [*licenses.BASE_PHRASES, *licenses.NAMES, *licenses.SENTENCES, "SPDX-License-Identifier: MIT OR (GPL-2.0-only AND ISC)"]
+    marks = [" ", ", ", "\n", " -- ", ". The ", " x "]
+    texts = [
+        "".join(rng.choice(marks) + (p.title() if rng.random() < 0.5 else p) for p in rng.sample(phrases, rng.randint(0, 5)))
+        for _ in range(400)
+    ]
+    texts += [" ".join(p.split()[:-1]) for p in phrases]  # cut short: another phrase, or none
+    texts += [t or "" for t in pq.read_table(f"{sf_dir}/documents.parquet").column("text").to_pylist()]
+    seen = set()
+    for text in texts:
+        found = licenses.scan_text(text)
+        assert (found["labels"], found["score"]) == _labels_and_score(text), text[:200]
+        seen |= set(found["labels"].split(","))
+    assert {"mit", "apache", "gpl", "lgpl", "agpl", "mpl", "epl", "bsl", "bsd", "isc", "zlib", "cc0", "unlicense", "cc-by"} <= seen
+
+
 def test_a_very_long_text_costs_in_proportion():
     import time
 
