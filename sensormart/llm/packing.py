@@ -9,7 +9,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from sensormart.llm.common import slices, text_or_empty, tokenizer_path
-from sensormart.llm.word_table import with_end, worker_table
+from sensormart.llm.word_table import give_back, with_end, worker_table
 
 #: Bits of a sequence id: bucket, partition, number within both.
 _PARTITION_BITS, _SLOT_BITS = 22, 36
@@ -77,6 +77,7 @@ def pack_documents(
                     + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                     ["doc_id", *names],
                 )
+        give_back()
 
     return narrow.mapInArrow(
         pack,

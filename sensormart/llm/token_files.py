@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensormart.llm.common import open_store, slices, text_or_empty, tokenizer_path
-from sensormart.llm.word_table import split_ids, with_end, worker_table
+from sensormart.llm.word_table import give_back, split_ids, with_end, worker_table
 from sensormart.session import materialise, scratch_path
 
 BLOCK = 1024
@@ -223,6 +223,7 @@ def write_token_files(
                         shard, writer = shard + 1, None
         if writer is not None:
             yield closed(writer, shard, name)
+        give_back()
 
     def closed(writer: FileWriter, shard: int, name: str) -> pa.RecordBatch:
         writer.close()
