@@ -18,7 +18,7 @@ from sensormart.operators import (
 )
 from sensormart.operators.integrity import dangling_ids, repeated_keys
 from sensormart.plans.serving import hourly_sums
-from sensormart.plans.star import DIMENSIONS, for_each_dimension
+from sensormart.plans.star import for_each_dimension
 from sensormart.schemas import FACT_TABLE, ID_COLUMNS, NATURAL_KEYS, STAR, TIME_TABLE
 from sensormart.session import materialise, scratch
 from sensormart.sources.store import HOURLY_TABLE, RAW_TABLE, REJECT_TABLE, REPLACED_TABLE, StarStore
