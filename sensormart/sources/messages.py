@@ -52,26 +52,52 @@ def _read_one(reading: Column) -> Column:
     )
 
 
-def _salvaged(broken: Column) -> dict[str, Column]:
-    """For texts that do not fit the schema as a whole: the document, reading by reading.
+def _settled(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``columns`` of ``rows``, each computed once a row.
 
-    NULL where the text is no JSON object, or its coordinates or measurements are of
-    another kind: such a text is lost as a whole.
+    A filter or projection takes over the expressions of the projection below it, once for
+    every use, which multiplies from step to step. A generated row keeps them apart.
     """
-    tree = F.when(broken, F.try_parse_json("raw"))
-    place, list_of = (F.try_variant_get(tree, f"$.{f}", "variant") for f in ("coordinates", "measurements"))
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return rows.select(F.explode_outer(F.array(row)).alias("_row")).select("_row.*")
+
+
+def _salvaged(parsed: DataFrame) -> DataFrame:
+    """Add to ``raw``, ``doc``, ``broken`` what is in texts that do not fit the schema as a whole.
+
+    ``saved`` is the document, ``kept`` its readings, ``bad`` the texts of those that are
+    badly typed. ``kept`` is NULL where the text is no JSON object, or its coordinates or
+    measurements are of another kind: such a text is lost as a whole.
+    """
+    known = {c: F.col(c) for c in ("raw", "doc", "broken")}
+    parsed = _settled(parsed, **known, tree=F.when(F.col("broken"), F.try_parse_json("raw")))
+    tree = F.col("tree")
+    parsed = _settled(
+        parsed,
+        **known,
+        whole=F.schema_of_variant(tree).startswith("OBJECT"),
+        place=F.try_variant_get(tree, "$.coordinates", "variant"),
+        list_of=F.try_variant_get(tree, "$.measurements", "variant"),
+        **{f: F.try_variant_get(tree, f"$.{f}", "string") for f in ("location", "city", "country")},
+    )
+    place, list_of = F.col("place"), F.col("list_of")
     parts = [F.try_variant_get(place, f"$.{f.name}", "variant") for f in COORDINATES.fields]
-    fits = F.schema_of_variant(tree).startswith("OBJECT") & (~_given(place) | F.schema_of_variant(place).startswith("OBJECT"))
+    fits = F.col("whole") & (~_given(place) | F.schema_of_variant(place).startswith("OBJECT"))
     for part in parts:
         fits = fits & (~_given(part) | _number(part).isNotNull())
     fits = fits & _given(list_of)
     readings = F.transform(F.try_variant_get(list_of, "$", "array<variant>"), _read_one)
     numbers = [_number(part).alias(f.name) for part, f in zip(parts, COORDINATES.fields)]
-    return {
-        "readings": F.when(fits, readings),
-        "coordinates": F.when(_given(place), F.struct(*numbers)),
-        **{f: F.try_variant_get(tree, f"$.{f}", "string") for f in ("location", "city", "country")},
-    }
+    coordinates = F.when(_given(place), F.struct(*numbers)).alias("coordinates")
+    saved = F.struct("location", "city", "country", coordinates)
+    parsed = _settled(parsed, **known, saved=saved, readings=F.when(F.col("broken") & fits, readings))
+    return _settled(
+        parsed,
+        **known,
+        saved=F.col("saved"),
+        kept=F.transform(F.filter("readings", lambda r: r["bad"].isNull()), lambda r: r["reading"]),
+        bad=F.filter(F.transform("readings", lambda r: r["bad"]), lambda text: text.isNotNull()),
+    )
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
@@ -84,24 +110,19 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     its badly typed readings go to ``bad_readings``, as text, and the others make up
     the document. If none is left, the whole document is put aside.
     """
-    text = F.col("value").cast("string")
-    parsed = messages.select(
-        text.alias("raw"),
-        F.from_json(text, _PARSED, {"columnNameOfCorruptRecord": _CORRUPT}).alias("doc"),
-    )
+    parsed = _settled(messages, raw=F.col("value").cast("string"))
+    options = {"columnNameOfCorruptRecord": _CORRUPT}
+    parsed = _settled(parsed, raw=F.col("raw"), doc=F.from_json("raw", _PARSED, options))
     broken = F.col("doc").isNull() | F.col(f"doc.{_CORRUPT}").isNotNull()
-    found = F.struct(*[column.alias(name) for name, column in _salvaged(broken).items()])
-    parsed = parsed.withColumn("saved", F.when(broken, found))
-    bad = F.filter(F.transform("saved.readings", lambda r: r["bad"]), lambda text: text.isNotNull())
-    kept = F.filter("saved.readings", lambda r: r["bad"].isNull())
-    parsed = parsed.withColumns({"_kept": F.transform(kept, lambda r: r["reading"]), "_bad": bad})
-    usable = broken & F.col("_kept").isNotNull() & ((F.size("_kept") > 0) | (F.size("_bad") == 0))
-    saved = {f: F.col(f"saved.{f}") for f in ("location", "city", "country", "coordinates")} | {"measurements": F.col("_kept")}
+    parsed = _salvaged(parsed.withColumn("broken", broken))
+    broken = F.col("broken")
+    usable = broken & F.col("kept").isNotNull() & ((F.size("kept") > 0) | (F.size("bad") == 0))
+    saved = {f: F.col(f"saved.{f}") for f in ("location", "city", "country", "coordinates")} | {"measurements": F.col("kept")}
     fields = {f.name: F.when(broken, F.when(usable, saved[f.name])).otherwise(F.col(f"doc.{f.name}")) for f in MESSAGE.fields}
     needed = F.array(*[F.lit(f.name) for f in MESSAGE.fields])
     missing = F.get(F.array_except(needed, F.json_object_keys("raw")), 0)
-    whole = F.when(broken & ~F.coalesce(usable, F.lit(False)), F.when(F.size("_bad") > 0, "badly typed readings").otherwise("malformed json"))
-    judged = parsed.select("raw", "_bad", missing.alias("_missing"), whole.alias("_whole"), *[c.alias(n) for n, c in fields.items()])
+    whole = F.when(broken & ~F.coalesce(usable, F.lit(False)), F.when(F.size("bad") > 0, "badly typed readings").otherwise("malformed json"))
+    judged = _settled(parsed, raw=F.col("raw"), _bad=F.col("bad"), _missing=missing, _whole=whole, **fields)
     reason = (
         F.when(F.col("_whole").isNotNull(), F.col("_whole"))
         .when(F.col("_missing").isNotNull(), F.concat(F.lit("missing "), F.col("_missing")))
@@ -119,11 +140,10 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 
 def rejects_of(parsed: DataFrame) -> DataFrame:
     """``raw`` and ``reject_reason`` of what ``parse_messages`` put aside: whole messages, single readings."""
-    whole = parsed.filter("reject_reason IS NOT NULL").select("raw", "reject_reason")
-    readings = parsed.filter("bad_readings IS NOT NULL").select(
-        F.explode_outer("bad_readings").alias("raw"), F.lit(BAD_READING).alias("reject_reason")
-    )
-    return whole.unionByName(readings)
+    whole = F.array(F.struct("raw", "reject_reason"))
+    readings = F.transform("bad_readings", lambda text: F.struct(text.alias("raw"), F.lit(BAD_READING).alias("reject_reason")))
+    found = F.when(F.col("reject_reason").isNotNull(), whole).otherwise(readings)
+    return parsed.select(F.explode(found).alias("_reject")).select("_reject.*")
 
 
 def decode_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -144,3 +144,12 @@ def test_stored_documents(spark, tmp_path):
     docs = documents(spark, [document("a", [reading()])])
     docs.write.parquet(str(tmp_path / "d"))
     assert rows_of(read_documents(spark, str(tmp_path / "d")), "_id.oid") == [("a",)]
+
+
+def test_a_message_is_parsed_once(spark, capsys):
+    """Filters on the reason must not carry the whole decoding along, once for every use."""
+    messages = spark.createDataFrame([(b"{}",)], "value binary")
+    for frame in decode_messages(messages):
+        frame.explain()
+        plan = capsys.readouterr().out
+        assert plan.count("from_json(") == 1 and plan.count("parse_json") <= 1
