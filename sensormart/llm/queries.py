@@ -13,7 +13,7 @@ from sensormart.llm.minhash import near_duplicates
 from sensormart.llm.mixing import mix_documents
 from sensormart.llm.oracles import CLUSTERS, MINHASH, MIXING, SEARCH, VECTORS, WARC
 from sensormart.llm.packing import pack_documents
-from sensormart.llm.quality import judge_documents
+from sensormart.llm.quality import document_verdicts
 from sensormart.llm.search import search
 from sensormart.llm.suffixes import PASSAGE, find_repeats
 from sensormart.llm.token_counts import count_tokens
@@ -35,7 +35,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row")
+    return document_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

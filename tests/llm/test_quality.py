@@ -133,3 +133,18 @@ def test_a_very_long_text(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = {r.doc_id: r for r in quality.judge_documents(docs, labels).collect()}
     assert rows[1].n_words == rows[1].n_repeat_words == 1_000_000 and rows[1].base_failed
+
+
+def test_every_label_counts(spark):
+    """Labels are neither sampled nor capped: more of a kind than the 20,000 used before."""
+    n = 20_050
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert quality.labelled(labels.unionByName(labels)).count() == n
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('w', id, ' x') AS text")
+    assert all(r == 0 for r in quality.fit_ratios(docs, quality.labelled(labels)))
+
+
+def test_verdicts_alone_are_the_same(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    whole = quality.judge_documents(docs, labels).drop("row")
+    assert sorted(map(str, quality.document_verdicts(docs, labels).collect())) == sorted(map(str, whole.collect()))
