@@ -45,11 +45,10 @@ def _land(store: StarStore, parsed: DataFrame, batch: str) -> dict[str, int]:
         # addresses and places are shuffled, and copies are combined before that.
         apart = F.when(F.col("content_size") == 0, F.col("place"))
         first = documents.groupBy("content", apart.alias("_apart")).agg(F.min("place").alias("place"))
-        first = materialise(first.select("place"), "first-places")
-        documents = documents.join(first, "place", "left_semi")
-        new = documents
         if store.has_landed():
-            new = documents.join(contained_contents(documents, store.visible(RAW_TABLE)), "content", "left_anti")
+            first = first.join(contained_contents(documents, store.visible(RAW_TABLE)), "content", "left_anti")
+        # What is new is settled by addresses and places, so documents move once to meet it.
+        new = documents.join(materialise(first.select("place"), "new-places"), "place", "left_semi")
         # The id follows from batch and content: a repeated batch gets the same ids. The batch
         # comes first, so the keys of a batch lie together.
         tail = F.when(F.col("content_size") == 0, F.concat(F.lit("-"), F.col("place")))

@@ -269,3 +269,20 @@ def test_dimension_without_new_rows_gets_no_folder(spark, tmp_path):
         run_increment(store, _messages(spark, [_doc("s", reading("co", float(n)))]), f"b{n}")
     written = {t: len(list((tmp_path / t).glob("step=*"))) for t in (PARAMETER_TABLE, FACT_TABLE)}
     assert written == {PARAMETER_TABLE: 1, FACT_TABLE: 3}
+
+
+def test_documents_move_once_to_meet_what_is_new(spark, tmp_path, monkeypatch):
+    """Repeats in the batch and in the history are settled by addresses, in one join with the documents."""
+    store, plans, write = StarStore(spark, str(tmp_path)), [], StarStore.write
+
+    def watched(self, table, step, rows):
+        if table == RAW_TABLE:
+            plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        write(self, table, step, rows)
+
+    monkeypatch.setattr(StarStore, "write", watched)
+    a, b = document("a", [reading("co")]), document("b", [reading("no2")])
+    for batch, docs in (("1", [a, a]), ("2", [a, b, b])):
+        land_documents(store, documents(spark, docs), batch)
+    assert [plan.count("Join ") for plan in plans] == [1, 1]
+    assert store.table(RAW_TABLE).count() == 2
