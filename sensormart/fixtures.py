@@ -155,7 +155,7 @@ def history_and_redelivery(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
 
     three variants: unchanged, only the parameters below 'p', every value plus 1.
     """
-    docs = as_documents(flat_readings(spark, sf_dir), ["block", "user_id"])
+    docs = materialise(as_documents(flat_readings(spark, sf_dir), ["block", "user_id"]), "documents")
     stored = docs.filter("(block + user_id) % 2 = 0").drop("block", "user_id")
     docs = docs.drop("block", "user_id")
     below_p = F.filter("measurements", lambda m: m["parameter"] < "p")

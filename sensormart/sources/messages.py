@@ -120,7 +120,11 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     saved = {f: F.col(f"saved.{f}") for f in ("location", "city", "country", "coordinates")} | {"measurements": F.col("kept")}
     fields = {f.name: F.when(broken, F.when(usable, saved[f.name])).otherwise(F.col(f"doc.{f.name}")) for f in MESSAGE.fields}
     needed = F.array(*[F.lit(f.name) for f in MESSAGE.fields])
-    missing = F.get(F.array_except(needed, F.json_object_keys("raw")), 0)
+    # A field that is there with a value need not be sought; only then is the text not read again.
+    given = F.lit(True)
+    for f in MESSAGE.fields:
+        given = given & fields[f.name].isNotNull()
+    missing = F.when(~given, F.get(F.array_except(needed, F.json_object_keys("raw")), 0))
     whole = F.when(broken & ~F.coalesce(usable, F.lit(False)), F.when(F.size("bad") > 0, "badly typed readings").otherwise("malformed json"))
     judged = _settled(parsed, raw=F.col("raw"), _bad=F.col("bad"), _missing=missing, _whole=whole, **fields)
     reason = (

@@ -164,3 +164,25 @@ def test_no_pairing_joins(spark):
     stored = documents(spark, [document("s", [reading("a"), reading("b"), reading("c")])])
     plan = drop_contained(incoming, stored)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_only_readings_of_the_batch_leave_the_history(spark, monkeypatch):
+    """A history of many other readings at the batch's station: next to nothing of it is written."""
+    written = {}
+
+    def counting(df, name, *args):
+        copy = materialise(df, name, *args)
+        written[name] = copy.count()
+        return copy
+
+    monkeypatch.setattr(containment, "materialise", counting)
+    stored = [document(f"s{i}", [reading(f"p{i}"), reading(f"q{i}")]) for i in range(2000)]
+    _check(spark, [document("n", [reading("p7")]), document("m", [reading("p8"), reading("q9")])], stored)
+    assert written["held"] < 100
+
+
+def test_a_missing_field_is_no_other_field(spark):
+    """Hashes of readings tell a null from a field that moved up, and take both zeros as one."""
+    stored = [document("s", [reading("a", 0.0, None, "x"), reading("b", 1.0, "x", None), reading("z")])]
+    _check(spark, [document("n1", [reading("a", 0.0, "x", None)]), document("n2", [reading("b", 1.0, None, "x")])], stored)
+    _check(spark, [document("n3", [reading("a", 0.0, None, "x")]), document("n4", [reading("b", 1.0, "x", None)])], stored)
