@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensormart.llm.common import slices, text_or_empty
-from sensormart.session import materialise
+from sensormart.session import materialise, scratch
 
 THRESHOLD = 400
 #: Bytes of a passage of some 50 words: with the shortest words that occur in prose, five
@@ -349,7 +349,7 @@ def repeated_spans_at(docs: DataFrame, low: int, high: int) -> tuple[DataFrame,
         return spans, spans.filter(F.col("n_bytes") >= high)
     long = spans.filter(F.exists("spans", lambda s: s["end"] - s["start"] >= high)).select("key", "n_bytes")
     near = materialise(touched.drop("runs").join(long, ["key", "n_bytes"], "left_semi"), "texts-going-on")
-    runs = materialise(_runs(near, high), "runs")
+    runs = _runs(near, high)
     return spans, _sort(deep, runs, lambda asked: near.join(asked.drop("least_id"), ["key", "n_bytes"]), high)[0]
 
 
@@ -362,7 +362,7 @@ def _first_sort(docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame,
         F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies")
     )
     texts = materialise(texts.filter(F.col("n_bytes") >= threshold), "texts")
-    runs = materialise(_runs(named.filter(F.octet_length("text") >= threshold), threshold), "runs")
+    runs = _runs(named.filter(F.octet_length("text") >= threshold), threshold)
     spans, touched = _sort(texts, runs, lambda asked: _packed(docs, asked, threshold), threshold, True)
     return spans, texts, touched
 
@@ -377,6 +377,8 @@ def _sort(
     """The spans of ``texts`` by all digits; ``fetch`` brings the compressed texts of those asked for.
 
     ``repeated_texts``: the runs of a text are listed once for each of its copies.
+    Each digit's rows are removed once those still together are written: the runs of
+    all texts, most of which stand alone, are the largest table.
     """
     copied = texts.filter("copies > 1").select(
         "key",
@@ -385,41 +387,51 @@ def _sort(
         F.sha2(F.lit(b""), 256).alias("kept_sha256"),
     )
     spot = F.xxhash64("key", "n_bytes", F.col("first") + F.col("distance"))
-    # First digit.
-    anchors = materialise(_twice(runs, ["anchor"], spot), "anchors")
-    if anchors.isEmpty():
+    with scratch():
+        # First digit.
+        with scratch():
+            runs = materialise(runs, "runs")
+            anchors = materialise(_twice(runs, ["anchor"], spot), "anchors")
+            if anchors.isEmpty():
+                together = None
+            else:
+                # Copies of a text are dropped after the join and by themselves: a join that deals rows
+                # for the step after it cannot be split where one anchor is in very many texts.
+                together = materialise(runs.join(anchors, "anchor"), "runs-together", keep=True)
+        if together is not None:
+            if repeated_texts:
+                together = materialise(together.distinct(), "distinct-runs")
+            # Second digit.
+            run_key = ["anchor", "distance", "number", "whole"]
+            judged = _judged(together, run_key, ["anchor"], spot, "whole-runs")
+            lists = judged.groupBy("key", "n_bytes").agg(
+                F.collect_list(F.struct("first", "number", "distance", "anchor", "repeated", "compared")).alias("runs")
+            )
+            asked = materialise(lists.join(texts.select("key", "n_bytes", "least_id"), ["key", "n_bytes"]), "run-lists")
+            touched = materialise(fetch(asked), "touched-texts", keep=True)
+    if together is None:
         return materialise(copied, "spans"), None
-    # Copies of a text are dropped after the join and by themselves: a join that deals rows for
-    # the step after it cannot be split where one anchor is in very many texts.
-    together = materialise(runs.join(anchors, "anchor"), "runs-together")
-    if repeated_texts:
-        together = materialise(together.distinct(), "distinct-runs")
-    # Second digit.
-    run_key = ["anchor", "distance", "number", "whole"]
-    judged = _judged(together, run_key, ["anchor"], spot, "whole-runs")
-    lists = judged.groupBy("key", "n_bytes").agg(
-        F.collect_list(F.struct("first", "number", "distance", "anchor", "repeated", "compared")).alias("runs")
-    )
-    asked = materialise(lists.join(texts.select("key", "n_bytes", "least_id"), ["key", "n_bytes"]), "run-lists")
-    touched = materialise(fetch(asked), "touched-texts")
-    # Third digit.
-    blocks = materialise(_blocks(touched.filter(F.exists("runs", lambda r: r["compared"])), threshold), "blocks")
-    spot = F.xxhash64("key", "n_bytes", "at")
-    inner = materialise(_twice(blocks, ["anchor", "index", "inner"], spot), "inner-blocks")
-    shared = materialise(blocks.join(inner, ["anchor", "index", "inner"]), "blocks-together")
-    # A block that would reach over its text's end has no equal outer bytes: it gets a place of its own.
-    shared = shared.withColumn("outer", F.coalesce("outer", F.xxhash64("key", "n_bytes", "at", "index")))
-    judged = _judged(shared, ["anchor", "index", "inner", "outer"], ["anchor", "index", "inner"], spot, "outer-blocks")
-    judged = materialise(judged, "judged-blocks")
-    # Last digit.
-    left = judged.filter("compared").groupBy("key", "n_bytes").agg(
-        F.collect_set(F.struct("anchor", "at", "low", "high")).alias("blocks")
-    )
-    open_texts = touched.drop("runs").join(left, ["key", "n_bytes"])
-    suffixes = materialise(_suffixes(open_texts, threshold), "suffixes")
-    suffix_key = ["anchor", "distance", "hash_a", "hash_b"]
-    again = materialise(_twice(suffixes, suffix_key, F.xxhash64("key", "n_bytes", "start")), "equal-suffixes")
-    single = suffixes.join(again, suffix_key).select("key", "n_bytes", F.col("start").alias("low"), F.col("start").alias("high"))
+    with scratch():
+        # Third digit.
+        blocks = materialise(_blocks(touched.filter(F.exists("runs", lambda r: r["compared"])), threshold), "blocks")
+        spot = F.xxhash64("key", "n_bytes", "at")
+        inner = materialise(_twice(blocks, ["anchor", "index", "inner"], spot), "inner-blocks")
+        shared = materialise(blocks.join(inner, ["anchor", "index", "inner"]), "blocks-together")
+        # A block that would reach over its text's end has no equal outer bytes: it gets a place of its own.
+        shared = shared.withColumn("outer", F.coalesce("outer", F.xxhash64("key", "n_bytes", "at", "index")))
+        judged = _judged(shared, ["anchor", "index", "inner", "outer"], ["anchor", "index", "inner"], spot, "outer-blocks")
+        judged = materialise(judged, "judged-blocks", keep=True)
+    with scratch():
+        # Last digit.
+        left = judged.filter("compared").groupBy("key", "n_bytes").agg(
+            F.collect_set(F.struct("anchor", "at", "low", "high")).alias("blocks")
+        )
+        open_texts = touched.drop("runs").join(left, ["key", "n_bytes"])
+        suffixes = materialise(_suffixes(open_texts, threshold), "suffixes")
+        suffix_key = ["anchor", "distance", "hash_a", "hash_b"]
+        again = materialise(_twice(suffixes, suffix_key, F.xxhash64("key", "n_bytes", "start")), "equal-suffixes")
+        single = suffixes.join(again, suffix_key).select("key", "n_bytes", F.col("start").alias("low"), F.col("start").alias("high"))
+        single = materialise(single, "repeated-suffixes", keep=True)
     found = judged.filter("repeated").select("key", "n_bytes", "low", "high").unionByName(single)
     found = found.groupBy("key", "n_bytes").agg(F.collect_set(F.struct("low", "high")).alias("found"))
     cut = _cut_texts(touched.join(found, ["key", "n_bytes"], "left"), threshold)

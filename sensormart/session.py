@@ -58,22 +58,23 @@ def file_system(spark: SparkSession, path: str):
     return target.getFileSystem(context._jsc.hadoopConfiguration()), target
 
 
-#: Copies written inside the innermost ``scratch`` block.
-_written: contextvars.ContextVar[list | None] = contextvars.ContextVar("written", default=None)
+#: Copies written inside each of the open ``scratch`` blocks, the innermost last.
+_written: contextvars.ContextVar[tuple[list, ...]] = contextvars.ContextVar("written", default=())
 
 
 @contextlib.contextmanager
 def scratch() -> Iterator[None]:
     """Remove the copies that the block has written when it ends.
 
-    For steps that leave nothing lazy behind: their result lies elsewhere. Threads
+    For steps that leave nothing lazy behind: their result lies elsewhere, or is kept,
+    and then belongs to the block around this one, if there is one. Threads
     the block starts are not followed; they inherit the list by ``copy_context``.
     """
-    token = _written.set([])
+    copies: list = []
+    token = _written.set((*_written.get(), copies))
     try:
         yield
     finally:
-        copies = _written.get()
         _written.reset(token)
         for spark, path in copies:
             files, target = file_system(spark, path)
@@ -86,11 +87,13 @@ def materialise(df: DataFrame, name: str, spark: SparkSession | None = None, kee
     Used where a result feeds several later steps, or where recomputing it could
     give other values (row slots after range sampling). Losing an executor then
     costs a re-read, not a recomputation. ``spark`` reads the copy in another
-    session than the one of ``df``. ``keep``: a ``scratch`` block leaves the copy alone.
+    session than the one of ``df``. ``keep``: the innermost ``scratch`` block leaves the
+    copy to the block around it.
     """
     spark = spark or df.sparkSession
     path = scratch_path(spark, name)
-    if _written.get() is not None and not keep:
-        _written.get().append((spark, path))
+    blocks = _written.get()[:-1] if keep else _written.get()
+    if blocks:
+        blocks[-1].append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,6 +1,8 @@
 """Removal of repeated strings against all windows of all texts."""
 
 import hashlib
+import os
+import pathlib
 import random
 from collections import Counter
 
@@ -8,6 +10,7 @@ import numpy as np
 import pytest
 
 from sensormart.llm import suffixes
+from sensormart.session import scratch_path
 
 
 def _brute(texts, threshold):
@@ -109,3 +112,14 @@ def test_cut_keeps_whole_characters():
     assert suffixes.cut_text("aébcéd", [{"start": 2, "end": 6}]) == "aéd"[:2] + "éd"
     assert suffixes.cut_text("日本", [{"start": 1, "end": 5}]) == "日本"
     assert suffixes.cut_text("日本", [{"start": 0, "end": 6}]) == ""
+
+
+def test_a_digits_rows_are_removed(spark):
+    """The runs of all texts, blocks and suffixes are gone once those still together are written."""
+    common = " ".join(f"word{i}" for i in range(100))
+    docs = spark.createDataFrame([(i, f"{i} " * 50 + common + f" {i * 7}" * 50) for i in range(8)], "doc_id long, text string")
+    folder = pathlib.Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    before = set(os.listdir(folder)) if folder.exists() else set()
+    assert suffixes.find_repeats(docs).filter("n_removed > 0").count() == 8
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
+    assert "spans" in left and not left & {"runs", "anchors", "runs-together", "blocks", "suffixes"}
