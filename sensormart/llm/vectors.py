@@ -176,12 +176,13 @@ def _connect(vectors: np.ndarray, lists: np.ndarray, used: np.ndarray, node: int
 def linked(graph: Graph, exact: np.ndarray, queries: np.ndarray, same: bool) -> np.ndarray:
     """Which queries (rows) and vectors of the graph (columns) reach the threshold.
 
-    Beams of queries whose whole beam reaches it are doubled. Evenly spaced
+    Queries whose whole beam reaches it lie in a cluster wider than the beam; they are
+    compared with all vectors, which costs far less than beams of its size. Evenly spaced
     queries are also answered by comparing with all vectors; while too little of
     their links and nearest vectors is found, all beams are doubled. Each audited
     query counts alike, however many links it has, and those that rest on the
-    first beam must reach the recall by themselves: a cluster whose beams were
-    doubled says nothing about them.
+    first beam must reach the recall by themselves: a cluster that was compared
+    with all vectors says nothing about them.
     """
     n, m = len(queries), len(exact)
     single = queries.astype(np.float32)
@@ -197,18 +198,19 @@ def linked(graph: Graph, exact: np.ndarray, queries: np.ndarray, same: bool) ->
         result = np.zeros((n, m), bool)
         reached, widened = np.zeros(wanted.shape, bool), np.zeros(len(audit), bool)
         for first in range(0, n, _BATCH):
-            rows, width = np.arange(first, min(n, first + _BATCH)), beam
-            while len(rows):
-                ids, cosines = graph.search(single[rows], min(width, m), rows if same else None)
-                full = (cosines.min(axis=1) >= COSINE - _SLACK) & (width < m)
-                for i in np.flatnonzero(np.isin(audit, rows[~full])):
-                    found = ids[np.flatnonzero(rows == audit[i])[0]]
-                    reached[i, found[found >= 0]] = True
-                near = (ids >= 0) & (cosines >= COSINE - _SLACK) & ~full[:, None]
-                place, column = np.nonzero(near)
-                result[rows[place], ids[place, column]] = True
-                rows, width = rows[full], 2 * width
-                widened |= np.isin(audit, rows)
+            rows = np.arange(first, min(n, first + _BATCH))
+            ids, cosines = graph.search(single[rows], min(beam, m), rows if same else None)
+            full = (cosines.min(axis=1) >= COSINE - _SLACK) & (beam < m)
+            for i in np.flatnonzero(np.isin(audit, rows[~full])):
+                found = ids[np.flatnonzero(rows == audit[i])[0]]
+                reached[i, found[found >= 0]] = True
+            near = (ids >= 0) & (cosines >= COSINE - _SLACK) & ~full[:, None]
+            place, column = np.nonzero(near)
+            result[rows[place], ids[place, column]] = True
+            wide = rows[full]
+            result[wide] = queries[wide] @ exact.T >= COSINE - _SLACK
+            reached[np.isin(audit, wide)] = True
+            widened |= np.isin(audit, wide)
         if beam >= m or _enough(reached, wanted, np.ones_like(widened)) and _enough(reached, wanted, ~widened):
             break
         beam *= 2

@@ -139,3 +139,17 @@ def test_pairs_of_one_label_spread(spark, monkeypatch):
     pairs = {(r.shard, r.other_shard): r.task for r in dealt}
     assert set(pairs) == {(i, j) for i in range(10) for j in range(i, 10)} and len(dealt) == 100
     assert len(set(pairs.values())) > 10
+
+
+def test_a_wide_cluster_needs_no_wide_beam():
+    """Members of a cluster wider than the beam find all of it, without beams of its size."""
+    rng = np.random.default_rng(9)
+    near = rng.normal(size=(1, 32)) + rng.normal(size=(500, 32)) * 0.02
+    exact = vectors._unit(np.concatenate([near, rng.normal(size=(300, 32))]))
+    graph = vectors.build_graph(exact.astype(np.float32))
+    beams, search = [], graph.search
+    graph.search = lambda queries, beam, own=None: beams.append(beam) or search(queries, beam, own)
+    truth = exact @ exact.T >= vectors.COSINE
+    np.fill_diagonal(truth, False)
+    assert (vectors.linked(graph, exact, exact, True) == truth).all()
+    assert max(beams) < 200
