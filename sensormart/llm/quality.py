@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensormart.llm.common import WORD, text_or_empty
+from sensormart.operators.membership import possible
 from sensormart.session import materialise
 
 SPLIT = r"[\x20\x09-\x0D]+"
@@ -111,26 +112,25 @@ def fit_ratios(docs: DataFrame, known: DataFrame) -> list[int]:
     """For each bucket, the log ratio of its shares in trusted and in all documents.
 
     Counts cover every word and pair of every document. One row for each bucket
-    comes back to the driver. The labels are broadcast only while they are small.
+    comes back to the driver. Texts move only to meet their labels, and only those
+    that a small filter lets through: the trusted ones and about one other in 16.
     """
     many = bucket_count(docs)
-    trusted = known.filter("trusted").select("doc_id", "trusted")
-    hashed = (
-        docs.join(trusted, "doc_id", "left")
-        .select(split_words(F.col("text")).alias("words"), F.col("trusted"))
-        .select(
-            let(word_hashes(F.col("words")), lambda h: buckets(h, many)).alias("buckets"),
-            F.col("trusted").isNotNull().cast("long").alias("trusted"),
-        )
-    )
-    counts = (
-        hashed.select(F.explode("buckets").alias("bucket"), "trusted")
-        .groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target"))
-    )
-    raw, target = [0] * many, [0] * many
-    for row in counts.collect():
-        raw[row.bucket], target[row.bucket] = row.raw, row.target
+    trusted = known.filter("trusted").select("doc_id")
+    mark = F.xxhash64(F.col("doc_id").try_cast(docs.schema["doc_id"].dataType)).alias("mark")
+    marked = docs.withColumn("_mark", F.xxhash64("doc_id"))
+    likely = possible(marked, "_mark", trusted.select(mark), trusted.count())
+
+    # Ids of trusted documents are distinct. A semi-join would be pushed below the filter.
+    def counts(texts: DataFrame) -> list[int]:
+        hashed = texts.select(split_words(F.col("text")).alias("words"))
+        found = hashed.select(F.explode(let(word_hashes(F.col("words")), lambda h: buckets(h, many))).alias("bucket"))
+        result = [0] * many
+        for row in found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect():
+            result[row.bucket] = row.n
+        return result
+
+    raw, target = counts(docs), counts(likely.join(trusted, "doc_id"))
     lost = SMOOTHING * many
     return [
         round(UNIT * (math.log((t + SMOOTHING) / (sum_t + lost)) - math.log((r + SMOOTHING) / (sum_r + lost))))

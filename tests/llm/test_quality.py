@@ -7,6 +7,7 @@ from collections import Counter
 import xxhash
 
 from sensormart.llm import quality
+from sensormart.operators.membership import possible
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -148,3 +149,19 @@ def test_verdicts_alone_are_the_same(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     whole = quality.judge_documents(docs, labels).drop("row")
     assert sorted(map(str, quality.document_verdicts(docs, labels).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_few_texts_move_to_meet_their_labels(spark, monkeypatch):
+    """Of many texts without a trusted label only some pass the filter, all trusted ones do."""
+    passed = []
+
+    def spying(*args):
+        passed.append(possible(*args))
+        return passed[-1]
+
+    monkeypatch.setattr(quality, "possible", spying)
+    docs = spark.createDataFrame([(i, f"word{i} and more") for i in range(3000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 if i % 2 else 0, 0) for i in range(20)], "doc_id int, quality int, toxic int")
+    _check(docs, labels)
+    ids = {r.doc_id for r in passed[0].select("doc_id").collect()}
+    assert {i for i in range(20) if i % 2} <= ids and len(ids) < 300
