@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensormart.llm.common import WORD, text_or_empty
-from sensormart.operators.membership import possible
+from sensormart.operators.membership import flag_possible, possible
 from sensormart.session import materialise
 
 SPLIT = r"[\x20\x09-\x0D]+"
@@ -108,33 +108,54 @@ def labelled(labels: DataFrame) -> DataFrame:
     return trusted.unionByName(poor).distinct()
 
 
+def meet_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``docs`` with ``sure`` and ``doubtful``; trusted are all sure rows and some doubtful ones, no others.
+
+    Ids alone meet the labels. A broadcast filter of the trusted ids lets through those
+    and about one other in 16; the others that it let through make a second filter. A
+    row that passes the first and not the second is trusted without a doubt. Those
+    that pass both, less than one in 10 of all unless a filter is at its bound, have to
+    meet ``trusted`` in an exact join.
+    """
+    mark = F.xxhash64(F.col("doc_id").try_cast(docs.schema["doc_id"].dataType)).alias("mark")
+    marks, many = trusted.select(mark), trusted.count()
+    known_id = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id"))
+    # By the same mark, an id would look like the other one that it lets through the first filter.
+    marked = docs.withColumn("_mark", known_id).withColumn("_second", F.xxhash64("_mark", F.lit(2)))
+    likely = possible(marked.select("doc_id", "_mark", "_second"), "_mark", marks, many)
+    others = materialise(likely.join(trusted, "doc_id", "left_anti").select("_second").distinct(), "others")
+    flagged = flag_possible(marked, "_mark", marks, many, "_likely")
+    flagged = flag_possible(flagged, "_second", others, others.count(), "_other")
+    likely, other = F.col("_likely"), F.col("_other")
+    return flagged.select(*docs.columns, (likely & ~other).alias("sure"), (likely & other).alias("doubtful"))
+
+
 def fit_ratios(docs: DataFrame, known: DataFrame) -> list[int]:
     """For each bucket, the log ratio of its shares in trusted and in all documents.
 
     Counts cover every word and pair of every document. One row for each bucket
-    comes back to the driver. Texts move only to meet their labels, and only those
-    that a small filter lets through: the trusted ones and about one other in 16.
+    comes back to the driver. Only the texts of which a filter cannot tell whether
+    they are trusted move to meet their labels (``meet_trusted``).
     """
     many = bucket_count(docs)
     trusted = known.filter("trusted").select("doc_id")
-    mark = F.xxhash64(F.col("doc_id").try_cast(docs.schema["doc_id"].dataType)).alias("mark")
-    marked = docs.withColumn("_mark", F.xxhash64("doc_id"))
-    likely = possible(marked, "_mark", trusted.select(mark), trusted.count())
+    met = meet_trusted(docs, trusted)
+    raw, target = [0] * many, [0] * many
+
+    def counted(texts: DataFrame) -> list:
+        hashed = texts.select(split_words(F.col("text")).alias("words"), "sure")
+        found = hashed.select(F.explode(let(word_hashes(F.col("words")), lambda h: buckets(h, many))).alias("bucket"), "sure")
+        return found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if("sure").alias("n_sure")).collect()
 
+    for row in counted(met):
+        raw[row.bucket], target[row.bucket] = row.n, row.n_sure
     # Ids of trusted documents are distinct. A semi-join would be pushed below the filter.
-    def counts(texts: DataFrame) -> list[int]:
-        hashed = texts.select(split_words(F.col("text")).alias("words"))
-        found = hashed.select(F.explode(let(word_hashes(F.col("words")), lambda h: buckets(h, many))).alias("bucket"))
-        result = [0] * many
-        for row in found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect():
-            result[row.bucket] = row.n
-        return result
-
-    raw, target = counts(docs), counts(likely.join(trusted, "doc_id"))
+    for row in counted(met.filter("doubtful").join(trusted, "doc_id")):
+        target[row.bucket] += row.n
+    sum_t, sum_r = sum(target), sum(raw)
     lost = SMOOTHING * many
     return [
         round(UNIT * (math.log((t + SMOOTHING) / (sum_t + lost)) - math.log((r + SMOOTHING) / (sum_r + lost))))
-        for sum_t, sum_r in [(sum(target), sum(raw))]
         for t, r in zip(target, raw, strict=True)
     ]
 

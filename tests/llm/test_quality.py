@@ -7,6 +7,7 @@ from collections import Counter
 import xxhash
 
 from sensormart.llm import quality
+from sensormart.operators import membership
 from sensormart.operators.membership import possible
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -165,3 +166,59 @@ def test_few_texts_move_to_meet_their_labels(spark, monkeypatch):
     _check(docs, labels)
     ids = {r.doc_id for r in passed[0].select("doc_id").collect()}
     assert {i for i in range(20) if i % 2} <= ids and len(ids) < 300
+
+
+def _rows_with_odd_ids(spark):
+    """3,000 rows, a third of them trusted; some ids are null, some come three times."""
+    ids = [None if i % 50 == 7 else i // 3 * 3 if i % 60 < 3 else i for i in range(3000)]
+    docs = spark.createDataFrame([(d, f"word{i} and more w{i % 90}") for i, d in enumerate(ids)], "doc_id long, text string")
+    labels = [(i, 1 if i % 9 else 0, 0) for i in range(0, 3300, 3)] + [(i, 1, 0) for i in range(0, 200, 2)] + [(None, 1, 0)]
+    return docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_trusted_texts_do_not_move(spark, monkeypatch):
+    """Only a text of which the filters are in doubt meets its label in a join by id."""
+    docs, labels = _rows_with_odd_ids(spark)
+    moved, join = [], type(docs).join
+
+    def spying(self, other, on=None, how=None):
+        if on == "doc_id" and "text" in self.columns:
+            moved.append(self.count())
+        return join(self, other, on, how)
+
+    monkeypatch.setattr(type(docs), "join", spying)
+    quality.fit_ratios(docs, quality.labelled(labels))
+    assert len(moved) == 1 and moved[0] < 300
+
+
+def test_filters_that_are_nearly_full(spark, monkeypatch):
+    """Where the filters outgrow their bounds, more rows are in doubt, and no count changes."""
+    docs, labels = _rows_with_odd_ids(spark)
+    trusted = quality.labelled(labels).filter("trusted").select("doc_id")
+    good = {r.doc_id for r in trusted.collect()}
+
+    def kinds():
+        rows = quality.meet_trusted(docs, trusted).collect()
+        assert len(rows) == 3000 and not any(r.sure and r.doubtful for r in rows)
+        assert all(r.doc_id in good for r in rows if r.sure)
+        assert all(r.sure or r.doubtful for r in rows if r.doc_id in good)
+        return sum(r.sure for r in rows), sum(r.doubtful for r in rows)
+
+    sure, doubtful = kinds()
+    assert sure > 5 * doubtful
+    monkeypatch.setattr(membership, "LEAST_BITS", 64)
+    monkeypatch.setattr(membership, "MOST_BITS", 1 << 10)
+    sure, doubtful = kinds()
+    assert sure and doubtful > sure
+    _check(docs, labels)
+    monkeypatch.setattr(membership, "MOST_BITS", 64)
+    assert kinds()[0] == 0
+    _check(docs, labels)
+
+
+def test_ids_of_another_type(spark):
+    """Labels meet ids that are texts; an id that is null on either side meets nothing."""
+    docs, labels = _rows_with_odd_ids(spark)
+    known = quality.labelled(labels)
+    as_text = docs.withColumn("doc_id", docs.doc_id.cast("string"))
+    assert quality.fit_ratios(as_text, known) == quality.fit_ratios(docs, known)
