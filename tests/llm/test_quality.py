@@ -222,3 +222,32 @@ def test_ids_of_another_type(spark):
     known = quality.labelled(labels)
     as_text = docs.withColumn("doc_id", docs.doc_id.cast("string"))
     assert quality.fit_ratios(as_text, known) == quality.fit_ratios(docs, known)
+
+
+def test_counting_runs_in_generated_code(spark, monkeypatch):
+    """Words and pairs are counted without lambdas, which Spark interprets for each element."""
+    docs = spark.createDataFrame([(i, f"word{i} and more") for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    plans, collect = [], type(docs).collect
+
+    def spying(self):
+        if "n_sure" in self.columns:
+            plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return collect(self)
+
+    monkeypatch.setattr(type(docs), "collect", spying)
+    quality.fit_ratios(docs, quality.labelled(labels))
+    assert len(plans) == 2 and not any("lambda" in plan for plan in plans)
+
+
+def test_few_and_many_repeated_windows(spark, monkeypatch):
+    """Whether few windows are looked up or many sorted, the same words are found."""
+    texts = ["a a a a a a", "a b a b a b a", "x a b c y a b c", "a b c d\ta b c d\r\na b c d", " \x0b a b\x0cc \n\n a b c "]
+    for many in (1, 5, quality.FEW, quality.FEW + 1, 300):
+        part = " ".join(f"p{i}" for i in range(many + 2))
+        texts += [f"{part} between {part}", f"{part} one {part} two {part} p0 p1 p2", " ".join(f"q{i}" for i in range(many))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0)], "doc_id long, quality int, toxic int")
+    for few in (quality.FEW, 0, 10_000):
+        monkeypatch.setattr(quality, "FEW", few)
+        _check(docs, labels)
